@@ -17,6 +17,11 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def q(name: str) -> str:
+    """Backtick-quote an identifier for SQL expression text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def safe_div(numerator: str | Column, denominator: str | Column) -> Column:
     """numerator / denominator, NULL when the denominator is 0 or NULL."""
     return F.try_divide(_col(numerator), _col(denominator))
@@ -40,6 +45,13 @@ class Ratio:
             c = c * F.lit(self.multiplier)
         return c
 
+    def sql(self) -> str:
+        """The same ratio as SQL expression text."""
+        e = f"try_divide({q(self.numerator)}, {q(self.denominator)})"
+        if self.multiplier != 1.0:
+            e = f"({e} * {float(self.multiplier)!r}D)"
+        return e
+
     def over_sums(self) -> Column:
         """Ratio of sums, for use inside ``agg`` (sum(num) / sum(den))."""
         c = safe_div(F.sum(self.numerator), F.sum(self.denominator))

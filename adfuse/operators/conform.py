@@ -1,7 +1,9 @@
 """Conform heterogeneous channel feeds to the unified fact, and union them.
 
-``conform`` is a single projection per feed (Catalyst collapses it and prunes
-every raw column the fact does not need down to the scan's ReadSchema).
+``conform`` is one projection per feed (Catalyst collapses it and prunes
+every raw column the fact does not need down to the scan's ReadSchema).  The
+projection is emitted as SQL expression text in a single ``selectExpr`` call,
+which keeps plan construction cheap for wide specs.
 ``unify`` is a by-name union: no shuffle, duplicates kept.
 """
 
@@ -10,29 +12,30 @@ from __future__ import annotations
 from functools import reduce
 from typing import Iterable
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from adfuse.functions.ratios import RATIOS, nan_to_null
+from adfuse.functions.ratios import RATIOS, q
 from adfuse.schema import FACT_COLUMNS, FACT_ROLES, FACT_TYPES
 from adfuse.sources.spec import FeedSpec
 
 
-def _date_column(df: DataFrame, raw: str, date_format: str) -> Column:
-    dtype = df.schema[raw].dataType
-    if isinstance(dtype, T.StringType):
-        return F.try_to_date(F.col(raw), date_format)
-    return F.col(raw).cast("date")
+def _typed(expr: str, dtype: T.DataType) -> str:
+    cast = f"CAST(({expr}) AS {dtype.simpleString()})"
+    if isinstance(dtype, T.DoubleType):
+        # NaN from an upstream float becomes NULL (Spark sorts NaN above +Inf).
+        return f"nanvl({cast}, CAST(NULL AS DOUBLE))"
+    return cast
 
 
-def _typed(c: Column, dtype: T.DataType) -> Column:
-    c = c.cast(dtype)
-    return nan_to_null(c) if isinstance(dtype, T.DoubleType) else c
+def _date_expr(df: DataFrame, raw: str, date_format: str) -> str:
+    if isinstance(df.schema[raw].dataType, T.StringType):
+        return f"try_to_date({q(raw)}, '{date_format}')"
+    return f"CAST({q(raw)} AS DATE)"
 
 
-def conform(df: DataFrame, spec: FeedSpec) -> DataFrame:
-    """Project one raw feed onto the 16 canonical fact columns.
+def conform_exprs(df: DataFrame, spec: FeedSpec) -> tuple[list[str], list[str]]:
+    """SQL text of the two conform projections (base columns, then ratios).
 
     Resolution per canonical column, in order: ``spec.derived`` expression,
     raw column (renamed or same name), role default.  Ratios not supplied by
@@ -40,39 +43,43 @@ def conform(df: DataFrame, spec: FeedSpec) -> DataFrame:
     NULL-on-zero division; additive measures default to 0, value to NULL.
     """
     present = set(df.columns)
-    base: dict[str, Column] = {}
+    base: dict[str, str | None] = {}
     for name in FACT_COLUMNS:
         role, dtype = FACT_ROLES[name], FACT_TYPES[name]
         raw = spec.source_for(name)
         if name in spec.derived:
-            base[name] = _typed(F.expr(spec.derived[name]), dtype)
+            base[name] = _typed(spec.derived[name], dtype)
         elif name == "platform":
-            base[name] = F.lit(spec.platform)
+            base[name] = "'" + spec.platform.replace("\\", "\\\\").replace("'", "\\'") + "'"
         elif name == "date" and raw in present:
-            base[name] = _date_column(df, raw, spec.date_format)
+            base[name] = _date_expr(df, raw, spec.date_format)
         elif raw in present:
-            base[name] = _typed(F.col(raw), dtype)
-        elif role == "count":
-            base[name] = F.lit(0).cast(dtype)
-        elif role == "money":
-            base[name] = F.lit(0.0).cast(dtype)
+            base[name] = _typed(q(raw), dtype)
+        elif role in ("count", "money"):
+            base[name] = f"CAST(0 AS {dtype.simpleString()})"
         elif role == "ratio":
-            base[name] = None  # filled below from canonical columns
+            base[name] = None  # filled from canonical columns in the second step
         else:
-            base[name] = F.lit(None).cast(dtype)
+            base[name] = f"CAST(NULL AS {dtype.simpleString()})"
 
-    stage1 = df.select(*[c.alias(n) for n, c in base.items() if c is not None])
-    out = []
+    first = [f"{e} AS {q(n)}" for n, e in base.items() if e is not None]
+    second = []
     for name in FACT_COLUMNS:
         if base[name] is not None:
-            out.append(F.col(name))
+            second.append(q(name))
             continue
         r = RATIOS.get(name)
         if r is not None and r.numerator in base and r.denominator in base:
-            out.append(r.column().alias(name))
+            second.append(f"{r.sql()} AS {q(name)}")
         else:
-            out.append(F.lit(None).cast("double").alias(name))
-    return stage1.select(*out)
+            second.append(f"CAST(NULL AS DOUBLE) AS {q(name)}")
+    return first, second
+
+
+def conform(df: DataFrame, spec: FeedSpec) -> DataFrame:
+    """Project one raw feed onto the 16 canonical fact columns."""
+    first, second = conform_exprs(df, spec)
+    return df.selectExpr(*first).selectExpr(*second)
 
 
 def unify(conformed: Iterable[DataFrame]) -> DataFrame:

@@ -13,21 +13,18 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adfuse.functions.ratios import RATIOS, safe_div
+from adfuse.functions.ratios import RATIOS, q, safe_div
 from adfuse.schema import CAMPAIGN_MEASURES, DAILY_MEASURES, PLATFORM_MEASURES
 
 
-_COUNTS = {"impressions", "clicks", "conversions"}
-
-
 def _sum0(c: str) -> Column:
     # An all-NULL group sums to 0 (e.g. conv_value of channels without it).
-    return F.coalesce(F.sum(c), F.lit(0).cast("bigint") if c in _COUNTS else F.lit(0.0)).alias(c)
+    return F.expr(f"coalesce(sum({q(c)}), 0) AS {q(c)}")
 
 
 def daily_rollup(fact: DataFrame, measures: Sequence[str] = DAILY_MEASURES) -> DataFrame:
     """(date, platform) series: daily sums of spend, conversions, impressions, clicks."""
-    return fact.groupBy("date", "platform").agg(*[F.sum(m).alias(m) for m in measures])
+    return fact.groupBy("date", "platform").agg(*[F.expr(f"sum({q(m)}) AS {q(m)}") for m in measures])
 
 
 def rollup(
@@ -40,7 +37,7 @@ def rollup(
     agg = fact.groupBy(*keys).agg(*[_sum0(m) for m in measures])
     if not ratios:
         return agg
-    return agg.select("*", *[RATIOS[r].column().alias(r) for r in ratios])
+    return agg.selectExpr("*", *[f"{RATIOS[r].sql()} AS {q(r)}" for r in ratios])
 
 
 def platform_rollup(fact: DataFrame) -> DataFrame:

@@ -81,13 +81,6 @@ TIKTOK = FeedSpec(
         "vid_compl_rate": "try_divide(video_watch_100, video_views)",
     },
 )
-
-# Default file names of the three exports.
-DEFAULT_FILES: dict[str, str] = {
-    "facebook": "01_facebook_ads.csv",
-    "google": "02_google_ads.csv",
-    "tiktok": "03_tiktok_ads.csv",
-}
 # -------------------------------------------------------------------------------
 
 CHANNELS: dict[str, FeedSpec] = {s.name: s for s in (FACEBOOK, GOOGLE, TIKTOK)}

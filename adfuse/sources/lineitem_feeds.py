@@ -13,80 +13,77 @@ The flag filter and the column selection reach the parquet scan.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-# Which return flag stands in for which channel.
+# Which return flag stands in for which channel, and the raw
+# column expressions of each channel-shaped feed.
 FLAG_OF_FEED: dict[str, str] = {"facebook": "A", "google": "N", "tiktok": "R"}
 
+_QTY = "CAST(l_quantity AS BIGINT)"
+_CENTS = "round(l_extendedprice * 100)"
+_COMMON = [
+    "CAST(l_shipdate AS DATE) AS date",
+    "concat('c', CAST(l_linenumber AS STRING)) AS campaign_id",
+    "concat('Camp_', CAST(l_linenumber AS STRING)) AS campaign_name",
+    f"{_QTY} * 1000 AS impressions",
+    "l_partkey % 1000 AS clicks",
+]
+FEED_COLUMNS: dict[str, list[str]] = {
+    "facebook": _COMMON
+    + [
+        f"{_CENTS} AS spend",
+        "l_suppkey % 10 AS conversions",
+        f"{_QTY} * 100 AS video_views",
+    ],
+    "google": _COMMON
+    + [
+        f"{_CENTS} AS cost",
+        "l_suppkey % 10 AS conversions",
+        f"{_CENTS} * (l_suppkey % 7) AS conversion_value",
+        "round(l_discount, 2) AS ctr",
+        "round(l_tax, 2) AS avg_cpc",
+    ],
+    "tiktok": _COMMON
+    + [
+        f"{_CENTS} AS cost",
+        "l_suppkey % 10 AS conversions",
+        f"{_QTY} * 100 AS video_views",
+        f"{_QTY} * 80 AS video_watch_25",
+        f"{_QTY} * 60 AS video_watch_50",
+        f"{_QTY} * 40 AS video_watch_75",
+        f"{_QTY} * (l_suppkey % 30) AS video_watch_100",
+        "l_orderkey % 50 AS likes",
+        "l_partkey % 20 AS shares",
+        "l_suppkey % 5 AS comments",
+    ],
+}
+
 
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
 
 
-def _qty() -> Column:
-    return F.col("l_quantity").cast("bigint")
-
-
-def _cents() -> Column:
-    return F.round(F.col("l_extendedprice") * F.lit(100))
-
-
-def _common() -> list[Column]:
-    linenumber = F.col("l_linenumber").cast("string")
-    return [
-        F.col("l_shipdate").cast("date").alias("date"),
-        F.concat(F.lit("c"), linenumber).alias("campaign_id"),
-        F.concat(F.lit("Camp_"), linenumber).alias("campaign_name"),
-        (_qty() * F.lit(1000)).alias("impressions"),
-        (F.col("l_partkey") % F.lit(1000)).alias("clicks"),
-    ]
-
-
-def _conversions() -> Column:
-    return (F.col("l_suppkey") % F.lit(10)).alias("conversions")
+def channel_feed(li: DataFrame, channel: str) -> DataFrame:
+    """One channel-shaped raw feed: a filter and a projection over lineitem."""
+    return li.where(f"l_returnflag = '{FLAG_OF_FEED[channel]}'").selectExpr(*FEED_COLUMNS[channel])
 
 
 def social_feed(li: DataFrame) -> DataFrame:
     """Facebook-shaped: spend, video_views."""
-    return li.where(F.col("l_returnflag") == FLAG_OF_FEED["facebook"]).select(
-        *_common(),
-        _cents().alias("spend"),
-        _conversions(),
-        (_qty() * F.lit(100)).alias("video_views"),
-    )
+    return channel_feed(li, "facebook")
 
 
 def search_feed(li: DataFrame) -> DataFrame:
     """Google-shaped: cost, conversion_value and native (rounded) ctr / avg_cpc."""
-    return li.where(F.col("l_returnflag") == FLAG_OF_FEED["google"]).select(
-        *_common(),
-        _cents().alias("cost"),
-        _conversions(),
-        (_cents() * (F.col("l_suppkey") % F.lit(7))).alias("conversion_value"),
-        F.round(F.col("l_discount"), 2).alias("ctr"),
-        F.round(F.col("l_tax"), 2).alias("avg_cpc"),
-    )
+    return channel_feed(li, "google")
 
 
 def video_feed(li: DataFrame) -> DataFrame:
     """TikTok-shaped: cost, video funnel stages and social counters."""
-    return li.where(F.col("l_returnflag") == FLAG_OF_FEED["tiktok"]).select(
-        *_common(),
-        _cents().alias("cost"),
-        _conversions(),
-        (_qty() * F.lit(100)).alias("video_views"),
-        (_qty() * F.lit(80)).alias("video_watch_25"),
-        (_qty() * F.lit(60)).alias("video_watch_50"),
-        (_qty() * F.lit(40)).alias("video_watch_75"),
-        (_qty() * (F.col("l_suppkey") % F.lit(30))).alias("video_watch_100"),
-        (F.col("l_orderkey") % F.lit(50)).alias("likes"),
-        (F.col("l_partkey") % F.lit(20)).alias("shares"),
-        (F.col("l_suppkey") % F.lit(5)).alias("comments"),
-    )
+    return channel_feed(li, "tiktok")
 
 
 def raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The three raw channel feeds keyed by channel name."""
     li = lineitem(spark, sf_dir)
-    return {"facebook": social_feed(li), "google": search_feed(li), "tiktok": video_feed(li)}
+    return {name: channel_feed(li, name) for name in FLAG_OF_FEED}
