@@ -36,8 +36,13 @@ def fmt_number(c: str | Column, decimals: int = 0) -> Column:
 
 
 def fmt_fixed(c: str | Column, decimals: int = 2) -> Column:
-    """Fixed-point text without separators: 12345.678 -> '12345.68'."""
-    return F.regexp_replace(F.format_number(_col(c), decimals), ",", "")
+    """Fixed-point text without separators: 12345.678 -> '12345.68'.
+
+    A DecimalFormat pattern ('0.00') keeps the half-even rounding of
+    ``format_number`` without grouping.
+    """
+    pattern = "0." + "0" * decimals if decimals > 0 else "0"
+    return F.call_function("format_number", _col(c), F.lit(pattern))
 
 
 def _num(c: str | Column, decimals: int, grouping: bool) -> Column:
