@@ -46,7 +46,8 @@ from adfuse.operators.rollups import (
 )
 from adfuse.operators.windows import global_row_number, rolling_mean, share_of_total, stack
 from adfuse.plans.dashboard import series_of
-from adfuse.sources.channels import CHANNELS, FACEBOOK, GOOGLE, TIKTOK
+from adfuse.sources.channels import CHANNELS, FACEBOOK, GOOGLE, TIKTOK, WEB
+from adfuse.sources.event_feed import web_feed
 from adfuse.sources.lineitem_feeds import lineitem, raw_feeds, search_feed, social_feed, video_feed
 from adfuse.sources.readers import read_feed
 from adfuse.sources.sinks import export_csv, read_csv_typed
@@ -99,6 +100,12 @@ def q_unified_fact(spark, sf_dir):
     return fact(spark, sf_dir)
 
 
+def q_platform_rollup_with_web(spark, sf_dir):
+    """A fourth channel (web events) joins the fact by spec only."""
+    feeds = {**raw_feeds(spark, sf_dir), "web": web_feed(spark, sf_dir)}
+    return platform_rollup(conform_all(feeds, {**CHANNELS, "web": WEB}))
+
+
 def q_unified_counts(spark, sf_dir):
     return fact(spark, sf_dir).groupBy("platform").agg(F.count(F.lit(1)).alias("n_rows"))
 

@@ -138,6 +138,21 @@ roas_kpi AS (
   FROM g_camp
 )"""
 
+WEB = """,
+web AS (
+  SELECT CAST(ts AS DATE) AS date, event_type AS campaign_id, 'Web_' || event_type AS campaign_name,
+         'Web' AS platform, CAST(event_type = 'view' AS BIGINT) AS impressions,
+         CAST(event_type = 'click' AS BIGINT) AS clicks, ROUND(value * 100) AS spend,
+         CAST(event_type = 'purchase' AS BIGINT) AS conversions, CAST(0 AS DOUBLE) AS video_views,
+         CAST(event_type = 'click' AS BIGINT) / NULLIF(CAST(event_type = 'view' AS BIGINT), 0) AS ctr,
+         ROUND(value * 100) / NULLIF(CAST(event_type = 'click' AS BIGINT), 0) AS cpc,
+         ROUND(value * 100) / NULLIF(CAST(event_type = 'purchase' AS BIGINT), 0) AS cpa,
+         CAST(NULL AS DOUBLE) AS roas, CAST(0 AS DOUBLE) AS social_eng,
+         CAST(NULL AS DOUBLE) AS vid_compl_rate, CAST(NULL AS DOUBLE) AS conv_value
+  FROM events
+),
+fact4 AS (SELECT * FROM fact UNION ALL SELECT * FROM web)"""
+
 SEL = """platform IN ('Google', 'TikTok')"""
 DATES = """date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'"""
 CAMPS = """campaign_name IN ('Camp_1', 'Camp_3')"""
@@ -164,6 +179,16 @@ ORACLE: dict[str, str] = {
     "conform_search": _q("SELECT * FROM g"),
     "conform_video": _q("SELECT * FROM tt"),
     "unified_fact": _q("SELECT * FROM fact"),
+    "platform_rollup_with_web": _q(
+        "SELECT *, clicks / NULLIF(impressions, 0) AS ctr, spend / NULLIF(clicks, 0) AS cpc, "
+        "spend / NULLIF(conversions, 0) AS cpa FROM (SELECT platform, "
+        "CAST(COALESCE(SUM(impressions), 0) AS BIGINT) AS impressions, "
+        "CAST(COALESCE(SUM(clicks), 0) AS BIGINT) AS clicks, COALESCE(SUM(spend), 0) AS spend, "
+        "CAST(COALESCE(SUM(conversions), 0) AS BIGINT) AS conversions, "
+        "COALESCE(SUM(video_views), 0) AS video_views, COALESCE(SUM(social_eng), 0) AS social_eng, "
+        "COALESCE(SUM(conv_value), 0) AS conv_value FROM fact4 GROUP BY platform) AS p",
+        WEB,
+    ),
     "unified_counts": _q("SELECT platform, COUNT(*) AS n_rows FROM fact GROUP BY platform"),
     # filters
     "filter_platforms": _q(f"SELECT * FROM fact WHERE {SEL}"),

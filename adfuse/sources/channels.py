@@ -81,6 +81,22 @@ TIKTOK = FeedSpec(
         "vid_compl_rate": "try_divide(video_watch_100, video_views)",
     },
 )
+
+# A web-analytics channel (see ``event_feed``): only renames, everything else by role.
+WEB = FeedSpec(
+    name="web",
+    platform="Web",
+    source_types={
+        "date": "date",
+        "campaign_id": "string",
+        "campaign_name": "string",
+        "views": "bigint",
+        "clicks": "bigint",
+        "purchases": "bigint",
+        "cost": "double",
+    },
+    rename={"views": "impressions", "purchases": "conversions", "cost": "spend"},
+)
 # -------------------------------------------------------------------------------
 
 CHANNELS: dict[str, FeedSpec] = {s.name: s for s in (FACEBOOK, GOOGLE, TIKTOK)}
