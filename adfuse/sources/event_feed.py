@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from adfuse.sources.tables import read_table
+
 # Raw column expressions of the web feed.
 WEB_COLUMNS: list[str] = [
     "CAST(ts AS DATE) AS date",
@@ -22,4 +24,4 @@ WEB_COLUMNS: list[str] = [
 
 
 def web_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").selectExpr(*WEB_COLUMNS)
+    return read_table(spark, sf_dir, "events").selectExpr(*WEB_COLUMNS)

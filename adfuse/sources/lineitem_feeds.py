@@ -15,6 +15,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from adfuse.sources.tables import read_table
+
 # Which return flag stands in for which channel, and the raw
 # column expressions of each channel-shaped feed.
 FLAG_OF_FEED: dict[str, str] = {"facebook": "A", "google": "N", "tiktok": "R"}
@@ -60,7 +62,7 @@ FEED_COLUMNS: dict[str, list[str]] = {
 
 
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    return read_table(spark, sf_dir, "lineitem")
 
 
 def channel_feed(li: DataFrame, channel: str) -> DataFrame:
