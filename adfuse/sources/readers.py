@@ -70,6 +70,10 @@ def read_feed(
             spark.read.option("header", True)
             .option("mode", "PERMISSIVE")
             .option("inferSchema", False)
+            # Column names come from the first file's header; every other file's
+            # header is checked against them, so a file with a different column
+            # order fails loudly instead of silently shifting its values.
+            .option("enforceSchema", False)
             .csv(paths)
         )
         return type_by_name(raw, spec, flag_bad_rows, columns)

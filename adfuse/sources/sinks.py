@@ -27,7 +27,12 @@ def export_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
 
 def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType = FACT_SCHEMA) -> DataFrame:
     """Read a header CSV back, casting each column by header name."""
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    raw = (
+        spark.read.option("header", True)
+        .option("inferSchema", False)
+        .option("enforceSchema", False)
+        .csv(path)
+    )
     cols = []
     for f in schema.fields:
         if isinstance(f.dataType, T.DateType):

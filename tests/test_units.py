@@ -113,6 +113,14 @@ def test_malformed_csv_cells_flagged_and_header_matched_by_name(spark, tmp_path)
     assert "extra" not in df.columns
 
 
+def test_csv_files_with_different_header_order_fail_loudly(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("date,campaign_id\n2024-01-01,c1\n")
+    (tmp_path / "b.csv").write_text("campaign_id,date\nc2,2024-01-02\n")
+    spec = FeedSpec(name="x", platform="X", source_types={"date": "date", "campaign_id": "string"})
+    with pytest.raises(Exception):
+        read_feed(spark, spec, str(tmp_path), "csv").collect()
+
+
 def _camp(spark, rows):
     return spark.createDataFrame(
         [Row(platform=p, campaign_name=n, spend=s, conversions=c, cpa=(s / c if c else None))
