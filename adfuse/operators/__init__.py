@@ -25,6 +25,7 @@ from adfuse.operators.rollups import (
     daily_ctr,
     daily_rollup,
     date_extent,
+    kpi_summary,
     mean_campaign_roas,
     platform_cpm,
     platform_rollup,

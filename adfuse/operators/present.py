@@ -103,8 +103,9 @@ def platform_kpis_long(plat: DataFrame) -> DataFrame:
 def kpi_tiles(kpis: DataFrame, roas: DataFrame | None = None) -> DataFrame:
     """Scaled KPI values and their tile text ($K spend, M impressions, ...).
 
-    ``kpis`` is the one-row ``portfolio_kpis``; ``roas`` (optional) the
-    one-row ``mean_campaign_roas``, attached as a scalar subquery.
+    ``kpis`` is the one-row ``portfolio_kpis`` or ``kpi_summary`` (which
+    already carries ``mean_campaign_roas``); otherwise ``roas`` (optional), the
+    one-row ``mean_campaign_roas``, is attached as a scalar subquery.
     """
     cols = [
         scale("total_spend", "K").alias("spend_k"),
@@ -115,7 +116,9 @@ def kpi_tiles(kpis: DataFrame, roas: DataFrame | None = None) -> DataFrame:
         fmt_currency("portfolio_cpa", 2, grouping=False).alias("cpa_tile"),
         fmt_percent("portfolio_ctr_pct", 2, already_pct=True).alias("ctr_tile"),
     ]
-    if roas is not None:
+    if "mean_campaign_roas" in kpis.columns:
+        cols.append(fmt_multiple("mean_campaign_roas", 2).alias("roas_tile"))
+    elif roas is not None:
         r = roas.select("mean_campaign_roas").scalar()
         cols.append(fmt_multiple(r, 2).alias("roas_tile"))
     return kpis.select(*cols)

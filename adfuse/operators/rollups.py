@@ -60,27 +60,55 @@ def daily_ctr(series: DataFrame) -> DataFrame:
     return series.select("date", "platform", "clicks", "impressions", RATIOS["ctr_pct"].column().alias("ctr_pct"))
 
 
+_PORTFOLIO_SUMS = [
+    "sum(spend) AS _s",
+    "sum(conversions) AS _v",
+    "sum(impressions) AS _i",
+    "sum(clicks) AS _c",
+]
+
+
+def _portfolio_cols() -> list[Column]:
+    zero = F.lit(0.0)
+    return [
+        F.coalesce(F.col("_s"), zero).alias("total_spend"),
+        F.coalesce(F.col("_v"), F.lit(0).cast("bigint")).alias("total_conversions"),
+        F.coalesce(F.col("_i"), F.lit(0).cast("bigint")).alias("total_impressions"),
+        F.coalesce(F.col("_c"), F.lit(0).cast("bigint")).alias("total_clicks"),
+        F.coalesce(safe_div("_s", "_v"), zero).alias("portfolio_cpa"),
+        F.coalesce(safe_div("_c", "_i") * F.lit(100.0), zero).alias("portfolio_ctr_pct"),
+        F.coalesce(safe_div("_s", "_c"), zero).alias("portfolio_cpc"),
+    ]
+
+
 def portfolio_kpis(fact: DataFrame) -> DataFrame:
     """One-row KPI tile values; ratios are 0 when their denominator is 0.
 
-    A global aggregate: partial sums per task, a single final row.
-    An empty fact yields a row of zeros.
+    Works on the fact or on any roll-up of it (sums of sums).  A global
+    aggregate: partial sums per task, a single final row.  An empty input
+    yields a row of zeros.
     """
-    sums = fact.agg(
-        F.sum("spend").alias("s"),
-        F.sum("conversions").alias("v"),
-        F.sum("impressions").alias("i"),
-        F.sum("clicks").alias("c"),
+    return fact.agg(*[F.expr(e) for e in _PORTFOLIO_SUMS]).select(*_portfolio_cols())
+
+
+def kpi_summary(camp: DataFrame, platform: str = "Google", decimals: int = 9) -> DataFrame:
+    """Portfolio KPIs plus the ROAS KPI of ``platform`` in one aggregate.
+
+    ``camp`` is the campaign roll-up (one row per platform x campaign with its
+    ``roas``): the totals are sums of campaign sums and the ROAS mean is the
+    mean over that platform's campaigns, so the fact is read once.
+    """
+    p = f"platform = '{platform}'"
+    agg = camp.agg(
+        *[F.expr(e) for e in _PORTFOLIO_SUMS],
+        F.expr(f"avg(CASE WHEN {p} THEN roas END) AS _m"),
+        F.expr(f"sum(CASE WHEN {p} THEN conv_value END) AS _pv"),
+        F.expr(f"sum(CASE WHEN {p} THEN spend END) AS _ps"),
     )
-    zero = F.lit(0.0)
-    return sums.select(
-        F.coalesce(F.col("s"), zero).alias("total_spend"),
-        F.coalesce(F.col("v"), F.lit(0).cast("bigint")).alias("total_conversions"),
-        F.coalesce(F.col("i"), F.lit(0).cast("bigint")).alias("total_impressions"),
-        F.coalesce(F.col("c"), F.lit(0).cast("bigint")).alias("total_clicks"),
-        F.coalesce(safe_div("s", "v"), zero).alias("portfolio_cpa"),
-        F.coalesce(safe_div("c", "i") * F.lit(100.0), zero).alias("portfolio_ctr_pct"),
-        F.coalesce(safe_div("s", "c"), zero).alias("portfolio_cpc"),
+    return agg.select(
+        *_portfolio_cols(),
+        F.round(F.coalesce(F.col("_m"), F.lit(0.0)), decimals).alias("mean_campaign_roas"),
+        safe_div("_pv", "_ps").alias("pooled_roas"),
     )
 
 

@@ -39,6 +39,7 @@ from adfuse.operators.rollups import (
     daily_ctr,
     daily_rollup,
     date_extent,
+    kpi_summary,
     mean_campaign_roas,
     platform_cpm,
     platform_rollup,
@@ -157,8 +158,8 @@ def q_portfolio_kpis(spark, sf_dir):
 
 
 def q_kpi_scaled(spark, sf_dir):
-    f = fact(spark, sf_dir)
-    return kpi_tiles(portfolio_kpis(f), mean_campaign_roas(f, SEARCH_PLATFORM))
+    # Totals and the ROAS mean come from one campaign roll-up in one aggregate.
+    return kpi_tiles(kpi_summary(camp(spark, sf_dir), SEARCH_PLATFORM))
 
 
 def q_mean_campaign_roas(spark, sf_dir):

@@ -33,7 +33,7 @@ from adfuse.operators.rollups import (
     campaign_rollup,
     daily_ctr,
     daily_rollup,
-    mean_campaign_roas,
+    kpi_summary,
     platform_rollup,
     portfolio_kpis,
 )
@@ -121,7 +121,7 @@ def select(
         campaigns=camp,
         search_campaigns=search,
         kpis=kpis,
-        tiles=kpi_tiles(kpis, mean_campaign_roas(fact, search_platform)),
+        tiles=kpi_tiles(kpi_summary(camp, search_platform)),
         spend_share=share_of_total(plat.select("platform", "spend"), "spend", total_out="total_spend"),
         impression_share=share_of_total(
             plat.select("platform", "impressions"), "impressions", total_out="total_impressions"
