@@ -21,7 +21,12 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Local runs/tests only: a cluster always names a shared folder.
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder shared by all executors "
+                "(a machine-local temp folder would not survive executor loss)"
+            )
+        # Local mode (tests, single-machine runs) only.
         configured = tempfile.mkdtemp(prefix="adfuse-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
