@@ -86,6 +86,19 @@ def stack(
     return df.withColumn(out, F.sum(value).over(w))
 
 
+# Upper bound on the per-partition offset table that gets broadcast.
+MAX_OFFSET_ROWS = 1_000_000
+
+
+def _range_partition_bound(df: DataFrame) -> int:
+    """Most partitions a sort's range exchange can produce in this session
+    (AQE only ever coalesces below it)."""
+    conf = df.sparkSession.conf
+    n = int(conf.get("spark.sql.shuffle.partitions"))
+    initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return max(n, int(initial)) if initial else n
+
+
 def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "rank") -> DataFrame:
     """1-based position of each row in the total order ``order``.
 
@@ -97,19 +110,19 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "rank")
       2. ``checkpoint()`` fixes that layout on the shared checkpoint folder, so
          both consumers below see the same partitions even after executor loss.
       3. Row count per partition -> running offsets: one row per partition,
-         a size bounded by the partition count (checked), broadcast to the join.
+         at most the range exchange's partition count (checked), broadcast.
     """
     from adfuse.sources.storage import checkpoint_root
 
+    bound = _range_partition_bound(df)
+    if bound > MAX_OFFSET_ROWS:
+        raise ValueError(f"{bound} range partitions exceed the broadcast offset bound {MAX_OFFSET_ROWS}")
     checkpoint_root(df.sparkSession)
     tagged = (
         df.orderBy(*order)
         .select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_mid"))
         .checkpoint(eager=True)
     )
-    n_parts = tagged.rdd.getNumPartitions()
-    if n_parts > 1_000_000:
-        raise ValueError(f"too many partitions ({n_parts}) for a broadcast offset table")
     counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     # The offset window sees one row per partition only (bounded above).
     offsets = counts.select(

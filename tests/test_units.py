@@ -222,6 +222,13 @@ def test_global_row_number_matches_sorted_order(spark):
     assert [k for k, _ in got] == sorted((k for k, _ in got), reverse=True)
 
 
+def test_global_row_number_empty_and_single(spark):
+    empty = spark.createDataFrame([], "k bigint")
+    assert global_row_number(empty, [F.col("k")], "pos").count() == 0
+    one = spark.createDataFrame([Row(k=7)])
+    assert [r.pos for r in global_row_number(one, [F.col("k")], "pos").collect()] == [1]
+
+
 def test_daily_rollup_sums(spark):
     fact = fact_rows(spark, [
         dict(platform="F", date=D(2024, 1, 1), spend=1.0, conversions=1, impressions=10, clicks=1),
