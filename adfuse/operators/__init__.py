@@ -20,6 +20,7 @@ from adfuse.operators.present import (
     report_fact_table,
 )
 from adfuse.operators.rollups import (
+    campaign_day_rollup,
     campaign_names,
     campaign_rollup,
     daily_ctr,

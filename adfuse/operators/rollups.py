@@ -40,6 +40,16 @@ def rollup(
     return agg.selectExpr("*", *[f"{RATIOS[r].sql()} AS {q(r)}" for r in ratios])
 
 
+def campaign_day_rollup(fact: DataFrame) -> DataFrame:
+    """(date, platform, campaign_name) sums of every additive measure.
+
+    Every filter dimension and every roll-up of the dashboard can be answered
+    from this table (sums of sums), and its size is days x campaigns rather
+    than fact rows: aggregate the fact once, derive the rest from it.
+    """
+    return rollup(fact, ["date", "platform", "campaign_name"], PLATFORM_MEASURES)
+
+
 def platform_rollup(fact: DataFrame) -> DataFrame:
     """One row per platform: 7 sums plus ctr, cpc, cpa."""
     return rollup(fact, ["platform"], PLATFORM_MEASURES, ["ctr", "cpc", "cpa"])

@@ -1,14 +1,19 @@
 """The dashboard's data flow as composed lazy plans.
 
-load      raw feeds -> conformed, unified fact; (date, platform) series with
-          the trailing spend average; video funnel of the video channel
-select    the filter interaction: filtered fact, filtered series (after its
-          window), and every table the dashboard derives from them
-
+load      raw feeds -> conformed, unified fact -> one (date, platform,
+          campaign) aggregate ``cube`` -> the (date, platform) series with its
+          trailing spend average; video funnel of the video channel
+select    the filter interaction: every table the dashboard shows for one
+          platform / date / campaign selection
+
+The fact is aggregated once.  All filters act on dimensions the cube keeps,
+and every roll-up the dashboard shows is additive, so plat / camp / KPIs /
+shares / leaders / rankings are all answered from the filtered cube (size:
+days x campaigns); only the row-level table reads the fact.  With
+``materialize_to`` the fact (partitioned by platform) and the cube are
+written once to the shared folder: lineage is cut, executor loss costs no
+recomputation of the fact, and platform filters prune partitions.
 Nothing here collects: each attribute is a DataFrame for the caller's action.
-The fact has many consumers, so ``load(..., materialize_to=path)`` writes it
-once as platform-partitioned parquet (surviving executor loss, pruning by
-platform) instead of re-deriving it for every table.
 """
 
 from __future__ import annotations
@@ -30,12 +35,12 @@ from adfuse.operators.present import (
     report_fact_table,
 )
 from adfuse.operators.rollups import (
+    campaign_day_rollup,
     campaign_rollup,
     daily_ctr,
     daily_rollup,
     kpi_summary,
     platform_rollup,
-    portfolio_kpis,
 )
 from adfuse.operators.windows import rolling_mean, share_of_total, stack
 from adfuse.sources.sinks import materialize
@@ -45,12 +50,16 @@ from adfuse.sources.spec import FeedSpec
 @dataclass
 class Loaded:
     fact: DataFrame
+    cube: DataFrame
     series: DataFrame
-    funnel: DataFrame
+    funnel: DataFrame | None
 
 
 def series_of(fact: DataFrame, window: int = 7, frame: str = "rows") -> DataFrame:
-    """Daily (date, platform) sums with the trailing mean of spend."""
+    """Daily (date, platform) sums with the trailing mean of spend.
+
+    ``fact`` may be the fact or any finer-grained roll-up of it (the cube).
+    """
     return rolling_mean(daily_rollup(fact), "spend", window, frame, out="spend_7d_avg")
 
 
@@ -62,9 +71,13 @@ def load(
 ) -> Loaded:
     fact = conform_all(dict(feeds), dict(specs))
     if materialize_to:
-        fact = materialize(fact, materialize_to, partition_by=["platform"])
+        root = materialize_to.rstrip("/")
+        fact = materialize(fact, f"{root}/fact", partition_by=["platform"])
+    cube = campaign_day_rollup(fact)
+    if materialize_to:
+        cube = materialize(cube, f"{root}/cube")
     funnel = video_funnel(feeds[video_channel]) if video_channel in feeds else None
-    return Loaded(fact=fact, series=series_of(fact), funnel=funnel)
+    return Loaded(fact=fact, cube=cube, series=series_of(cube), funnel=funnel)
 
 
 @dataclass
@@ -109,19 +122,19 @@ def select(
     ignores every filter.
     """
     fact = filter_fact(loaded.fact, platforms, date_from, date_to, campaigns)
+    cube = filter_fact(loaded.cube, platforms, date_from, date_to, campaigns)
     series = filter_series(loaded.series, platforms, date_from, date_to)
-    plat = platform_rollup(fact)
-    camp = campaign_rollup(fact)
-    search = camp.where(camp["platform"] == search_platform)
-    kpis = portfolio_kpis(fact)
+    plat = platform_rollup(cube)
+    camp = campaign_rollup(cube)
+    summary = kpi_summary(camp, search_platform)
     return View(
         fact=fact,
         series=series,
         platforms=plat,
         campaigns=camp,
-        search_campaigns=search,
-        kpis=kpis,
-        tiles=kpi_tiles(kpi_summary(camp, search_platform)),
+        search_campaigns=camp.where(camp["platform"] == search_platform),
+        kpis=summary,
+        tiles=kpi_tiles(summary),
         spend_share=share_of_total(plat.select("platform", "spend"), "spend", total_out="total_spend"),
         impression_share=share_of_total(
             plat.select("platform", "impressions"), "impressions", total_out="total_impressions"
@@ -137,4 +150,3 @@ def select(
         search_table=report_campaign_table(camp, search_platform),
         fact_table=report_fact_table(fact),
     )
-

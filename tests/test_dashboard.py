@@ -5,7 +5,14 @@ import io
 
 from pyspark.sql import functions as F
 
-from adfuse.operators import display_headers, report_campaign_table
+from adfuse.operators import (
+    campaign_rollup,
+    display_headers,
+    filter_fact,
+    platform_rollup,
+    portfolio_kpis,
+    report_campaign_table,
+)
 from adfuse.operators.present import CAMPAIGN_TABLE_HEADERS
 from adfuse.plans import dashboard
 from adfuse.sources import CHANNELS, scratch_path
@@ -37,6 +44,24 @@ def test_load_materialize_and_select(spark):
     assert view.fact_table.count() == view.fact.count()
 
 
+def _rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_cube_answers_equal_fact_answers(spark):
+    feeds = raw_feeds(spark, SF_SMALL)
+    loaded = dashboard.load(feeds, CHANNELS)
+    sel = dict(platforms=["Google", "TikTok"], date_from="1995-06-01", date_to="1998-06-30", campaigns=["Camp_2", "Camp_5"])
+    view = dashboard.select(loaded, **sel)
+    fact = filter_fact(loaded.fact, **sel)
+    assert _rows(view.platforms) == _rows(platform_rollup(fact))
+    assert _rows(view.campaigns) == _rows(campaign_rollup(fact))
+    k = portfolio_kpis(fact).first()
+    assert tuple(view.kpis.first())[:7] == tuple(k)
+    direct_series = dashboard.series_of(loaded.fact)
+    assert _rows(loaded.series) == _rows(direct_series)
+
+
 def test_display_headers(spark):
     camp = spark.createDataFrame(
         [("Google", "Search_Brand", 1234.5, 10, 5000.0, 123.45, 4.05)],
