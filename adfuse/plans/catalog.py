@@ -49,10 +49,20 @@ from adfuse.operators.windows import global_row_number, rolling_mean, share_of_t
 from adfuse.plans.dashboard import series_of
 from adfuse.sources.channels import CHANNELS, FACEBOOK, GOOGLE, TIKTOK, WEB
 from adfuse.sources.event_feed import web_feed
-from adfuse.sources.lineitem_feeds import lineitem, raw_feeds, search_feed, social_feed, video_feed
+from adfuse.sources.lineitem_feeds import (
+    FLAG_OF_FEED,
+    channel_feed,
+    lineitem,
+    raw_feeds,
+    search_feed,
+    social_feed,
+    video_feed,
+)
 from adfuse.sources.readers import read_feed
 from adfuse.sources.sinks import export_csv, read_csv_typed
 from adfuse.sources.storage import scratch_path
+from adfuse.sources.tables import read_table_stream
+from adfuse.streaming.daily import write_daily_rollup
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +72,7 @@ SEL_FROM, SEL_TO = "1996-01-01", "1996-12-31"
 SEL_CAMPAIGNS = ["Camp_1", "Camp_3"]
 SEARCH_PLATFORM = "Google"
 TOP_N = 5
+STREAM_WATERMARK = "2 days"
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,6 +148,17 @@ def q_daily_rollup(spark, sf_dir):
     return daily_rollup(fact(spark, sf_dir))
 
 
+def q_daily_rollup_incremental(spark, sf_dir):
+    """The daily roll-up maintained by a Structured Streaming job: one
+    ``availableNow`` run over lineitem as a file stream emits every day the
+    2-day watermark has closed (all but the newest two days)."""
+    li = read_table_stream(spark, sf_dir, "lineitem")
+    stream_fact = conform_all({n: channel_feed(li, n) for n in FLAG_OF_FEED}, CHANNELS)
+    root = scratch_path(spark, "daily-incremental")
+    write_daily_rollup(stream_fact, f"{root}/out", f"{root}/checkpoint", STREAM_WATERMARK).awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
 def q_platform_rollup(spark, sf_dir):
     return platform_rollup(fact(spark, sf_dir))
 

@@ -27,3 +27,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     schema = TABLE_SCHEMAS.get(name)
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(path)
+
+
+def read_table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same table as a file stream (new files under the folder are picked up)."""
+    base = sf_dir.rstrip("/")
+    return (
+        spark.readStream.schema(TABLE_SCHEMAS[name])
+        .option("basePath", base)
+        .parquet(f"{base}/{name}.parquet*")
+    )

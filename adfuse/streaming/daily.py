@@ -60,27 +60,39 @@ def daily_rollup_stream(
     return agg.select(F.col("_day").cast("date").alias("date"), "platform", *measures)
 
 
-def start_daily_rollup(
-    spark: SparkSession,
-    sources: Sequence[tuple[FeedSpec, str, str]],
+def write_daily_rollup(
+    fact: DataFrame,
     out_path: str,
     checkpoint: str | None = None,
     watermark: str = "2 days",
     available_now: bool = True,
     processing_time: str = "1 minute",
 ) -> StreamingQuery:
-    """Start the incremental daily roll-up of ``sources`` = [(spec, path, fmt), ...].
+    """Start the incremental daily roll-up of a streaming fact into ``out_path``.
 
     ``available_now`` processes what has landed and stops (scheduled runs);
     otherwise it runs continuously every ``processing_time``.
     """
-    fact = unify(conform(read_feed_stream(spark, spec, path, fmt), spec) for spec, path, fmt in sources)
     out = daily_rollup_stream(fact, watermark)
     writer = (
         out.writeStream.format("parquet")
         .option("path", out_path)
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "daily-stream"))
+        .option("checkpointLocation", checkpoint or scratch_path(fact.sparkSession, "daily-stream"))
         .outputMode("append")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()
+
+
+def start_daily_rollup(
+    spark: SparkSession,
+    sources: Sequence[tuple[FeedSpec, str, str]],
+    out_path: str,
+    checkpoint: str | None = None,
+    watermark: str = "2 days",
+    available_now: bool = True,
+    processing_time: str = "1 minute",
+) -> StreamingQuery:
+    """Start the incremental daily roll-up of ``sources`` = [(spec, path, fmt), ...]."""
+    fact = unify(conform(read_feed_stream(spark, spec, path, fmt), spec) for spec, path, fmt in sources)
+    return write_daily_rollup(fact, out_path, checkpoint, watermark, available_now, processing_time)
