@@ -52,13 +52,6 @@ class Ratio:
             e = f"({e} * {float(self.multiplier)!r}D)"
         return e
 
-    def over_sums(self) -> Column:
-        """Ratio of sums, for use inside ``agg`` (sum(num) / sum(den))."""
-        c = safe_div(F.sum(self.numerator), F.sum(self.denominator))
-        if self.multiplier != 1.0:
-            c = c * F.lit(self.multiplier)
-        return c
-
 
 # Fixed metric definitions (name, numerator, denominator, multiplier).
 RATIOS: dict[str, Ratio] = {
