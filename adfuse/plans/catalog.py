@@ -72,7 +72,6 @@ SEL_FROM, SEL_TO = "1996-01-01", "1996-12-31"
 SEL_CAMPAIGNS = ["Camp_1", "Camp_3"]
 SEARCH_PLATFORM = "Google"
 TOP_N = 5
-STREAM_WATERMARK = "2 days"
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,13 +148,12 @@ def q_daily_rollup(spark, sf_dir):
 
 
 def q_daily_rollup_incremental(spark, sf_dir):
-    """The daily roll-up maintained by a Structured Streaming job: one
-    ``availableNow`` run over lineitem as a file stream emits every day the
-    2-day watermark has closed (all but the newest two days)."""
+    """The daily roll-up maintained by a Structured Streaming job (one
+    ``availableNow`` run over lineitem as a file stream)."""
     li = read_table_stream(spark, sf_dir, "lineitem")
     stream_fact = conform_all({n: channel_feed(li, n) for n in FLAG_OF_FEED}, CHANNELS)
     root = scratch_path(spark, "daily-incremental")
-    write_daily_rollup(stream_fact, f"{root}/out", f"{root}/checkpoint", STREAM_WATERMARK).awaitTermination()
+    write_daily_rollup(stream_fact, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/out")
 
 

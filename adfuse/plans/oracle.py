@@ -198,9 +198,7 @@ ORACLE: dict[str, str] = {
     "filter_series": _q(f"SELECT * FROM series WHERE {SEL} AND {DATES}"),
     # roll-ups
     "daily_rollup": _q("SELECT * FROM daily"),
-    "daily_rollup_incremental": _q(
-        "SELECT * FROM daily WHERE date <= CAST((SELECT MAX(date) FROM daily) - INTERVAL 2 DAY AS DATE)"
-    ),
+    "daily_rollup_incremental": _q("SELECT * FROM daily"),
     "platform_rollup": _q("SELECT * FROM plat_r"),
     "campaign_rollup": _q("SELECT * FROM camp_r"),
     "platform_cpm": _q(

@@ -1,8 +1,3 @@
-from adfuse.streaming.daily import (
-    daily_rollup_stream,
-    read_feed_stream,
-    start_daily_rollup,
-    write_daily_rollup,
-)
+from adfuse.streaming.daily import read_feed_stream, start_daily_rollup, write_daily_rollup
 
-__all__ = ["daily_rollup_stream", "read_feed_stream", "start_daily_rollup", "write_daily_rollup"]
+__all__ = ["read_feed_stream", "start_daily_rollup", "write_daily_rollup"]

@@ -1,11 +1,15 @@
 """The daily (date x platform) roll-up, maintained incrementally as feed files land.
 
-Same conform specs and the same sums as the batch ``daily_rollup``; a
-watermark on the day bounds the state to the days still open (days within
-``watermark`` of the newest day seen, times platforms), and append mode emits
-each finished day exactly once to a parquet sink.  Restarts resume from the
-checkpoint in the shared checkpoint folder.  Trailing averages are then a
-batch window over the (small) sink table.
+Same conform specs and the same ``daily_rollup`` as the batch plans, run by
+Structured Streaming.  The result has one row per (date, platform): its size
+is days x platforms, independent of data volume.  That bounds the streaming
+state, so no watermark is needed to evict it, and no row is ever dropped:
+data arriving late for an old day still lands in that day's totals.  Each
+micro-batch republishes the whole (small) table with ``foreachBatch`` ->
+overwrite, which is idempotent when a batch is replayed after a failure;
+progress lives in a checkpoint in the shared checkpoint folder, so scheduled
+``availableNow`` runs resume where they stopped.  Trailing averages are then a
+batch window over the published table.
 """
 
 from __future__ import annotations
@@ -13,12 +17,11 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from adfuse.functions.ratios import q
 from adfuse.operators.conform import conform, unify
-from adfuse.schema import DAILY_MEASURES
+from adfuse.operators.rollups import daily_rollup
 from adfuse.sources.readers import type_by_name
 from adfuse.sources.spec import FeedSpec
 from adfuse.sources.storage import scratch_path
@@ -51,20 +54,10 @@ def read_feed_stream(
     return type_by_name(raw, spec)
 
 
-def daily_rollup_stream(
-    fact: DataFrame, watermark: str = "2 days", measures: Sequence[str] = DAILY_MEASURES
-) -> DataFrame:
-    """Watermarked (date, platform) sums of a streaming fact."""
-    day = fact.withColumn("_day", F.col("date").cast("timestamp")).withWatermark("_day", watermark)
-    agg = day.groupBy("_day", "platform").agg(*[F.expr(f"sum({q(m)}) AS {q(m)}") for m in measures])
-    return agg.select(F.col("_day").cast("date").alias("date"), "platform", *measures)
-
-
 def write_daily_rollup(
     fact: DataFrame,
     out_path: str,
     checkpoint: str | None = None,
-    watermark: str = "2 days",
     available_now: bool = True,
     processing_time: str = "1 minute",
 ) -> StreamingQuery:
@@ -73,12 +66,16 @@ def write_daily_rollup(
     ``available_now`` processes what has landed and stops (scheduled runs);
     otherwise it runs continuously every ``processing_time``.
     """
-    out = daily_rollup_stream(fact, watermark)
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        # The complete (date x platform) table, small by construction.
+        batch.write.mode("overwrite").parquet(out_path)
+
     writer = (
-        out.writeStream.format("parquet")
-        .option("path", out_path)
+        daily_rollup(fact)
+        .writeStream.outputMode("complete")
+        .foreachBatch(publish)
         .option("checkpointLocation", checkpoint or scratch_path(fact.sparkSession, "daily-stream"))
-        .outputMode("append")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()
@@ -89,10 +86,9 @@ def start_daily_rollup(
     sources: Sequence[tuple[FeedSpec, str, str]],
     out_path: str,
     checkpoint: str | None = None,
-    watermark: str = "2 days",
     available_now: bool = True,
     processing_time: str = "1 minute",
 ) -> StreamingQuery:
     """Start the incremental daily roll-up of ``sources`` = [(spec, path, fmt), ...]."""
     fact = unify(conform(read_feed_stream(spark, spec, path, fmt), spec) for spec, path, fmt in sources)
-    return write_daily_rollup(fact, out_path, checkpoint, watermark, available_now, processing_time)
+    return write_daily_rollup(fact, out_path, checkpoint, available_now, processing_time)

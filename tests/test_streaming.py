@@ -1,8 +1,4 @@
-"""The incremental daily roll-up equals the batch one on the days it has closed."""
-
-import datetime as dt
-
-from pyspark.sql import functions as F
+"""The incremental daily roll-up equals the batch one, late data included."""
 
 from adfuse.operators import conform_all, daily_rollup
 from adfuse.sources import CHANNELS, FACEBOOK, GOOGLE, read_feed
@@ -30,37 +26,34 @@ def _write(path, header, lines):
     path.write_text(",".join(header) + "\n" + "\n".join(lines) + "\n")
 
 
-def test_stream_matches_batch_on_closed_days(spark, tmp_path):
+def _table(df):
+    return {(r.date, r.platform): (r.spend, r.conversions, r.impressions, r.clicks) for r in df.collect()}
+
+
+def test_stream_matches_batch_including_late_data(spark, tmp_path):
     fb_dir, g_dir = tmp_path / "fb", tmp_path / "g"
     fb_dir.mkdir()
     g_dir.mkdir()
-    days = [f"2024-01-{d:02d}" for d in range(1, 9)]
-    _write(fb_dir / "part1.csv", FB_HEADER, [_fb_line(d, "A", 100 + i, 5, 2.5 * i, i % 3) for i, d in enumerate(days[:5])])
-    _write(g_dir / "part1.csv", G_HEADER, [_g_line(d, "S", 200, 7, 1.5, 1) for d in days[:5]])
+    days = [f"2024-01-{d:02d}" for d in range(1, 21)]
+    _write(fb_dir / "part1.csv", FB_HEADER, [_fb_line(d, "A", 100 + i, 5, 2.5 * i, i % 3) for i, d in enumerate(days[:10])])
+    _write(g_dir / "part1.csv", G_HEADER, [_g_line(d, "S", 200, 7, 1.5, 1) for d in days[:10]])
 
     out = str(tmp_path / "daily")
     sources = [(FACEBOOK, str(fb_dir), "csv"), (GOOGLE, str(g_dir), "csv")]
     ckpt = str(tmp_path / "ckpt")
-    start_daily_rollup(spark, sources, out, checkpoint=ckpt, watermark="2 days").awaitTermination(120)
-
-    # second delivery: later days arrive; the same checkpoint resumes
-    _write(fb_dir / "part2.csv", FB_HEADER, [_fb_line(d, "B", 50, 1, 4.0, 1) for d in days[5:]])
-    _write(g_dir / "part2.csv", G_HEADER, [_g_line(d, "S", 300, 9, 2.0, 2) for d in days[5:]])
-    start_daily_rollup(spark, sources, out, checkpoint=ckpt, watermark="2 days").awaitTermination(120)
-
-    streamed = spark.read.parquet(out)
-    batch = daily_rollup(conform_all({
-        "facebook": read_feed(spark, FACEBOOK, str(fb_dir), "csv"),
-        "google": read_feed(spark, GOOGLE, str(g_dir), "csv"),
-    }, CHANNELS))
-    got = {(r.date, r.platform): (r.spend, r.conversions, r.impressions, r.clicks) for r in streamed.collect()}
-    want = {(r.date, r.platform): (r.spend, r.conversions, r.impressions, r.clicks) for r in batch.collect()}
-    assert got, "no closed day was emitted"
-    # every emitted day is final and correct, emitted once
-    assert streamed.count() == len(got)
-    for k, v in got.items():
-        assert want[k] == v
-    # days older than the watermark (newest day - 2 days) are all closed
-    newest = max(d for d, _ in want)
-    closed = {k for k in want if k[0] < newest - dt.timedelta(days=2)}
-    assert closed <= set(got)
+
+    def batch():
+        return daily_rollup(conform_all({
+            "facebook": read_feed(spark, FACEBOOK, str(fb_dir), "csv"),
+            "google": read_feed(spark, GOOGLE, str(g_dir), "csv"),
+        }, CHANNELS))
+
+    start_daily_rollup(spark, sources, out, checkpoint=ckpt).awaitTermination(120)
+    assert _table(spark.read.parquet(out)) == _table(batch())
+
+    # second delivery: later days plus late rows for the first day; same checkpoint resumes
+    _write(fb_dir / "part2.csv", FB_HEADER, [_fb_line(d, "B", 50, 1, 4.0, 1) for d in days[10:]] + [_fb_line(days[0], "L", 7, 1, 1.0, 1)])
+    _write(g_dir / "part2.csv", G_HEADER, [_g_line(d, "S", 300, 9, 2.0, 2) for d in days[10:]])
+    start_daily_rollup(spark, sources, out, checkpoint=ckpt).awaitTermination(120)
+    got, want = _table(spark.read.parquet(out)), _table(batch())
+    assert got == want and len(got) == 40
