@@ -34,13 +34,14 @@ def _date_expr(df: DataFrame, raw: str, date_format: str) -> str:
     return f"CAST({q(raw)} AS DATE)"
 
 
-def conform_exprs(df: DataFrame, spec: FeedSpec) -> tuple[list[str], list[str]]:
-    """SQL text of the two conform projections (base columns, then ratios).
+def conform_exprs(df: DataFrame, spec: FeedSpec) -> list[str]:
+    """SQL text of the conform projection, one expression per fact column.
 
     Resolution per canonical column, in order: ``spec.derived`` expression,
     raw column (renamed or same name), role default.  Ratios not supplied by
-    the feed are recomputed from the canonical numerator / denominator with a
-    NULL-on-zero division; additive measures default to 0, value to NULL.
+    the feed are recomputed from the canonical numerator / denominator
+    expressions with a NULL-on-zero division (Catalyst eliminates the repeated
+    subexpressions); additive measures default to 0, value to NULL.
     """
     present = set(df.columns)
     base: dict[str, str | None] = {}
@@ -58,28 +59,28 @@ def conform_exprs(df: DataFrame, spec: FeedSpec) -> tuple[list[str], list[str]]:
         elif role in ("count", "money"):
             base[name] = f"CAST(0 AS {dtype.simpleString()})"
         elif role == "ratio":
-            base[name] = None  # filled from canonical columns in the second step
+            base[name] = None  # derived from the canonical columns below
         else:
             base[name] = f"CAST(NULL AS {dtype.simpleString()})"
 
-    first = [f"{e} AS {q(n)}" for n, e in base.items() if e is not None]
-    second = []
+    out = []
     for name in FACT_COLUMNS:
-        if base[name] is not None:
-            second.append(q(name))
-            continue
-        r = RATIOS.get(name)
-        if r is not None and r.numerator in base and r.denominator in base:
-            second.append(f"{r.sql()} AS {q(name)}")
-        else:
-            second.append(f"CAST(NULL AS DOUBLE) AS {q(name)}")
-    return first, second
+        expr = base[name]
+        if expr is None:
+            r = RATIOS.get(name)
+            if r is not None and base.get(r.numerator) and base.get(r.denominator):
+                expr = f"try_divide(({base[r.numerator]}), ({base[r.denominator]}))"
+                if r.multiplier != 1.0:
+                    expr = f"({expr} * {float(r.multiplier)!r}D)"
+            else:
+                expr = "CAST(NULL AS DOUBLE)"
+        out.append(f"{expr} AS {q(name)}")
+    return out
 
 
 def conform(df: DataFrame, spec: FeedSpec) -> DataFrame:
-    """Project one raw feed onto the 16 canonical fact columns."""
-    first, second = conform_exprs(df, spec)
-    return df.selectExpr(*first).selectExpr(*second)
+    """Project one raw feed onto the 16 canonical fact columns (one projection)."""
+    return df.selectExpr(*conform_exprs(df, spec))
 
 
 def unify(conformed: Iterable[DataFrame]) -> DataFrame:
