@@ -55,17 +55,20 @@ def share_of_total(
 ) -> DataFrame:
     """``value / sum(value)`` for each row (NULL if the total is 0).
 
-    The total is an uncorrelated scalar subquery: evaluated once, its single
-    value is shipped to the tasks; the exchange under it is reused if ``df``
-    is itself an aggregate.
+    The total is an uncorrelated scalar subquery, referenced once: evaluated
+    once, its single value is shipped to the tasks.  When ``df`` is itself an
+    aggregate, adaptive execution reuses its shuffle stage for the subquery,
+    so the input is read once (see PLANS.md, executed stages).
     """
     out = out or f"{value}_share"
+    total_col = total_out or f"_{value}_total"
     total = df.agg(F.sum(value).alias("t")).scalar()
+    with_total = df.select("*", total.alias(total_col))
     cols = [F.col(c) for c in df.columns]
     if total_out:
-        cols.append(total.alias(total_out))
-    cols.append(safe_div(F.col(value), total).alias(out))
-    return df.select(*cols)
+        cols.append(F.col(total_col))
+    cols.append(safe_div(F.col(value), F.col(total_col)).alias(out))
+    return with_total.select(*cols)
 
 
 def stack(
