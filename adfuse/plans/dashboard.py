@@ -11,8 +11,9 @@ and every roll-up the dashboard shows is additive, so plat / camp / KPIs /
 shares / leaders / rankings are all answered from the filtered cube (size:
 days x campaigns); only the row-level table reads the fact.  With
 ``materialize_to`` the fact (partitioned by platform) and the cube are
-written once to the shared folder: lineage is cut, executor loss costs no
-recomputation of the fact, and platform filters prune partitions.
+written once to that shared folder: lineage is cut, executor loss costs no
+recomputation of the fact, and platform filters prune partitions; without
+it the cube alone is checkpointed to the session's checkpoint folder.
 Nothing here collects: each attribute is a DataFrame for the caller's action.
 """
 
@@ -45,6 +46,7 @@ from adfuse.operators.rollups import (
 from adfuse.operators.windows import rolling_mean, share_of_total, stack
 from adfuse.sources.sinks import materialize
 from adfuse.sources.spec import FeedSpec
+from adfuse.sources.storage import checkpoint_root
 
 
 @dataclass
@@ -76,6 +78,11 @@ def load(
     cube = campaign_day_rollup(fact)
     if materialize_to:
         cube = materialize(cube, f"{root}/cube")
+    else:
+        # Aggregate once even without a target folder: the cube is small
+        # (days x campaigns) and goes to the shared checkpoint folder.
+        checkpoint_root(fact.sparkSession)
+        cube = cube.checkpoint(eager=True)
     funnel = video_funnel(feeds[video_channel]) if video_channel in feeds else None
     return Loaded(fact=fact, cube=cube, series=series_of(cube), funnel=funnel)
 
