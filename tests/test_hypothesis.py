@@ -71,3 +71,36 @@ def test_best_worst_matches_model(spark, camps):
     best = min(ranked, key=lambda r: (key(r), r.platform, r.campaign_name))
     worst = min(ranked, key=lambda r: (-key(r), r.platform, r.campaign_name))
     assert got == {"best": (best.platform, best.campaign_name), "worst": (worst.platform, worst.campaign_name)}
+
+
+@SETTINGS
+@given(
+    values=st.lists(
+        st.one_of(
+            st.floats(min_value=-1e9, max_value=1e9, allow_nan=False, allow_infinity=False),
+            st.sampled_from([0.125, 2.675, 1234.5, -0.125, 0.005, 1e-7, 999999.995]),
+        ),
+        min_size=1, max_size=30,
+    )
+)
+def test_formatting_matches_python_format(spark, values):
+    from adfuse.functions import fmt_currency, fmt_fixed, fmt_multiple, fmt_number, fmt_percent
+
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    out = df.select(
+        "x",
+        fmt_currency("x", 2).alias("cur"),
+        fmt_currency("x", 3, grouping=False).alias("cur3"),
+        fmt_fixed("x", 2).alias("fix"),
+        fmt_number("x", 0).alias("num"),
+        fmt_multiple("x", 2).alias("mul"),
+        fmt_percent("x", 2).alias("pct"),
+    ).collect()
+    for r in out:
+        x = r.x
+        assert r.cur == "$" + format(x, ",.2f"), x
+        assert r.cur3 == "$" + format(x, ".3f"), x
+        assert r.fix == format(x, ".2f"), x
+        assert r.num == format(x, ",.0f"), x
+        assert r.mul == format(x, ".2f") + "×", x
+        assert r.pct == format(x * 100, ".2f") + "%", x
