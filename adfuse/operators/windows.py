@@ -108,8 +108,9 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "rank")
     ``order`` must be a total order (append tie-break columns) for the
     numbering to be deterministic.  Steps:
       1. ``orderBy`` -> range exchange; partition i holds the i-th key range,
-         sorted.  Position inside a partition comes from
-         ``monotonically_increasing_id`` (partition index << 33 | row index).
+         sorted.  ``monotonically_increasing_id`` numbers rows consecutively
+         inside each partition, so a row's position there is its id minus the
+         partition's smallest id.
       2. ``checkpoint()`` fixes that layout on the shared checkpoint folder, so
          both consumers below see the same partitions even after executor loss.
       3. Row count per partition -> running offsets: one row per partition,
@@ -126,19 +127,20 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "rank")
         .select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_mid"))
         .checkpoint(eager=True)
     )
-    counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     # The offset window sees one row per partition only (bounded above).
     offsets = counts.select(
         "_part",
+        "_first",
         F.coalesce(
             F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0).cast("bigint"),
         ).alias("_off"),
     )
-    local = F.col("_mid") - F.shiftleft(F.col("_part").cast("bigint"), 33)
+    position = F.col("_off") + (F.col("_mid") - F.col("_first")) + F.lit(1)
     return (
         tagged.join(F.broadcast(offsets), "_part")
-        .select(*[F.col(c) for c in df.columns], (F.col("_off") + local + F.lit(1)).alias(out))
+        .select(*[F.col(c) for c in df.columns], position.alias(out))
     )
 
 
