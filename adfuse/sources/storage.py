@@ -15,7 +15,13 @@ from pyspark.sql import SparkSession
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The session's checkpoint folder; set one only if none is configured."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side context, the server owns the setting
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the Spark Connect server")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
