@@ -45,7 +45,7 @@ from adfuse.operators.rollups import (
     platform_rollup,
     portfolio_kpis,
 )
-from adfuse.operators.windows import global_row_number, rolling_mean, share_of_total, stack
+from adfuse.operators.windows import global_row_number, share_of_total, stack
 from adfuse.plans.dashboard import series_of
 from adfuse.sources.channels import CHANNELS, FACEBOOK, GOOGLE, TIKTOK, WEB
 from adfuse.sources.event_feed import web_feed

@@ -8,7 +8,6 @@ import glob
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from adfuse.functions.ratios import with_ratios
 from adfuse.operators import (

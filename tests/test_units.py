@@ -1,7 +1,6 @@
 """Operator unit tests on hand-made rows (cases the test tables never contain)."""
 
 import datetime as dt
-import math
 
 import pytest
 from pyspark.sql import Row
