@@ -111,3 +111,11 @@ def test_cpa_order(fact):
         "Brand_Awareness_Q1", "Display_Remarketing", "Influencer_Collab", "Conversion_Focus",
         "Awareness_GenZ", "Traffic_Campaign", "Video_Views_Campaign", "Search_Generic_Terms",
     ]
+
+
+def test_kpi_tiles_text(fact):
+    from adfuse.operators import campaign_rollup, kpi_summary, kpi_tiles
+
+    t = kpi_tiles(kpi_summary(campaign_rollup(fact))).first()
+    assert (t.spend_tile, t.conversions_tile, t.impressions_tile) == ("$130.2K", "13,363", "40.5M")
+    assert (t.cpa_tile, t.ctr_tile, t.roas_tile) == ("$9.75", "1.70%", "6.21×")
