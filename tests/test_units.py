@@ -112,6 +112,25 @@ def test_malformed_csv_cells_flagged_and_header_matched_by_name(spark, tmp_path)
     assert "extra" not in df.columns
 
 
+def test_parquet_feed_typed_by_name(spark, tmp_path):
+    src = spark.createDataFrame(
+        [("2024-01-01", "c1", "A", "100", "5", 2.5, 1, 10, "extra")],
+        "date string, campaign_id string, campaign_name string, impressions string, clicks string, "
+        "spend double, conversions int, video_views int, junk string",
+    )
+    path = str(tmp_path / "feed")
+    src.write.parquet(path)
+    cols = ["date", "campaign_id", "campaign_name", "impressions", "clicks", "spend", "conversions", "video_views"]
+    df = read_feed(spark, FACEBOOK, path, "parquet", flag_bad_rows=True, columns=cols)
+    assert dict(df.dtypes) == {
+        "date": "date", "campaign_id": "string", "campaign_name": "string", "impressions": "bigint",
+        "clicks": "bigint", "spend": "double", "conversions": "bigint", "video_views": "bigint", "bad_row": "boolean",
+    }
+    r = df.first()
+    assert r.date == D(2024, 1, 1) and r.impressions == 100 and not r.bad_row
+    assert conform(df, FACEBOOK).first().cpc == 0.5
+
+
 def test_csv_files_with_different_header_order_fail_loudly(spark, tmp_path):
     (tmp_path / "a.csv").write_text("date,campaign_id\n2024-01-01,c1\n")
     (tmp_path / "b.csv").write_text("campaign_id,date\nc2,2024-01-02\n")
