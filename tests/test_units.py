@@ -247,6 +247,18 @@ def test_global_row_number_empty_and_single(spark):
     assert [r.pos for r in global_row_number(one, [F.col("k")], "pos").collect()] == [1]
 
 
+def test_series_filter_keeps_window_history(spark):
+    from adfuse.operators import filter_series
+
+    s = spark.createDataFrame(
+        [Row(date=D(2024, 1, d), platform="P", spend=float(d)) for d in range(1, 11)]
+    )
+    rolled = rolling_mean(s, "spend", 7, out="avg7")
+    first = filter_series(rolled, ["P"], "2024-01-08", "2024-01-10").orderBy("date").first()
+    # day 8 averages days 2..8 although days before the 8th were filtered out
+    assert first.date == D(2024, 1, 8) and first.avg7 == sum(range(2, 9)) / 7
+
+
 def test_daily_rollup_sums(spark):
     fact = fact_rows(spark, [
         dict(platform="F", date=D(2024, 1, 1), spend=1.0, conversions=1, impressions=10, clicks=1),
