@@ -26,10 +26,15 @@ def export_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType = FACT_SCHEMA) -> DataFrame:
-    """Read a header CSV back, casting each column by header name."""
+    """Read a CSV written by ``export_csv`` back, typed by header name.
+
+    The column order is known, so the text schema is given up front (no
+    header-inference job) and every file's header is validated against it.
+    """
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     raw = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
+        spark.read.schema(text)
+        .option("header", True)
         .option("enforceSchema", False)
         .csv(path)
     )
