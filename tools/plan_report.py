@@ -105,6 +105,19 @@ def main() -> None:
     print("adaptive stage boundary or a reused exchange) / tasks run. Queries that write and read back")
     print("(CSV round trips, checkpoints, the streaming job) do part of their work while being built;")
     print("that part is not in the runtime column.\n")
+    print("How to read the recurring shapes:\n")
+    print("- 3 scans with `EqualTo(l_returnflag, A/N/R)`: one read of the fixture fact, one pruned scan per channel")
+    print("  feed; a platform or search-channel filter removes whole branches (1–2 scans).")
+    print("- `hashpartitioning(platform[, campaign_name])` after `partial_sum`: the only shuffle of a roll-up carries")
+    print("  one partial row per group per map task, never raw rows, so a hot platform or campaign stays cheap.")
+    print("- `SinglePartition`: the final step of a global aggregate (KPIs, funnel, arg-min/arg-max); it receives")
+    print("  one partial row per map task.")
+    print("- `hashpartitioning(date, platform)` then `hashpartitioning(platform)` or `(date)`: the window's second")
+    print("  shuffle moves only the days × platforms series, not the fact.")
+    print("- `Scan ExistingRDD` + `hashpartitioning(_part)` + 1 broadcast: a full ranking reading its checkpointed,")
+    print("  range-sorted input; the broadcast is the per-partition offset table (≤ one row per partition).")
+    print("- subqueries: share of total divides by one scalar subquery; at runtime it reuses the roll-up's shuffle")
+    print("  stage, so the fact is still read once (3 scan tasks).\n")
     print("| query | scans | shuffles | broadcasts | windows | aggregates | subqueries | run / reused / tasks | pushed filters |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- |")
     for name, fn in sorted(entry.queries().items()):
