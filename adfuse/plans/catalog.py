@@ -18,6 +18,7 @@ from adfuse.operators.conform import conform, conform_all
 from adfuse.operators.filters import filter_fact, filter_series, flag_target
 from adfuse.operators.funnel import engagement_summary, funnel_stages, video_funnel
 from adfuse.operators.insights import (
+    ROAS_TARGET,
     below_target,
     best_per_group,
     best_worst,
@@ -265,7 +266,7 @@ def q_roas_table(spark, sf_dir):
 
 def q_roas_target_flag(spark, sf_dir):
     g = _search_campaigns(spark, sf_dir).select("campaign_name", "roas")
-    return flag_target(g, "roas", 4.0)
+    return flag_target(g, "roas", ROAS_TARGET)
 
 
 def q_roas_leader(spark, sf_dir):
