@@ -47,6 +47,7 @@ from adfuse.operators.rollups import (
     portfolio_kpis,
 )
 from adfuse.operators.windows import global_row_number, share_of_total, stack
+from adfuse.plans import dashboard
 from adfuse.plans.dashboard import series_of
 from adfuse.sources.channels import CHANNELS, FACEBOOK, GOOGLE, TIKTOK, WEB
 from adfuse.sources.event_feed import web_feed
@@ -196,6 +197,23 @@ def q_campaign_list(spark, sf_dir):
     return global_row_number(names, [F.col("campaign_name").asc_nulls_last()], "position")
 
 
+def _selection(spark, sf_dir):
+    """The dashboard flow: load (fact aggregated once into the campaign-day
+    table) then one platform / date / campaign selection."""
+    loaded = dashboard.load(raw_feeds(spark, sf_dir), CHANNELS)
+    return dashboard.select(loaded, SEL_PLATFORMS, SEL_FROM, SEL_TO, SEL_CAMPAIGNS, SEARCH_PLATFORM)
+
+
+def q_filtered_campaign_rollup(spark, sf_dir):
+    """Campaign roll-up of the filtered fact, answered from the campaign-day table."""
+    return _selection(spark, sf_dir).campaigns
+
+
+def q_filtered_kpis(spark, sf_dir):
+    """KPI row (totals, ratios, search-channel ROAS) of the filtered selection."""
+    return _selection(spark, sf_dir).kpis
+
+
 # --- windows / shares / funnel ----------------------------------------------------
 def q_spend_rolling_7(spark, sf_dir):
     return series(spark, sf_dir, "rows")

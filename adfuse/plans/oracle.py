@@ -160,6 +160,18 @@ CAMP_COLS = "platform, campaign_name, impressions, clicks, spend, conversions, c
 PCT = "CAST(100 AS DOUBLE)"
 
 
+FILTERED = f""",
+fcamp AS (
+  SELECT platform, campaign_name,
+         CAST(COALESCE(SUM(impressions), 0) AS BIGINT) AS impressions,
+         CAST(COALESCE(SUM(clicks), 0) AS BIGINT) AS clicks,
+         COALESCE(SUM(spend), 0) AS spend,
+         CAST(COALESCE(SUM(conversions), 0) AS BIGINT) AS conversions,
+         COALESCE(SUM(conv_value), 0) AS conv_value
+  FROM fact WHERE {SEL} AND {DATES} AND {CAMPS} GROUP BY platform, campaign_name
+)"""
+
+
 def _q(body: str, extra: str = "") -> str:
     return f"WITH {BASE}{extra}\n{body}"
 
@@ -212,6 +224,23 @@ ORACLE: dict[str, str] = {
         "FROM daily"
     ),
     "portfolio_kpis": _q("SELECT * FROM kpis"),
+    "filtered_campaign_rollup": _q(
+        "SELECT *, clicks / NULLIF(impressions, 0) AS ctr, spend / NULLIF(conversions, 0) AS cpa, "
+        "conv_value / NULLIF(spend, 0) AS roas FROM fcamp",
+        FILTERED,
+    ),
+    "filtered_kpis": _q(
+        "SELECT COALESCE(SUM(spend), 0) AS total_spend, CAST(COALESCE(SUM(conversions), 0) AS BIGINT) AS total_conversions, "
+        "CAST(COALESCE(SUM(impressions), 0) AS BIGINT) AS total_impressions, "
+        "CAST(COALESCE(SUM(clicks), 0) AS BIGINT) AS total_clicks, "
+        "COALESCE(SUM(spend) / NULLIF(SUM(conversions), 0), 0) AS portfolio_cpa, "
+        f"COALESCE(SUM(clicks) / NULLIF(SUM(impressions), 0) * {PCT}, 0) AS portfolio_ctr_pct, "
+        "COALESCE(SUM(spend) / NULLIF(SUM(clicks), 0), 0) AS portfolio_cpc, "
+        "ROUND(COALESCE(AVG(CASE WHEN platform = 'Google' THEN conv_value / NULLIF(spend, 0) END), 0), 9) "
+        "AS mean_campaign_roas, SUM(CASE WHEN platform = 'Google' THEN conv_value END) / "
+        "NULLIF(SUM(CASE WHEN platform = 'Google' THEN spend END), 0) AS pooled_roas FROM fcamp",
+        FILTERED,
+    ),
     "kpi_scaled": _q(
         "SELECT total_spend / CAST(1000 AS DOUBLE) AS spend_k, "
         "total_impressions / CAST(1000000 AS DOUBLE) AS impressions_m, "
