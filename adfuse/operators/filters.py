@@ -22,6 +22,8 @@ def _as_date(d: DateLike) -> Column | None:
         return None
     if isinstance(d, str):
         d = dt.date.fromisoformat(d)
+    elif isinstance(d, dt.datetime):
+        d = d.date()  # whole days: a time part must not cut the end day short
     return F.lit(d)
 
 

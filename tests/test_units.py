@@ -207,6 +207,7 @@ def test_single_date_range_is_that_day(spark):
     out = filter_fact(fact, date_from="2024-01-02")
     assert [r.date.day for r in out.collect()] == [2]
     assert filter_fact(fact, date_from="2024-01-01", date_to="2024-01-02").count() == 2
+    assert filter_fact(fact, date_from=dt.datetime(2024, 1, 1, 9), date_to=dt.datetime(2024, 1, 2, 9)).count() == 2
 
 
 def test_empty_fact_kpis_are_zero(spark):
