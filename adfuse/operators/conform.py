@@ -12,6 +12,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -80,7 +81,10 @@ def conform_exprs(df: DataFrame, spec: FeedSpec) -> list[str]:
 
 def conform(df: DataFrame, spec: FeedSpec) -> DataFrame:
     """Project one raw feed onto the 16 canonical fact columns (one projection)."""
-    return df.selectExpr(*conform_exprs(df, spec))
+    try:
+        return df.selectExpr(*conform_exprs(df, spec))
+    except AnalysisException as e:
+        raise ValueError(f"feed {spec.name!r} does not fit its spec: {e}") from e
 
 
 def unify(conformed: Iterable[DataFrame]) -> DataFrame:

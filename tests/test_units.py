@@ -96,6 +96,13 @@ def test_new_channel_by_spec_only(spark):
     assert out.cpc == 2.0 and out.cpa is None and out.video_views == 0.0
 
 
+def test_spec_referencing_missing_column_names_the_feed(spark):
+    spec = FeedSpec(name="bad", platform="B", derived={"social_eng": "likes + shares"})
+    raw = spark.createDataFrame([Row(date=D(2024, 1, 1), likes=1)])
+    with pytest.raises(ValueError, match="'bad'"):
+        conform(raw, spec)
+
+
 def test_malformed_csv_cells_flagged_and_header_matched_by_name(spark, tmp_path):
     p = tmp_path / "feed.csv"
     # reordered header, one extra column, one malformed date and one malformed int
