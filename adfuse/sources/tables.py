@@ -2,6 +2,8 @@
 
 Declaring the schema avoids a schema-inference job (footer read) on every
 plan; columns are still resolved by name and pruned to what a query needs.
+Integer columns are declared BIGINT: the parquet reader widens 32-bit
+columns, so either physical width reads.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 # The source tables' column names and types.
 TABLE_SCHEMAS: dict[str, str] = {
     "lineitem": (
-        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber BIGINT, "
         "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
         "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"
     ),
