@@ -71,3 +71,16 @@ def test_display_headers(spark):
     assert out.columns == ["Campaign", "Spend", "Conv.", "Conv. Value", "CPA", "ROAS"]
     r = out.first()
     assert (r[0], r[1], r[3], r[4], r[5]) == ("Search Brand", "$1,234", "$5,000", "$123.45", "4.05×")
+
+
+def test_empty_selection(spark):
+    loaded = dashboard.load(raw_feeds(spark, SF_SMALL), CHANNELS)
+    view = dashboard.select(loaded, platforms=[])
+    assert view.platforms.count() == 0 and view.campaigns.count() == 0 and view.series.count() == 0
+    k = view.kpis.first()
+    assert (k.total_spend, k.total_conversions, k.portfolio_cpa, k.mean_campaign_roas) == (0.0, 0, 0.0, 0.0)
+    assert k.pooled_roas is None
+    t = view.tiles.first()
+    assert (t.spend_tile, t.conversions_tile, t.roas_tile) == ("$0.0K", "0", "0.00×")
+    assert view.best_worst.count() == 0 and view.leaders.count() == 0
+    assert view.spend_share.count() == 0 and view.fact_table.count() == 0
