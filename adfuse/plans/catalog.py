@@ -90,66 +90,66 @@ def camp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- scan / conform / union ---------------------------------------------------
-def q_scan_feed(spark, sf_dir):
+def q_scan_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed CSV read by header name, after writing the search feed as CSV."""
     raw = search_feed(lineitem(spark, sf_dir))
     path = export_csv(raw, scratch_path(spark, "scan-feed"))
     return read_feed(spark, GOOGLE, path, "csv", flag_bad_rows=True, columns=raw.columns)
 
 
-def q_conform_social(spark, sf_dir):
+def q_conform_social(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(social_feed(lineitem(spark, sf_dir)), FACEBOOK)
 
 
-def q_conform_search(spark, sf_dir):
+def q_conform_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(search_feed(lineitem(spark, sf_dir)), GOOGLE)
 
 
-def q_conform_video(spark, sf_dir):
+def q_conform_video(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(video_feed(lineitem(spark, sf_dir)), TIKTOK)
 
 
-def q_unified_fact(spark, sf_dir):
+def q_unified_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact(spark, sf_dir)
 
 
-def q_platform_rollup_with_web(spark, sf_dir):
+def q_platform_rollup_with_web(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fourth channel (web events) joins the fact by spec only."""
     feeds = {**raw_feeds(spark, sf_dir), "web": web_feed(spark, sf_dir)}
     return platform_rollup(conform_all(feeds, {**CHANNELS, "web": WEB}))
 
 
-def q_unified_counts(spark, sf_dir):
+def q_unified_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact(spark, sf_dir).groupBy("platform").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 # --- filters --------------------------------------------------------------------
-def q_filter_platforms(spark, sf_dir):
+def q_filter_platforms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_fact(fact(spark, sf_dir), platforms=SEL_PLATFORMS)
 
 
-def q_filter_dates(spark, sf_dir):
+def q_filter_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_fact(fact(spark, sf_dir), date_from=SEL_FROM, date_to=SEL_TO)
 
 
-def q_filter_campaigns(spark, sf_dir):
+def q_filter_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_fact(fact(spark, sf_dir), campaigns=SEL_CAMPAIGNS)
 
 
-def q_filter_all(spark, sf_dir):
+def q_filter_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_fact(fact(spark, sf_dir), SEL_PLATFORMS, SEL_FROM, SEL_TO, SEL_CAMPAIGNS)
 
 
-def q_filter_series(spark, sf_dir):
+def q_filter_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_series(series(spark, sf_dir), SEL_PLATFORMS, SEL_FROM, SEL_TO)
 
 
 # --- roll-ups -------------------------------------------------------------------
-def q_daily_rollup(spark, sf_dir):
+def q_daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_rollup(fact(spark, sf_dir))
 
 
-def q_daily_rollup_incremental(spark, sf_dir):
+def q_daily_rollup_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily roll-up maintained by a Structured Streaming job (one
     ``availableNow`` run over lineitem as a file stream)."""
     li = read_table_stream(spark, sf_dir, "lineitem")
@@ -159,168 +159,168 @@ def q_daily_rollup_incremental(spark, sf_dir):
     return spark.read.parquet(f"{root}/out")
 
 
-def q_platform_rollup(spark, sf_dir):
+def q_platform_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return platform_rollup(fact(spark, sf_dir))
 
 
-def q_campaign_rollup(spark, sf_dir):
+def q_campaign_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return camp(spark, sf_dir)
 
 
-def q_platform_cpm(spark, sf_dir):
+def q_platform_cpm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return platform_cpm(fact(spark, sf_dir))
 
 
-def q_daily_ctr(spark, sf_dir):
+def q_daily_ctr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_ctr(daily_rollup(fact(spark, sf_dir)))
 
 
-def q_portfolio_kpis(spark, sf_dir):
+def q_portfolio_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portfolio_kpis(fact(spark, sf_dir))
 
 
-def q_kpi_scaled(spark, sf_dir):
+def q_kpi_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Totals and the ROAS mean come from one campaign roll-up in one aggregate.
     return kpi_tiles(kpi_summary(camp(spark, sf_dir), SEARCH_PLATFORM))
 
 
-def q_mean_campaign_roas(spark, sf_dir):
+def q_mean_campaign_roas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mean_campaign_roas(fact(spark, sf_dir), SEARCH_PLATFORM)
 
 
-def q_date_extent(spark, sf_dir):
+def q_date_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return date_extent(fact(spark, sf_dir))
 
 
-def q_campaign_list(spark, sf_dir):
+def q_campaign_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = campaign_names(fact(spark, sf_dir))
     return global_row_number(names, [F.col("campaign_name").asc_nulls_last()], "position")
 
 
-def _selection(spark, sf_dir):
+def _selection(spark: SparkSession, sf_dir: str):
     """The dashboard flow: load (fact aggregated once into the campaign-day
     table) then one platform / date / campaign selection."""
     loaded = dashboard.load(raw_feeds(spark, sf_dir), CHANNELS)
     return dashboard.select(loaded, SEL_PLATFORMS, SEL_FROM, SEL_TO, SEL_CAMPAIGNS, SEARCH_PLATFORM)
 
 
-def q_filtered_campaign_rollup(spark, sf_dir):
+def q_filtered_campaign_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Campaign roll-up of the filtered fact, answered from the campaign-day table."""
     return _selection(spark, sf_dir).campaigns
 
 
-def q_filtered_kpis(spark, sf_dir):
+def q_filtered_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """KPI row (totals, ratios, search-channel ROAS) of the filtered selection."""
     return _selection(spark, sf_dir).kpis
 
 
 # --- windows / shares / funnel ----------------------------------------------------
-def q_spend_rolling_7(spark, sf_dir):
+def q_spend_rolling_7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series(spark, sf_dir, "rows")
 
 
-def q_spend_rolling_7_days(spark, sf_dir):
+def q_spend_rolling_7_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series(spark, sf_dir, "days")
 
 
-def q_spend_share(spark, sf_dir):
+def q_spend_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     plat = platform_rollup(fact(spark, sf_dir)).select("platform", "spend")
     return share_of_total(plat, "spend", total_out="total_spend")
 
 
-def q_impression_share(spark, sf_dir):
+def q_impression_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     plat = platform_rollup(fact(spark, sf_dir)).select("platform", "impressions")
     return share_of_total(plat, "impressions", total_out="total_impressions")
 
 
-def q_conversions_stacked(spark, sf_dir):
+def q_conversions_stacked(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = daily_rollup(fact(spark, sf_dir)).select("date", "platform", "conversions")
     return stack(daily, "conversions")
 
 
-def _funnel(spark, sf_dir):
+def _funnel(spark: SparkSession, sf_dir: str):
     return video_funnel(video_feed(lineitem(spark, sf_dir)))
 
 
-def q_video_funnel(spark, sf_dir):
+def q_video_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _funnel(spark, sf_dir)
 
 
-def q_funnel_stages(spark, sf_dir):
+def q_funnel_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return funnel_stages(_funnel(spark, sf_dir))
 
 
-def q_engagement_summary(spark, sf_dir):
+def q_engagement_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return engagement_summary(_funnel(spark, sf_dir))
 
 
 # --- ranks / insights --------------------------------------------------------------
-def q_campaign_cpa_ranked(spark, sf_dir):
+def q_campaign_cpa_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_campaigns(camp(spark, sf_dir), "cpa")
 
 
-def q_top_n_campaigns(spark, sf_dir):
+def q_top_n_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_campaigns(camp(spark, sf_dir), "cpa", TOP_N)
 
 
-def q_best_worst_campaign(spark, sf_dir):
+def q_best_worst_campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_worst(camp(spark, sf_dir), "cpa")
 
 
-def q_best_campaign_per_platform(spark, sf_dir):
+def q_best_campaign_per_platform(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_per_group(camp(spark, sf_dir), ["platform"], "cpa")
 
 
-def _search_campaigns(spark, sf_dir):
+def _search_campaigns(spark: SparkSession, sf_dir: str):
     c = camp(spark, sf_dir)
     return c.where(F.col("platform") == SEARCH_PLATFORM)
 
 
-def q_roas_table(spark, sf_dir):
+def q_roas_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = _search_campaigns(spark, sf_dir).select("campaign_name", "spend", "conv_value", "roas", "cpa")
     order = [F.col("roas").desc_nulls_last(), F.col("campaign_name").asc_nulls_last()]
     return global_row_number(g, order, "roas_rank")
 
 
-def q_roas_target_flag(spark, sf_dir):
+def q_roas_target_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = _search_campaigns(spark, sf_dir).select("campaign_name", "roas")
     return flag_target(g, "roas", ROAS_TARGET)
 
 
-def q_roas_leader(spark, sf_dir):
+def q_roas_leader(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leader(camp(spark, sf_dir), "roas", largest=True)
 
 
-def q_below_target_spend(spark, sf_dir):
+def q_below_target_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return below_target(camp(spark, sf_dir), SEARCH_PLATFORM)
 
 
-def q_conversion_leader(spark, sf_dir):
+def q_conversion_leader(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leader(camp(spark, sf_dir), "conversions", largest=True)
 
 
-def q_platform_leaders(spark, sf_dir):
+def q_platform_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return platform_leaders(with_ratios(platform_rollup(fact(spark, sf_dir)), ["cpm"]))
 
 
 # --- presentation / sink --------------------------------------------------------------
-def q_platform_kpis_long(spark, sf_dir):
+def q_platform_kpis_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return platform_kpis_long(platform_rollup(fact(spark, sf_dir)))
 
 
-def q_campaign_labels(spark, sf_dir):
+def q_campaign_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return campaign_labels(camp(spark, sf_dir))
 
 
-def q_report_campaign_table(spark, sf_dir):
+def q_report_campaign_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_campaign_table(camp(spark, sf_dir), SEARCH_PLATFORM)
 
 
-def q_report_fact_table(spark, sf_dir):
+def q_report_fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_fact_table(fact(spark, sf_dir))
 
 
-def q_export_roundtrip(spark, sf_dir):
+def q_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the unified fact as CSV and read it back typed by header."""
     path = export_csv(fact(spark, sf_dir), scratch_path(spark, "export"))
     return read_csv_typed(spark, path)
