@@ -88,10 +88,18 @@ def conform(df: DataFrame, spec: FeedSpec) -> DataFrame:
 
 
 def unify(conformed: Iterable[DataFrame]) -> DataFrame:
-    """Union conformed feeds by column name (duplicates kept, no shuffle)."""
+    """Union conformed feeds by column name (duplicates kept, no shuffle).
+
+    Conformed feeds share the canonical column order, so the cheaper
+    positional union is used when the names line up exactly; otherwise the
+    union matches columns by name.
+    """
     frames = list(conformed)
     if not frames:
         raise ValueError("unify needs at least one feed")
+    first = frames[0].columns
+    if all(f.columns == first for f in frames[1:]):
+        return reduce(lambda a, b: a.union(b), frames)
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
