@@ -17,9 +17,21 @@ from adfuse.functions.ratios import RATIOS, q, safe_div
 from adfuse.schema import CAMPAIGN_MEASURES, DAILY_MEASURES, PLATFORM_MEASURES
 
 
-def _sum0(c: str) -> Column:
+def _sum0_sql(c: str) -> str:
     # An all-NULL group sums to 0 (e.g. conv_value of channels without it).
-    return F.expr(f"coalesce(sum({q(c)}), 0) AS {q(c)}")
+    return f"coalesce(sum({q(c)}), 0)"
+
+
+def _sum0(c: str) -> Column:
+    return F.expr(f"{_sum0_sql(c)} AS {q(c)}")
+
+
+def _ratio_of_sums(name: str) -> Column:
+    r = RATIOS[name]
+    e = f"try_divide({_sum0_sql(r.numerator)}, {_sum0_sql(r.denominator)})"
+    if r.multiplier != 1.0:
+        e = f"({e} * {float(r.multiplier)!r}D)"
+    return F.expr(f"{e} AS {q(name)}")
 
 
 def daily_rollup(fact: DataFrame, measures: Sequence[str] = DAILY_MEASURES) -> DataFrame:
@@ -33,11 +45,9 @@ def rollup(
     measures: Sequence[str],
     ratios: Sequence[str] = (),
 ) -> DataFrame:
-    """Sum ``measures`` by ``keys`` then add ratio-of-sums ``ratios``."""
-    agg = fact.groupBy(*keys).agg(*[_sum0(m) for m in measures])
-    if not ratios:
-        return agg
-    return agg.selectExpr("*", *[f"{RATIOS[r].sql()} AS {q(r)}" for r in ratios])
+    """Sum ``measures`` by ``keys`` and add ratio-of-sums ``ratios``, in one
+    aggregate (each ``sum`` is computed once however often it is referenced)."""
+    return fact.groupBy(*keys).agg(*[_sum0(m) for m in measures], *[_ratio_of_sums(r) for r in ratios])
 
 
 def campaign_day_rollup(fact: DataFrame) -> DataFrame:
