@@ -45,9 +45,12 @@ class Ratio:
             c = c * F.lit(self.multiplier)
         return c
 
-    def sql(self) -> str:
-        """The same ratio as SQL expression text."""
-        e = f"try_divide({q(self.numerator)}, {q(self.denominator)})"
+    def sql(self, numerator: str | None = None, denominator: str | None = None) -> str:
+        """The ratio as SQL expression text, over the named columns or over
+        the given operand expressions (e.g. their sums inside an aggregate)."""
+        num = numerator if numerator is not None else q(self.numerator)
+        den = denominator if denominator is not None else q(self.denominator)
+        e = f"try_divide(({num}), ({den}))"
         if self.multiplier != 1.0:
             e = f"({e} * {float(self.multiplier)!r}D)"
         return e

@@ -70,9 +70,7 @@ def conform_exprs(df: DataFrame, spec: FeedSpec) -> list[str]:
         if expr is None:
             r = RATIOS.get(name)
             if r is not None and base.get(r.numerator) and base.get(r.denominator):
-                expr = f"try_divide(({base[r.numerator]}), ({base[r.denominator]}))"
-                if r.multiplier != 1.0:
-                    expr = f"({expr} * {float(r.multiplier)!r}D)"
+                expr = r.sql(base[r.numerator], base[r.denominator])
             else:
                 expr = "CAST(NULL AS DOUBLE)"
         out.append(f"{expr} AS {q(name)}")

@@ -28,10 +28,7 @@ def _sum0(c: str) -> Column:
 
 def _ratio_of_sums(name: str) -> Column:
     r = RATIOS[name]
-    e = f"try_divide({_sum0_sql(r.numerator)}, {_sum0_sql(r.denominator)})"
-    if r.multiplier != 1.0:
-        e = f"({e} * {float(r.multiplier)!r}D)"
-    return F.expr(f"{e} AS {q(name)}")
+    return F.expr(f"{r.sql(_sum0_sql(r.numerator), _sum0_sql(r.denominator))} AS {q(name)}")
 
 
 def daily_rollup(fact: DataFrame, measures: Sequence[str] = DAILY_MEASURES) -> DataFrame:
