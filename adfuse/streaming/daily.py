@@ -60,16 +60,21 @@ def write_daily_rollup(
     checkpoint: str | None = None,
     available_now: bool = True,
     processing_time: str = "1 minute",
+    publish_files: int = 8,
 ) -> StreamingQuery:
     """Start the incremental daily roll-up of a streaming fact into ``out_path``.
 
     ``available_now`` processes what has landed and stops (scheduled runs);
-    otherwise it runs continuously every ``processing_time``.
+    otherwise it runs continuously every ``processing_time``.  The published
+    table is days x platforms rows, so it is written by ``publish_files``
+    tasks instead of one tiny file per state partition; ``repartition`` (not
+    ``coalesce``) keeps the stateful aggregation itself at full parallelism
+    and moves only the small finished table.
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         # The complete (date x platform) table, small by construction.
-        batch.write.mode("overwrite").parquet(out_path)
+        batch.repartition(publish_files).write.mode("overwrite").parquet(out_path)
 
     writer = (
         daily_rollup(fact)
@@ -88,7 +93,8 @@ def start_daily_rollup(
     checkpoint: str | None = None,
     available_now: bool = True,
     processing_time: str = "1 minute",
+    publish_files: int = 8,
 ) -> StreamingQuery:
     """Start the incremental daily roll-up of ``sources`` = [(spec, path, fmt), ...]."""
     fact = unify(conform(read_feed_stream(spark, spec, path, fmt), spec) for spec, path, fmt in sources)
-    return write_daily_rollup(fact, out_path, checkpoint, available_now, processing_time)
+    return write_daily_rollup(fact, out_path, checkpoint, available_now, processing_time, publish_files)
