@@ -7,4 +7,6 @@ DataFrame -> DataFrame transformation planned by Catalyst.
 
 from adfuse.schema import FACT_COLUMNS, FACT_SCHEMA
 
-__all__ = ["FACT_COLUMNS", "FACT_SCHEMA"]
+__version__ = "0.1.0"
+
+__all__ = ["FACT_COLUMNS", "FACT_SCHEMA", "__version__"]

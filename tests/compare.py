@@ -6,7 +6,6 @@ order-insensitive sort (floats compared with a tiny relative tolerance).
 
 from __future__ import annotations
 
-import datetime as dt
 import math
 
 import duckdb
@@ -25,12 +24,8 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
-    if isinstance(v, float):
-        if math.isnan(v):
-            return ("nan",)
-        return float(v)
-    if isinstance(v, dt.datetime):
-        return v
+    if isinstance(v, float) and math.isnan(v):
+        return ("nan",)
     return v
 
 
