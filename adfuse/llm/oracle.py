@@ -6,6 +6,7 @@ and strings where the operators use hashes, bytes or votes.
 
 from __future__ import annotations
 
+from adfuse.llm.license_scan import BAND, COVER, NEAR, TEMPLATES
 from adfuse.llm.tables import UPPER
 
 _LOWER = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
@@ -51,3 +52,47 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'bytes' AS law, CAST(s
        r - min(r) OVER (PARTITION BY s) AS slot, CAST(NULL AS INTEGER) AS grown_shard
 FROM placed JOIN sums USING (t)
 """
+
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_TEMPLATES = ", ".join(
+    f"({i}, '{t.label}', '{t.family}', {str(t.exact).lower()}, '{t.text.lower()}')" for i, t in enumerate(TEMPLATES)
+)
+
+SQL["op2_license_scan"] = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM documents
+  ),
+  grams AS (SELECT r, p, w[p+1] || ' ' || w[p+2] || ' ' || w[p+3] AS g FROM (SELECT r, w, unnest(range(len(w) - 2)) AS p FROM docs)),
+  templates AS (SELECT tid, label, family, exact, regexp_extract_all(t, '{_ALNUM}') AS w FROM (VALUES {_TEMPLATES}) AS x(tid, label, family, exact, t)),
+  tgrams AS (
+    SELECT tid, label, family, exact, len(w) - 2 AS n, q, w[q+1] || ' ' || w[q+2] || ' ' || w[q+3] AS g
+    FROM (SELECT *, unnest(range(len(w) - 2)) AS q FROM templates)
+  ),
+  hits AS (SELECT r, tid, label, family, exact, n, q, p, p - q AS d FROM grams JOIN tgrams USING (g)),
+  diagonals AS (SELECT DISTINCT r, tid, exact, d FROM hits),
+  marked AS (
+    SELECT *, d - lag(d) OVER (PARTITION BY r, tid ORDER BY d) AS gap FROM diagonals
+  ),
+  runs AS (
+    SELECT r, tid, d, sum(CASE WHEN exact OR gap IS NULL OR gap > {BAND} THEN 1 ELSE 0 END) OVER (PARTITION BY r, tid ORDER BY d) AS run
+    FROM marked
+  ),
+  merged AS (
+    SELECT r, tid, label, family, exact, run, min(p) AS first, count(DISTINCT q) / n AS cover
+    FROM hits JOIN runs USING (r, tid, d) GROUP BY r, tid, label, family, exact, run, n
+  ),
+  best AS (
+    SELECT *, max(cover) OVER (PARTITION BY r, family, exact ORDER BY first RANGE BETWEEN {NEAR} PRECEDING AND {NEAR} FOLLOWING) AS most
+    FROM merged
+  ),
+  found AS (SELECT * FROM best WHERE CASE WHEN exact THEN cover >= 1.0 ELSE cover >= {COVER} AND cover >= most END),
+  scored AS (
+    SELECT r, count(*) FILTER (exact) AS n_base, min(first) FILTER (exact) AS first_word, max(first) FILTER (exact) AS last_word,
+           string_agg(DISTINCT label, ',' ORDER BY label) FILTER (exact) AS base_labels,
+           string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(cover) AS score
+    FROM found GROUP BY r
+  )
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM docs LEFT JOIN scored USING (r)
+"""

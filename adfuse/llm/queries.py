@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from adfuse.llm import oracle
+from adfuse.llm.license_scan import op2_license_scan
 from adfuse.llm.sharding import op10_byte_shards
 
 QUERIES = {
+    "op2_license_scan": op2_license_scan,
     "op10_byte_shards": op10_byte_shards,
 }
 
