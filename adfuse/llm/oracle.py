@@ -96,3 +96,23 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
        coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
 FROM docs LEFT JOIN scored USING (r)
 """
+
+SQL["op6_chat_format"] = r"""
+WITH raw AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+  ),
+  turns AS (
+    SELECT *, row_number() OVER w AS i, count(*) OVER (PARTITION BY conv_id) AS n,
+           15 + length(role || text) + length(regexp_replace(role || text, '[^\\<>]', '', 'g')) AS chars
+    FROM raw WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+  ),
+  ends AS (SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY i) AS upto FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(upto) FILTER (role = 'assistant' OR i = n) AS BIGINT) AS formatted_chars
+FROM ends GROUP BY conv_id
+"""
