@@ -5,9 +5,11 @@ from __future__ import annotations
 from adfuse.llm import oracle
 from adfuse.llm.chat import op6_chat_format
 from adfuse.llm.license_scan import op2_license_scan
+from adfuse.llm.secret_scan import op1_secret_scan
 from adfuse.llm.sharding import op10_byte_shards
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_license_scan": op2_license_scan,
     "op6_chat_format": op6_chat_format,
     "op10_byte_shards": op10_byte_shards,
