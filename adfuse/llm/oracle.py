@@ -116,3 +116,27 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(upto) FILTER (role = 'assistant' OR i = n) AS BIGINT) AS formatted_chars
 FROM ends GROUP BY conv_id
 """
+
+SQL["op8_decontaminate"] = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM documents
+  ),
+  items AS (SELECT item_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM benchmark),
+  known AS (
+    SELECT DISTINCT item_id, n, array_to_string(w[p+1:p+n], ' ') AS g
+    FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(len(w) - least(len(w), 10) + 1)) AS p FROM items WHERE len(w) > 0)
+  ),
+  places AS (
+    SELECT r, n, p, array_to_string(w[p+1:p+n], ' ') AS g
+    FROM (SELECT r, w, n, unnest(range(len(w) - n + 1)) AS p FROM docs, (SELECT DISTINCT n FROM known) WHERE len(w) >= n)
+  ),
+  hits AS (SELECT r, p, n, item_id FROM places JOIN known USING (n, g)),
+  covered AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(p, p + n)) AS place FROM hits) GROUP BY r),
+  listed AS (
+    SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+    FROM hits GROUP BY r
+  )
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (r) LEFT JOIN listed USING (r)
+"""
