@@ -140,3 +140,27 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN covered USING (r) LEFT JOIN listed USING (r)
 """
+
+SQL["op5_near_dedup"] = f"""
+WITH RECURSIVE docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+  ),
+  shingles AS (
+    SELECT DISTINCT r, array_to_string(w[p+1:p+n], ' ') AS s
+    FROM (SELECT r, w, least(len(w), 4) AS n, unnest(range(len(w) - least(len(w), 4) + 1)) AS p FROM docs WHERE len(w) > 0)
+  ),
+  sets AS (SELECT r, count(*) AS n, md5(string_agg(s, chr(10) ORDER BY s)) AS k FROM shingles GROUP BY r),
+  classes AS (SELECT k, min(r) AS r, any_value(n) AS n FROM sets GROUP BY k),
+  of_class AS (SELECT r, n, s FROM shingles JOIN classes USING (r)),
+  links AS (
+    SELECT a.r AS x, b.r AS y FROM of_class a JOIN of_class b ON a.s = b.s AND a.r <> b.r
+    GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+  ),
+  reach(x, y) AS (SELECT r, r FROM classes UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+  root AS (SELECT x AS r, min(y) AS root FROM reach GROUP BY x),
+  member AS (SELECT sets.r, sets.n, root FROM sets JOIN classes USING (k) JOIN root ON root.r = classes.r),
+  lowest AS (SELECT root, min(doc_id) AS low FROM member JOIN docs USING (r) GROUP BY root)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, CASE WHEN root IS NULL THEN doc_id ELSE low END AS component_id,
+       doc_id IS NOT DISTINCT FROM CASE WHEN root IS NULL THEN doc_id ELSE low END AS kept
+FROM docs LEFT JOIN member USING (r) LEFT JOIN lowest USING (root)
+"""

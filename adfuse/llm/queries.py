@@ -6,6 +6,7 @@ from adfuse.llm import oracle
 from adfuse.llm.chat import op6_chat_format
 from adfuse.llm.decontaminate import op8_decontaminate
 from adfuse.llm.license_scan import op2_license_scan
+from adfuse.llm.near_dedup import op5_near_dedup
 from adfuse.llm.packing import op3_pack
 from adfuse.llm.secret_scan import op1_secret_scan
 from adfuse.llm.sharding import op10_byte_shards
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_license_scan": op2_license_scan,
     "op3_pack": op3_pack,
+    "op5_near_dedup": op5_near_dedup,
     "op6_chat_format": op6_chat_format,
     "op8_decontaminate": op8_decontaminate,
     "op10_byte_shards": op10_byte_shards,
