@@ -10,11 +10,13 @@ from adfuse.llm.near_dedup import op5_near_dedup
 from adfuse.llm.packing import op3_pack
 from adfuse.llm.secret_scan import op1_secret_scan
 from adfuse.llm.sharding import op10_byte_shards
+from adfuse.llm.simhash import op4_simhash
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_license_scan": op2_license_scan,
     "op3_pack": op3_pack,
+    "op4_simhash": op4_simhash,
     "op5_near_dedup": op5_near_dedup,
     "op6_chat_format": op6_chat_format,
     "op8_decontaminate": op8_decontaminate,
