@@ -8,6 +8,7 @@ from adfuse.llm.decontaminate import op8_decontaminate
 from adfuse.llm.license_scan import op2_license_scan
 from adfuse.llm.near_dedup import op5_near_dedup
 from adfuse.llm.packing import op3_pack
+from adfuse.llm.quality_rules import op7_quality
 from adfuse.llm.secret_scan import op1_secret_scan
 from adfuse.llm.sharding import op10_byte_shards
 from adfuse.llm.simhash import op4_simhash
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_simhash": op4_simhash,
     "op5_near_dedup": op5_near_dedup,
     "op6_chat_format": op6_chat_format,
+    "op7_quality": op7_quality,
     "op8_decontaminate": op8_decontaminate,
     "op10_byte_shards": op10_byte_shards,
 }
