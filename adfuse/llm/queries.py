@@ -12,6 +12,7 @@ from adfuse.llm.quality_rules import op7_quality
 from adfuse.llm.secret_scan import op1_secret_scan
 from adfuse.llm.sharding import op10_byte_shards
 from adfuse.llm.simhash import op4_simhash
+from adfuse.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
@@ -22,6 +23,7 @@ QUERIES = {
     "op6_chat_format": op6_chat_format,
     "op7_quality": op7_quality,
     "op8_decontaminate": op8_decontaminate,
+    "op9_toxicity": op9_toxicity,
     "op10_byte_shards": op10_byte_shards,
 }
 
