@@ -34,7 +34,8 @@ HIDDEN, DIM = 6, 8
 GRAMS, WORDS = 1 << 15, 1 << 15
 #: Training documents of each label, at most: those with the smallest hash of their id; longer texts are not drawn.
 TOXIC, CLEAN, CHARS = 1200, 2400, 20_000
-EPOCHS = 6
+#: Epochs, and more of them for small samples: at least so many steps of BATCH_FIT windows.
+EPOCHS, STEPS, BATCH_FIT = 6, 240, 256
 #: A document is called toxic from this score.
 FLAG = 0.7
 #: Words, and windows, handled at once.
@@ -256,7 +257,8 @@ def fit(docs: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, seed:
     hint = np.sort(word_odds[corpus.idx], axis=1)[:, -2:].sum(axis=1)
     dense, sparse = Adam(net.dense(), 0.02), Adam([net.table], 0.005)
     toxic = y[corpus.doc] == 1
-    for epoch in range(epochs):
+    epoch = 0
+    while epoch < epochs or dense.n < STEPS:
         score = hint if epoch == 0 else corpus.logits(net)
         order = np.lexsort((r.random(len(score)) if epoch == 0 else -score, -score, corpus.doc))
         rank = np.empty(len(order), np.int64)
@@ -265,8 +267,9 @@ def fit(docs: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, seed:
         chosen = np.flatnonzero(np.where(toxic, rank < 2, (rank < 4) | (r.random(len(rank)) < 0.03)))
         r.shuffle(chosen)
         positive = toxic[chosen].mean()
-        for lo in range(0, len(chosen), 512):
-            k = chosen[lo : lo + 512]
+        epoch += 1
+        for lo in range(0, len(chosen), BATCH_FIT):
+            k = chosen[lo : lo + BATCH_FIT]
             used, local = np.unique(corpus.idx[k], return_inverse=True)
             words = used[used < len(corpus.n)]
             n = corpus.n[words]
