@@ -17,13 +17,13 @@ partition << 33 | n: a retried task makes the same ones.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -40,8 +40,10 @@ LEAST = 4
 BLOCK_TOKENS = 2_000_000
 #: The id that ends a document.
 END = 1
-#: Tokenised words kept by a Python worker; then it starts afresh.
-CACHED_WORDS = 400_000
+#: Tokenised words, and parts of words, kept by a Python worker (about 200 bytes each); then it starts afresh.
+CACHED_WORDS = 800_000
+#: Marks that are neither letters nor digits to the splitter; an apostrophe may begin a contraction.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def tokenizer_path() -> str:
@@ -50,42 +52,61 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class Ids(dict):
+    """Ids of the words, or parts of words, met so far, as little-endian uint32 bytes."""
+
+    def __init__(self, learn):
+        self.learn = learn
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.learn(key)
+        if len(key) <= 100:  # longer ones would fill the memory and hardly come again
+            if len(self) >= CACHED_WORDS:
+                self.clear()
+            self[key] = found
+        return found
+
+
 class Encoder:
-    """Token ids as little-endian uint32 bytes.
+    """Token ids of texts, as little-endian uint32 bytes.
 
     The tokenizer's normaliser and splitter work inside words between white
     space, so ids of a text are the ids of its words in a row; words repeat,
     and their ids are kept.  Control characters 1C-1F split words for Python
     only: a text with one of them is encoded as a whole.
+
+    Most words are letters with some marks behind them.  The splitter parts
+    the two and the normaliser lower-cases, so the tokenizer is asked once for
+    the lower-case letters, whatever marks follow.  Only letters whose lower
+    case and normal form are the same to Python and to the tokenizer (those
+    under U+0130) take this way.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.words, self.parts = Ids(self._word), Ids(self._encode)
+
+    def _encode(self, text: str) -> bytes:
+        (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return pack_ids(found.ids)
 
-    def _bytes(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+    def _word(self, word: str) -> bytes:
+        letters = word.rstrip(MARKS)
+        if letters.isalpha() and max(letters) < "\u0130":
+            found, marks = self.parts[letters.lower()], word[len(letters) :]
+            return found + self.parts[marks] if marks else found
+        return self._encode(word)
 
     def ids(self, text: str) -> bytes:
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return self._bytes([text])[0]
-        words = text.split()
-        known = self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if new:
-            if len(known) + len(new) > CACHED_WORDS:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            long = [w for w in new if len(w) > 100]
-            known.update(zip(new, self._bytes(new), strict=True))
-            out = b"".join(map(known.__getitem__, words))
-            for w in long:  # these would fill the memory and hardly come again
-                del known[w]
-            return out
-        return b"".join(map(known.__getitem__, words))
+            return self._encode(text)
+        return b"".join(map(self.words.__getitem__, text.split()))
+
+
+def pack_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=2)
@@ -216,7 +237,7 @@ def pack(
     if list(tiers) != sorted(set(tiers)) or any(t & (t - 1) for t in tiers):
         raise ValueError("tiers are ascending powers of two")
     path = tokenizer or tokenizer_path()
-    end = np.array([END], "<u4").tobytes()
+    end = pack_ids([END])
 
     def emit(packer: Packer, ids: dict, names: dict, first: int, step: int) -> tuple[pa.RecordBatch, int]:
         steps = step_groups(packer.windows, step_tokens)
