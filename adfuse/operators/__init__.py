@@ -13,11 +13,14 @@ from adfuse.operators.insights import (
 )
 from adfuse.operators.present import (
     campaign_labels,
+    cpa_chart,
     display_headers,
+    engagement_tiles,
     kpi_tiles,
     platform_kpis_long,
     report_campaign_table,
     report_fact_table,
+    roas_chart,
 )
 from adfuse.operators.rollups import (
     campaign_day_rollup,

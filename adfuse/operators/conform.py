@@ -29,9 +29,24 @@ def _typed(expr: str, dtype: T.DataType) -> str:
     return cast
 
 
+def _text(value: str) -> str:
+    """A SQL string literal holding any text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _check_sources(df: DataFrame, spec: FeedSpec) -> None:
+    """Every renamed column exists, and no other column already has its new name."""
+    missing = sorted(raw for raw in spec.rename if raw not in df.columns)
+    if missing:
+        raise ValueError(f"feed {spec.name!r}: renamed columns {missing} not found in {df.columns}")
+    taken = sorted(c for raw, c in spec.rename.items() if c != raw and c in df.columns and c not in spec.rename)
+    if taken:
+        raise ValueError(f"feed {spec.name!r}: {taken} exist in the feed and are the targets of renames as well")
+
+
 def _date_expr(df: DataFrame, raw: str, date_format: str) -> str:
     if isinstance(df.schema[raw].dataType, T.StringType):
-        return f"try_to_date({q(raw)}, '{date_format}')"
+        return f"try_to_date({q(raw)}, {_text(date_format)})"
     return f"CAST({q(raw)} AS DATE)"
 
 
@@ -44,6 +59,7 @@ def conform_exprs(df: DataFrame, spec: FeedSpec) -> list[str]:
     expressions with a NULL-on-zero division (Catalyst eliminates the repeated
     subexpressions); additive measures default to 0, value to NULL.
     """
+    _check_sources(df, spec)
     present = set(df.columns)
     base: dict[str, str | None] = {}
     for name in FACT_COLUMNS:
@@ -52,7 +68,7 @@ def conform_exprs(df: DataFrame, spec: FeedSpec) -> list[str]:
         if name in spec.derived:
             base[name] = _typed(spec.derived[name], dtype)
         elif name == "platform":
-            base[name] = "'" + spec.platform.replace("\\", "\\\\").replace("'", "\\'") + "'"
+            base[name] = _text(spec.platform)
         elif name == "date" and raw in present:
             base[name] = _date_expr(df, raw, spec.date_format)
         elif raw in present:

@@ -32,8 +32,11 @@ def _ratio_of_sums(name: str) -> Column:
 
 
 def daily_rollup(fact: DataFrame, measures: Sequence[str] = DAILY_MEASURES) -> DataFrame:
-    """(date, platform) series: daily sums of spend, conversions, impressions, clicks."""
-    return fact.groupBy("date", "platform").agg(*[F.expr(f"sum({q(m)}) AS {q(m)}") for m in measures])
+    """(date, platform) series: daily sums of spend, conversions, impressions, clicks.
+
+    As in every roll-up, NULL measures add nothing and an all-NULL day is 0.
+    """
+    return fact.groupBy("date", "platform").agg(*[_sum0(m) for m in measures])
 
 
 def rollup(
@@ -108,28 +111,28 @@ def portfolio_kpis(fact: DataFrame) -> DataFrame:
     return fact.agg(*[F.expr(e) for e in _PORTFOLIO_SUMS]).select(*_portfolio_cols())
 
 
-def kpi_summary(camp: DataFrame, platform: str = "Google", decimals: int = 9) -> DataFrame:
+def kpi_summary(camp: DataFrame, platform: str = "Google") -> DataFrame:
     """Portfolio KPIs plus the ROAS KPI of ``platform`` in one aggregate.
 
     ``camp`` is the campaign roll-up (one row per platform x campaign with its
     ``roas``): the totals are sums of campaign sums and the ROAS mean is the
     mean over that platform's campaigns, so the fact is read once.
     """
-    p = f"platform = '{platform}'"
+    own = lambda c: F.when(F.col("platform") == F.lit(platform), F.col(c))
     agg = camp.agg(
         *[F.expr(e) for e in _PORTFOLIO_SUMS],
-        F.expr(f"avg(CASE WHEN {p} THEN roas END) AS _m"),
-        F.expr(f"sum(CASE WHEN {p} THEN conv_value END) AS _pv"),
-        F.expr(f"sum(CASE WHEN {p} THEN spend END) AS _ps"),
+        F.avg(own("roas")).alias("_m"),
+        F.sum(own("conv_value")).alias("_pv"),
+        F.sum(own("spend")).alias("_ps"),
     )
     return agg.select(
         *_portfolio_cols(),
-        F.round(F.coalesce(F.col("_m"), F.lit(0.0)), decimals).alias("mean_campaign_roas"),
+        F.coalesce(F.col("_m"), F.lit(0.0)).alias("mean_campaign_roas"),
         safe_div("_pv", "_ps").alias("pooled_roas"),
     )
 
 
-def mean_campaign_roas(fact: DataFrame, platform: str = "Google", decimals: int = 9) -> DataFrame:
+def mean_campaign_roas(fact: DataFrame, platform: str = "Google") -> DataFrame:
     """The ROAS KPI two ways, for one platform.
 
     mean_campaign_roas  unweighted mean of per-campaign ROAS (the dashboard's
@@ -138,13 +141,13 @@ def mean_campaign_roas(fact: DataFrame, platform: str = "Google", decimals: int
     pooled_roas         sum(conv_value) / sum(spend) over the same rows
 
     Both come from one pass: the pooled sums are sums of the per-campaign sums.
-    The mean of non-integral doubles depends on summation order, so it is
-    rounded to ``decimals`` places.
+    The last digits of a mean of doubles depend on the order of summation;
+    whoever compares two results rounds them.
     """
     rows = fact.where(F.col("platform") == F.lit(platform))
     per_campaign = rollup(rows, ["campaign_name"], ["spend", "conv_value"], ["roas"])
     return per_campaign.agg(
-        F.round(F.coalesce(F.avg("roas"), F.lit(0.0)), decimals).alias("mean_campaign_roas"),
+        F.coalesce(F.avg("roas"), F.lit(0.0)).alias("mean_campaign_roas"),
         safe_div(F.sum("conv_value"), F.sum("spend")).alias("pooled_roas"),
     )
 

@@ -8,7 +8,7 @@ Scale notes
   all rows into a single task, and not a join.
 * ``global_row_number`` numbers rows in a total order without a single-task
   window: range-partition + sort, number rows inside each partition, then add
-  per-partition offsets (one small row per partition, broadcast).
+  per-partition offsets (one small row per partition).
 """
 
 from __future__ import annotations
@@ -89,19 +89,6 @@ def stack(
     return df.withColumn(out, F.sum(value).over(w))
 
 
-# Upper bound on the per-partition offset table that gets broadcast.
-MAX_OFFSET_ROWS = 1_000_000
-
-
-def _range_partition_bound(df: DataFrame) -> int:
-    """Most partitions a sort's range exchange can produce in this session
-    (AQE only ever coalesces below it)."""
-    conf = df.sparkSession.conf
-    n = int(conf.get("spark.sql.shuffle.partitions"))
-    initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-    return max(n, int(initial)) if initial else n
-
-
 def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "rank") -> DataFrame:
     """1-based position of each row in the total order ``order``.
 
@@ -113,14 +100,12 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "rank")
          partition's smallest id.
       2. ``checkpoint()`` fixes that layout on the shared checkpoint folder, so
          both consumers below see the same partitions even after executor loss.
-      3. Row count per partition -> running offsets: one row per partition,
-         at most the range exchange's partition count (checked), broadcast.
+      3. Row count per partition -> running offsets: one row per partition.  The
+         join with them is left to the planner, which picks its strategy from
+         the measured size.
     """
     from adfuse.sources.storage import checkpoint_root
 
-    bound = _range_partition_bound(df)
-    if bound > MAX_OFFSET_ROWS:
-        raise ValueError(f"{bound} range partitions exceed the broadcast offset bound {MAX_OFFSET_ROWS}")
     checkpoint_root(df.sparkSession)
     tagged = (
         df.orderBy(*order)
@@ -128,7 +113,7 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "rank")
         .checkpoint(eager=True)
     )
     counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    # The offset window sees one row per partition only (bounded above).
+    # The offset window sees one row per partition only.
     offsets = counts.select(
         "_part",
         "_first",
@@ -139,7 +124,7 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "rank")
     )
     position = F.col("_off") + (F.col("_mid") - F.col("_first")) + F.lit(1)
     return (
-        tagged.join(F.broadcast(offsets), "_part")
+        tagged.join(offsets, "_part")
         .select(*[F.col(c) for c in df.columns], position.alias(out))
     )
 
@@ -149,7 +134,8 @@ def top_n(df: DataFrame, order: Sequence[Column], n: int, out: str = "rank") ->
 
     ``orderBy().limit(n)`` plans as TakeOrderedAndProject: each task keeps its
     own top n, so at most n x tasks rows meet in the final step; the numbering
-    window then sees at most n rows.
+    window then sees at most n rows, in one task: for a very large ``n`` rank
+    everything with ``global_row_number`` and filter instead.
     """
     head = df.orderBy(*order).limit(n)
     return head.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("bigint"))

@@ -1,8 +1,11 @@
 """Registered queries: one per operator of the inventory, over the test tables.
 
-Each query takes ``(spark, sf_dir)`` and returns a lazy DataFrame built from
-the three channel feeds carved out of ``lineitem`` (see
+Each query takes ``(spark, sf_dir)`` and returns a DataFrame built from the
+three channel feeds carved out of ``lineitem`` (see
 ``adfuse.sources.lineitem_feeds``).  Every query runs over the whole table.
+Most are lazy; those that write something first (CSV round trips, the
+materialised dashboard, the streaming run, global positions) run jobs while
+they are built.
 The SQL twin of each query lives in ``adfuse.plans.oracle``.
 """
 
@@ -29,12 +32,16 @@ from adfuse.operators.insights import (
 )
 from adfuse.operators.present import (
     campaign_labels,
+    cpa_chart,
+    engagement_tiles,
     kpi_tiles,
     platform_kpis_long,
     report_campaign_table,
     report_fact_table,
+    roas_chart,
 )
 from adfuse.operators.rollups import (
+    campaign_day_rollup,
     campaign_names,
     campaign_rollup,
     daily_ctr,
@@ -54,17 +61,18 @@ from adfuse.sources.event_feed import web_feed
 from adfuse.sources.lineitem_feeds import (
     FLAG_OF_FEED,
     channel_feed,
+    faulty_search_lines,
     lineitem,
     raw_feeds,
     search_feed,
     social_feed,
     video_feed,
 )
-from adfuse.sources.readers import read_feed
+from adfuse.sources.readers import read_feed, rejected_rows
 from adfuse.sources.sinks import export_csv, read_csv_typed
 from adfuse.sources.storage import scratch_path
 from adfuse.sources.tables import read_table_stream
-from adfuse.streaming.daily import write_daily_rollup
+from adfuse.streaming.daily import read_daily_rollup, write_daily_rollup
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +82,10 @@ SEL_FROM, SEL_TO = "1996-01-01", "1996-12-31"
 SEL_CAMPAIGNS = ["Camp_1", "Camp_3"]
 SEARCH_PLATFORM = "Google"
 TOP_N = 5
+#: Names that a CSV has to quote, by campaign; one of them is empty and one NULL.
+ODD_NAMES = r"""CASE campaign_id WHEN 'c1' THEN 'a "quoted" name' WHEN 'c2' THEN ' blanks, and commas '
+  WHEN 'c3' THEN concat('two', chr(10), 'lines') WHEN 'c4' THEN '' WHEN 'c5' THEN NULL
+  WHEN 'c6' THEN concat('"', chr(92), '"') ELSE campaign_name END"""
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,11 +102,43 @@ def camp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- scan / conform / union ---------------------------------------------------
+def _from_csv(spark: SparkSession, sf_dir: str, channel: str) -> DataFrame:
+    """A channel's feed written as CSV and read back, every declared column typed."""
+    path = export_csv(channel_feed(lineitem(spark, sf_dir), channel), scratch_path(spark, f"csv-{channel}"))
+    return read_feed(spark, CHANNELS[channel], path, "csv")
+
+
 def q_scan_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed CSV read by header name, after writing the search feed as CSV."""
-    raw = search_feed(lineitem(spark, sf_dir))
-    path = export_csv(raw, scratch_path(spark, "scan-feed"))
-    return read_feed(spark, GOOGLE, path, "csv", flag_bad_rows=True, columns=raw.columns)
+    return _from_csv(spark, sf_dir, "google")
+
+
+def q_scan_social(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _from_csv(spark, sf_dir, "facebook")
+
+
+def q_scan_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table as ``scan_feed``, from a file without header."""
+    feed = search_feed(lineitem(spark, sf_dir)).select(*GOOGLE.source_types)
+    path = scratch_path(spark, "csv-no-header")
+    feed.write.csv(path)
+    return read_feed(spark, GOOGLE, path, "csv", header=False)
+
+
+def q_scan_video(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _from_csv(spark, sf_dir, "tiktok")
+
+
+def q_csv_platform_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From three CSV exports to the platform roll-up."""
+    return platform_rollup(conform_all({c: _from_csv(spark, sf_dir, c) for c in CHANNELS}, CHANNELS))
+
+
+def q_rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged lines of a CSV feed: wrong numbers of cells, and cells that do not parse."""
+    path = scratch_path(spark, "faulty-csv")
+    faulty_search_lines(lineitem(spark, sf_dir)).write.text(path)
+    return rejected_rows(spark, GOOGLE, path, header=False).drop("line")
 
 
 def q_conform_social(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,7 +200,7 @@ def q_daily_rollup_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream_fact = conform_all({n: channel_feed(li, n) for n in FLAG_OF_FEED}, CHANNELS)
     root = scratch_path(spark, "daily-incremental")
     write_daily_rollup(stream_fact, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    return read_daily_rollup(spark, f"{root}/out")
 
 
 def q_platform_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,13 +223,18 @@ def q_portfolio_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portfolio_kpis(fact(spark, sf_dir))
 
 
+def _comparable(kpis: DataFrame) -> DataFrame:
+    """Nine places of the mean of doubles, whose last digits depend on the order of summation."""
+    return kpis.withColumn("mean_campaign_roas", F.round("mean_campaign_roas", 9))
+
+
 def q_kpi_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Totals and the ROAS mean come from one campaign roll-up in one aggregate.
-    return kpi_tiles(kpi_summary(camp(spark, sf_dir), SEARCH_PLATFORM))
+    return kpi_tiles(_comparable(kpi_summary(camp(spark, sf_dir), SEARCH_PLATFORM)))
 
 
 def q_mean_campaign_roas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mean_campaign_roas(fact(spark, sf_dir), SEARCH_PLATFORM)
+    return _comparable(mean_campaign_roas(fact(spark, sf_dir), SEARCH_PLATFORM))
 
 
 def q_date_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,21 +246,36 @@ def q_campaign_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return global_row_number(names, [F.col("campaign_name").asc_nulls_last()], "position")
 
 
-def _selection(spark: SparkSession, sf_dir: str):
-    """The dashboard flow: load (fact aggregated once into the campaign-day
-    table) then one platform / date / campaign selection."""
-    loaded = dashboard.load(raw_feeds(spark, sf_dir), CHANNELS)
-    return dashboard.select(loaded, SEL_PLATFORMS, SEL_FROM, SEL_TO, SEL_CAMPAIGNS, SEARCH_PLATFORM)
+def _selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_fact(fact(spark, sf_dir), SEL_PLATFORMS, SEL_FROM, SEL_TO, SEL_CAMPAIGNS)
 
 
 def q_filtered_campaign_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Campaign roll-up of the filtered fact, answered from the campaign-day table."""
-    return _selection(spark, sf_dir).campaigns
+    """Campaign roll-up of the filtered fact; the filter reaches the scans."""
+    return campaign_rollup(_selected(spark, sf_dir))
 
 
 def q_filtered_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """KPI row (totals, ratios, search-channel ROAS) of the filtered selection."""
-    return _selection(spark, sf_dir).kpis
+    return _comparable(kpi_summary(campaign_rollup(_selected(spark, sf_dir)), SEARCH_PLATFORM))
+
+
+def q_campaign_day_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return campaign_day_rollup(fact(spark, sf_dir))
+
+
+def q_materialized_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dashboard's cached path: fact, campaign-day table and funnel written
+    once as parquet, read back, filtered, rolled up."""
+    root = scratch_path(spark, "materialized")
+    loaded = dashboard.load(raw_feeds(spark, sf_dir), CHANNELS, materialize_to=root)
+    return dashboard.select(loaded, SEL_PLATFORMS, SEL_FROM, SEL_TO, SEL_CAMPAIGNS, SEARCH_PLATFORM).campaigns
+
+
+def q_empty_selection_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KPI row of a selection without rows: zeros, and no pooled ROAS."""
+    none = filter_fact(fact(spark, sf_dir), date_from="2200-01-01", date_to="2200-12-31")
+    return _comparable(kpi_summary(campaign_rollup(none), SEARCH_PLATFORM))
 
 
 # --- windows / shares / funnel ----------------------------------------------------
@@ -219,6 +283,12 @@ def q_spend_rolling_7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series(spark, sf_dir, "rows")
 
 
+def q_spend_series_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily series with each row's position by date and platform."""
+    order = [F.col("date").asc_nulls_last(), F.col("platform").asc_nulls_last()]
+    return global_row_number(series(spark, sf_dir), order, "position")
+
+
 def q_spend_rolling_7_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series(spark, sf_dir, "days")
 
@@ -254,6 +324,10 @@ def q_engagement_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return engagement_summary(_funnel(spark, sf_dir))
 
 
+def q_engagement_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return engagement_tiles(engagement_summary(_funnel(spark, sf_dir)))
+
+
 # --- ranks / insights --------------------------------------------------------------
 def q_campaign_cpa_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_campaigns(camp(spark, sf_dir), "cpa")
@@ -282,6 +356,16 @@ def q_roas_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return global_row_number(g, order, "roas_rank")
 
 
+def q_roas_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ROAS bars: order, label, value, text and target flag in one table."""
+    return roas_chart(q_roas_table(spark, sf_dir), ROAS_TARGET)
+
+
+def q_cpa_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CPA bars: order, label, value and text in one table."""
+    return cpa_chart(rank_campaigns(camp(spark, sf_dir), "cpa"))
+
+
 def q_roas_target_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = _search_campaigns(spark, sf_dir).select("campaign_name", "roas")
     return flag_target(g, "roas", ROAS_TARGET)
@@ -320,6 +404,13 @@ def q_report_fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_fact_table(fact(spark, sf_dir))
 
 
+def q_export_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV round trip of names with quotes, commas, blanks, line breaks and empty texts."""
+    odd = F.expr(ODD_NAMES)
+    path = export_csv(fact(spark, sf_dir).withColumn("campaign_name", odd), scratch_path(spark, "export-text"))
+    return read_csv_typed(spark, path)
+
+
 def q_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the unified fact as CSV and read it back typed by header."""
     path = export_csv(fact(spark, sf_dir), scratch_path(spark, "export"))

@@ -9,12 +9,14 @@ select    the filter interaction: every table the dashboard shows for one
 The fact is aggregated once.  All filters act on dimensions the cube keeps,
 and every roll-up the dashboard shows is additive, so plat / camp / KPIs /
 shares / leaders / rankings are all answered from the filtered cube (size:
-days x campaigns); only the row-level table reads the fact.  With
-``materialize_to`` the fact (partitioned by platform) and the cube are
-written once to that shared folder: lineage is cut, executor loss costs no
-recomputation of the fact, and platform filters prune partitions; without
-it the cube alone is checkpointed to the session's checkpoint folder.
-Nothing here collects: each attribute is a DataFrame for the caller's action.
+days x campaigns); only the row-level table reads the fact.  The cube and the
+one-row funnel are always written once as parquet (to ``materialize_to``, or a
+scratch folder of the session), so each table of the view reads just its
+columns and dates.  With ``materialize_to`` the fact is written as well,
+partitioned by platform and month and sorted by date inside: lineage is cut,
+executor loss costs no recomputation, and platform and date filters prune.
+A single selection needs none of this: filter the fact itself and the
+predicates reach the feeds.  Nothing here collects: each attribute is a DataFrame for the caller's action.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from dataclasses import dataclass
 from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from adfuse.functions.ratios import with_ratios
 from adfuse.operators.conform import conform_all
@@ -46,7 +49,15 @@ from adfuse.operators.rollups import (
 from adfuse.operators.windows import rolling_mean, share_of_total, stack
 from adfuse.sources.sinks import materialize
 from adfuse.sources.spec import FeedSpec
-from adfuse.sources.storage import checkpoint_root
+from adfuse.sources.storage import scratch_path
+
+
+#: Partition column of the materialised fact: year * 100 + month.
+MONTH = "fact_month"
+
+
+def _month(date):
+    return F.year(date) * 100 + F.month(date)
 
 
 @dataclass
@@ -72,21 +83,29 @@ def load(
     materialize_to: str | None = None,
 ) -> Loaded:
     fact = conform_all(dict(feeds), dict(specs))
+    root = (materialize_to or scratch_path(fact.sparkSession, "dashboard")).rstrip("/")
     if materialize_to:
-        root = materialize_to.rstrip("/")
-        fact = materialize(fact, f"{root}/fact", partition_by=["platform"])
-    cube = campaign_day_rollup(fact)
-    if materialize_to:
-        cube = materialize(cube, f"{root}/cube")
-    else:
-        # Aggregate once even without a target folder: the cube is small
-        # (days x campaigns) and goes to the shared checkpoint folder.
-        checkpoint_root(fact.sparkSession)
-        cube = cube.checkpoint(eager=True)
-    funnel = video_funnel(feeds[video_channel]) if video_channel in feeds else None
+        dealt = fact.withColumn(MONTH, _month("date")).repartition("platform", MONTH).sortWithinPartitions("date")
+        fact = materialize(dealt, f"{root}/fact", partition_by=["platform", MONTH])
+    cube = materialize(campaign_day_rollup(fact), f"{root}/cube")
+    funnel = None
+    if video_channel in feeds:
+        funnel = materialize(video_funnel(feeds[video_channel]), f"{root}/funnel")
     return Loaded(fact=fact, cube=cube, series=series_of(cube), funnel=funnel)
 
 
+def _rows(fact: DataFrame, date_from: DateLike, date_to: DateLike) -> DataFrame:
+    """The fact without its partition column, months outside the dates pruned."""
+    if MONTH not in fact.columns:
+        return fact
+    days = [F.lit(d).cast("date") for d in (date_from, date_to if date_to is not None else date_from)]
+    if date_from is not None:
+        fact = fact.where(F.col(MONTH) >= _month(days[0]))
+    if date_from is not None or date_to is not None:
+        fact = fact.where(F.col(MONTH) <= _month(days[1]))
+    return fact.drop(MONTH)
+
+
 @dataclass
 class View:
     fact: DataFrame
@@ -128,7 +147,7 @@ def select(
     averages keep earlier history) and ignores the campaign filter; the funnel
     ignores every filter.
     """
-    fact = filter_fact(loaded.fact, platforms, date_from, date_to, campaigns)
+    fact = filter_fact(_rows(loaded.fact, date_from, date_to), platforms, date_from, date_to, campaigns)
     cube = filter_fact(loaded.cube, platforms, date_from, date_to, campaigns)
     series = filter_series(loaded.series, platforms, date_from, date_to)
     plat = platform_rollup(cube)

@@ -20,20 +20,26 @@ NULL_D = "CAST(NULL AS DOUBLE)"
 
 BASE = f"""
 fb_raw AS (
-  SELECT {_COMMON}, {_CENTS} AS spend, l_suppkey % 10 AS conversions, {_QTY} * 100 AS video_views
+  SELECT {_COMMON}, {_CENTS} AS spend, l_suppkey % 10 AS conversions, {_QTY} * 100 AS video_views,
+         's' || CAST(l_suppkey % 7 AS VARCHAR) AS ad_set_id, 'Set_' || CAST(l_suppkey % 7 AS VARCHAR) AS ad_set_name,
+         ROUND(l_discount, 2) AS engagement_rate, {_QTY} * 700 AS reach, ROUND(l_tax, 2) AS frequency
   FROM lineitem WHERE l_returnflag = 'A'
 ),
 g_raw AS (
   SELECT {_COMMON}, {_CENTS} AS cost, l_suppkey % 10 AS conversions,
          {_CENTS} * (l_suppkey % 7) AS conversion_value,
-         ROUND(l_discount, 2) AS ctr, ROUND(l_tax, 2) AS avg_cpc
+         ROUND(l_discount, 2) AS ctr, ROUND(l_tax, 2) AS avg_cpc,
+         'g' || CAST(l_suppkey % 7 AS VARCHAR) AS ad_group_id, 'Group_' || CAST(l_suppkey % 7 AS VARCHAR) AS ad_group_name,
+         l_suppkey % 10 + 1 AS quality_score, ROUND(l_discount, 2) AS search_impression_share,
+         (l_orderkey + l_linenumber) % 20 AS kind
   FROM lineitem WHERE l_returnflag = 'N'
 ),
 tt_raw AS (
   SELECT {_COMMON}, {_CENTS} AS cost, l_suppkey % 10 AS conversions, {_QTY} * 100 AS video_views,
          {_QTY} * 80 AS video_watch_25, {_QTY} * 60 AS video_watch_50, {_QTY} * 40 AS video_watch_75,
          {_QTY} * (l_suppkey % 30) AS video_watch_100,
-         l_orderkey % 50 AS likes, l_partkey % 20 AS shares, l_suppkey % 5 AS comments
+         l_orderkey % 50 AS likes, l_partkey % 20 AS shares, l_suppkey % 5 AS comments,
+         't' || CAST(l_suppkey % 7 AS VARCHAR) AS adgroup_id, 'Adgroup_' || CAST(l_suppkey % 7 AS VARCHAR) AS adgroup_name
   FROM lineitem WHERE l_returnflag = 'R'
 ),
 fb AS (
@@ -64,8 +70,10 @@ tt AS (
 ),
 fact AS (SELECT * FROM fb UNION ALL SELECT * FROM g UNION ALL SELECT * FROM tt),
 daily AS (
-  SELECT date, platform, SUM(spend) AS spend, CAST(SUM(conversions) AS BIGINT) AS conversions,
-         CAST(SUM(impressions) AS BIGINT) AS impressions, CAST(SUM(clicks) AS BIGINT) AS clicks
+  SELECT date, platform, COALESCE(SUM(spend), 0) AS spend,
+         CAST(COALESCE(SUM(conversions), 0) AS BIGINT) AS conversions,
+         CAST(COALESCE(SUM(impressions), 0) AS BIGINT) AS impressions,
+         CAST(COALESCE(SUM(clicks), 0) AS BIGINT) AS clicks
   FROM fact GROUP BY date, platform
 ),
 series AS (
@@ -183,9 +191,21 @@ def _rank_order(key: str, desc: bool = False) -> str:
 
 ORACLE: dict[str, str] = {
     # scan / conform / union
-    "scan_feed": _q(
-        "SELECT date, campaign_id, campaign_name, impressions, clicks, cost, conversions, "
-        "conversion_value, ctr, avg_cpc, FALSE AS bad_row FROM g_raw"
+    "scan_feed": _q("SELECT * EXCLUDE (kind), FALSE AS bad_row FROM g_raw"),
+    "scan_search": _q("SELECT * EXCLUDE (kind), FALSE AS bad_row FROM g_raw"),
+    "scan_social": _q("SELECT *, FALSE AS bad_row FROM fb_raw"),
+    "scan_video": _q("SELECT *, FALSE AS bad_row FROM tt_raw"),
+    "csv_platform_rollup": _q("SELECT * FROM plat_r"),
+    "rejected_rows": _q(
+        "SELECT CASE WHEN kind <> 4 THEN date END AS date, campaign_id, campaign_name, ad_group_id, ad_group_name, "
+        "impressions, clicks, CASE WHEN kind <> 3 THEN cost END AS cost, "
+        "CASE WHEN kind <> 2 THEN conversions END AS conversions, conversion_value, "
+        "CASE WHEN kind <> 0 THEN ctr END AS ctr, CASE WHEN kind <> 0 THEN avg_cpc END AS avg_cpc, "
+        "CASE WHEN kind <> 0 THEN quality_score END AS quality_score, "
+        "CASE WHEN kind <> 0 THEN search_impression_share END AS search_impression_share, "
+        "kind <= 1 AS wrong_cell_count, "
+        "CASE kind WHEN 2 THEN 'conversions' WHEN 3 THEN 'cost' WHEN 4 THEN 'date' ELSE '' END AS bad_columns "
+        "FROM g_raw WHERE kind <= 4"
     ),
     "conform_social": _q("SELECT * FROM fb"),
     "conform_search": _q("SELECT * FROM g"),
@@ -241,9 +261,31 @@ ORACLE: dict[str, str] = {
         "NULLIF(SUM(CASE WHEN platform = 'Google' THEN spend END), 0) AS pooled_roas FROM fcamp",
         FILTERED,
     ),
+    "campaign_day_rollup": _q(
+        "SELECT date, platform, campaign_name, CAST(COALESCE(SUM(impressions), 0) AS BIGINT) AS impressions, "
+        "CAST(COALESCE(SUM(clicks), 0) AS BIGINT) AS clicks, COALESCE(SUM(spend), 0) AS spend, "
+        "CAST(COALESCE(SUM(conversions), 0) AS BIGINT) AS conversions, COALESCE(SUM(video_views), 0) AS video_views, "
+        "COALESCE(SUM(social_eng), 0) AS social_eng, COALESCE(SUM(conv_value), 0) AS conv_value "
+        "FROM fact GROUP BY date, platform, campaign_name"
+    ),
+    "materialized_selection": _q(
+        "SELECT *, clicks / NULLIF(impressions, 0) AS ctr, spend / NULLIF(conversions, 0) AS cpa, "
+        "conv_value / NULLIF(spend, 0) AS roas FROM fcamp",
+        FILTERED,
+    ),
+    "empty_selection_kpis": _q(
+        "SELECT COALESCE(SUM(spend), 0) AS total_spend, CAST(COALESCE(SUM(conversions), 0) AS BIGINT) AS total_conversions, "
+        "CAST(COALESCE(SUM(impressions), 0) AS BIGINT) AS total_impressions, "
+        "CAST(COALESCE(SUM(clicks), 0) AS BIGINT) AS total_clicks, CAST(0 AS DOUBLE) AS portfolio_cpa, "
+        "CAST(0 AS DOUBLE) AS portfolio_ctr_pct, CAST(0 AS DOUBLE) AS portfolio_cpc, "
+        "CAST(0 AS DOUBLE) AS mean_campaign_roas, CAST(NULL AS DOUBLE) AS pooled_roas "
+        "FROM fact WHERE date BETWEEN DATE '2200-01-01' AND DATE '2200-12-31'"
+    ),
     "kpi_scaled": _q(
         "SELECT total_spend / CAST(1000 AS DOUBLE) AS spend_k, "
         "total_impressions / CAST(1000000 AS DOUBLE) AS impressions_m, "
+        "total_conversions, portfolio_cpa, portfolio_ctr_pct, "
+        "(SELECT mean_campaign_roas FROM roas_kpi) AS mean_campaign_roas, "
         "'$' || format('{:.1f}', total_spend / CAST(1000 AS DOUBLE)) || 'K' AS spend_tile, "
         "format('{:,}', total_conversions) AS conversions_tile, "
         "format('{:.1f}', total_impressions / CAST(1000000 AS DOUBLE)) || 'M' AS impressions_tile, "
@@ -260,6 +302,10 @@ ORACLE: dict[str, str] = {
     ),
     # windows / shares / funnel
     "spend_rolling_7": _q("SELECT * FROM series"),
+    "spend_series_ordered": _q(
+        "SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY date ASC NULLS LAST, platform ASC NULLS LAST) AS BIGINT) AS position "
+        "FROM series"
+    ),
     "spend_rolling_7_days": _q(
         "SELECT *, AVG(spend) OVER (PARTITION BY platform ORDER BY date "
         "RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW) AS spend_7d_avg FROM daily"
@@ -293,6 +339,16 @@ ORACLE: dict[str, str] = {
         f"shares / NULLIF(likes, 0) * {PCT} AS share_to_like_pct, "
         f"COALESCE(shares / NULLIF(likes, 0) * {PCT} > 25, FALSE) AS high_amplification FROM funnel"
     ),
+    "engagement_tiles": _q(
+        "SELECT *, format('{:,}', likes) AS likes_text, format('{:,}', shares) AS shares_text, "
+        "format('{:,}', comments) AS comments_text, format('{:,}', total_engagements) AS total_engagements_text, "
+        "format('{:.1f}', completion_rate_pct) || '%' AS completion_rate_pct_text, "
+        "format('{:.1f}', share_to_like_pct) || '%' AS share_to_like_pct_text FROM ("
+        "SELECT likes, shares, comments, likes + shares + comments AS total_engagements, "
+        f"w100 / NULLIF(views_total, 0) * {PCT} AS completion_rate_pct, "
+        f"shares / NULLIF(likes, 0) * {PCT} AS share_to_like_pct, "
+        f"COALESCE(shares / NULLIF(likes, 0) * {PCT} > 25, FALSE) AS high_amplification FROM funnel) AS e"
+    ),
     # ranks / insights
     "campaign_cpa_ranked": _q(
         f"SELECT {CAMP_COLS}, CAST(ROW_NUMBER() OVER (ORDER BY {_rank_order('cpa_key')}) AS BIGINT) AS cpa_rank "
@@ -318,6 +374,15 @@ ORACLE: dict[str, str] = {
         "(ORDER BY roas DESC NULLS LAST, campaign_name ASC NULLS LAST) AS BIGINT) AS roas_rank "
         "FROM camp_r WHERE platform = 'Google'"
     ),
+    "roas_chart": _q(
+        "SELECT CAST(ROW_NUMBER() OVER (ORDER BY roas DESC NULLS LAST, campaign_name ASC NULLS LAST) AS BIGINT) AS position, "
+        "replace(campaign_name, '_', ' ') AS label, roas, format('{:.2f}', roas) || '×' AS roas_text, "
+        "COALESCE(roas >= 4, FALSE) AS meets_target FROM camp_r WHERE platform = 'Google'"
+    ),
+    "cpa_chart": _q(
+        f"SELECT CAST(ROW_NUMBER() OVER (ORDER BY {_rank_order('cpa_key')}) AS BIGINT) AS position, platform, "
+        "replace(campaign_name, '_', ' ') AS label, cpa, '$' || format('{:.2f}', cpa) AS cpa_text FROM camp_k"
+    ),
     "roas_target_flag": _q(
         "SELECT campaign_name, roas, COALESCE(roas >= 4, FALSE) AS meets_target "
         "FROM camp_r WHERE platform = 'Google'"
@@ -350,16 +415,22 @@ ORACLE: dict[str, str] = {
         "SELECT platform, campaign_name, replace(campaign_name, '_', ' ') AS label FROM camp_r"
     ),
     "report_campaign_table": _q(
-        "SELECT replace(campaign_name, '_', ' ') AS campaign, '$' || format('{:,.0f}', spend) AS spend, "
-        "conversions, '$' || format('{:,.0f}', conv_value) AS conv_value, "
-        "'$' || format('{:.2f}', cpa) AS cpa, format('{:.2f}', roas) || '×' AS roas "
+        "SELECT replace(campaign_name, '_', ' ') AS campaign, spend, conversions, conv_value, cpa, roas, "
+        "'$' || format('{:,.0f}', spend) AS spend_text, '$' || format('{:,.0f}', conv_value) AS conv_value_text, "
+        "'$' || format('{:.2f}', cpa) AS cpa_text, format('{:.2f}', roas) || '×' AS roas_text "
         "FROM camp_r WHERE platform = 'Google'"
     ),
     "report_fact_table": _q(
-        "SELECT strftime(date, '%Y-%m-%d') AS date, platform, replace(campaign_name, '_', ' ') AS campaign, "
-        "impressions, clicks, '$' || format('{:,.2f}', spend) AS spend, conversions, "
-        f"format('{{:.2f}}', ctr * {PCT}) || '%' AS ctr, '$' || format('{{:.3f}}', cpc) AS cpc, "
-        "'$' || format('{:.2f}', cpa) AS cpa, video_views, social_eng FROM fact"
+        "SELECT date, platform, replace(campaign_name, '_', ' ') AS campaign, impressions, clicks, spend, conversions, "
+        "ctr, cpc, cpa, video_views, social_eng, strftime(date, '%Y-%m-%d') AS date_text, "
+        "'$' || format('{:,.2f}', spend) AS spend_text, "
+        f"format('{{:.2f}}', ctr * {PCT}) || '%' AS ctr_text, '$' || format('{{:.3f}}', cpc) AS cpc_text, "
+        "'$' || format('{:.2f}', cpa) AS cpa_text FROM fact"
+    ),
+    "export_text_roundtrip": _q(
+        "SELECT * REPLACE (CASE campaign_id WHEN 'c1' THEN 'a \"quoted\" name' WHEN 'c2' THEN ' blanks, and commas ' "
+        "WHEN 'c3' THEN 'two' || chr(10) || 'lines' WHEN 'c4' THEN '' WHEN 'c5' THEN NULL "
+        "WHEN 'c6' THEN '\"' || chr(92) || '\"' ELSE campaign_name END AS campaign_name) FROM fact"
     ),
     "export_roundtrip": _q("SELECT * FROM fact"),
 }

@@ -1,7 +1,7 @@
 from adfuse.sources.channels import CHANNELS, FACEBOOK, GOOGLE, TIKTOK
-from adfuse.sources.readers import read_feed, type_by_name
+from adfuse.sources.readers import read_feed, rejected_rows, type_by_name
 from adfuse.sources.sinks import export_csv, materialize, read_csv_typed
 from adfuse.sources.spec import FeedSpec
-from adfuse.sources.storage import checkpoint_root, scratch_path
+from adfuse.sources.storage import checkpoint_root, remove_scratch, scratch_path
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from adfuse.sources.channels import GOOGLE
 from adfuse.sources.tables import read_table
 
 # Which return flag stands in for which channel, and the raw
@@ -36,6 +37,11 @@ FEED_COLUMNS: dict[str, list[str]] = {
         f"{_CENTS} AS spend",
         "l_suppkey % 10 AS conversions",
         f"{_QTY} * 100 AS video_views",
+        "concat('s', CAST(l_suppkey % 7 AS STRING)) AS ad_set_id",
+        "concat('Set_', CAST(l_suppkey % 7 AS STRING)) AS ad_set_name",
+        "round(l_discount, 2) AS engagement_rate",
+        f"{_QTY} * 700 AS reach",
+        "round(l_tax, 2) AS frequency",
     ],
     "google": _COMMON
     + [
@@ -44,6 +50,10 @@ FEED_COLUMNS: dict[str, list[str]] = {
         f"{_CENTS} * (l_suppkey % 7) AS conversion_value",
         "round(l_discount, 2) AS ctr",
         "round(l_tax, 2) AS avg_cpc",
+        "concat('g', CAST(l_suppkey % 7 AS STRING)) AS ad_group_id",
+        "concat('Group_', CAST(l_suppkey % 7 AS STRING)) AS ad_group_name",
+        "l_suppkey % 10 + 1 AS quality_score",
+        "round(l_discount, 2) AS search_impression_share",
     ],
     "tiktok": _COMMON
     + [
@@ -57,6 +67,8 @@ FEED_COLUMNS: dict[str, list[str]] = {
         "l_orderkey % 50 AS likes",
         "l_partkey % 20 AS shares",
         "l_suppkey % 5 AS comments",
+        "concat('t', CAST(l_suppkey % 7 AS STRING)) AS adgroup_id",
+        "concat('Adgroup_', CAST(l_suppkey % 7 AS STRING)) AS adgroup_name",
     ],
 }
 
@@ -85,6 +97,24 @@ def video_feed(li: DataFrame) -> DataFrame:
     return channel_feed(li, "tiktok")
 
 
+def faulty_search_lines(li: DataFrame) -> DataFrame:
+    """The search feed as CSV lines (no header), some of them damaged: of every
+    twenty, one too short, one too long, and one each with a fractional count,
+    a text for an amount and an impossible date."""
+    kind = "(l_orderkey + l_linenumber) % 20"
+    feed = li.where(f"l_returnflag = '{FLAG_OF_FEED['google']}'").selectExpr(*FEED_COLUMNS["google"], f"{kind} AS kind")
+    text = {c: f"CAST({c} AS STRING)" for c in GOOGLE.source_types}
+    text["date"] = "if(kind = 4, '1996-13-40', CAST(date AS STRING))"
+    text["conversions"] = "concat(conversions, if(kind = 2, '.5', ''))"
+    text["cost"] = "if(kind = 3, 'n/a', CAST(cost AS STRING))"
+    cells = [f"{e} AS {c}" for c, e in text.items()]
+    short = ", ".join(list(text)[:10])
+    whole = ", ".join(text)
+    return feed.selectExpr("kind", *cells).selectExpr(
+        f"concat(if(kind = 0, concat_ws(',', {short}), concat_ws(',', {whole})), if(kind = 1, ',extra', '')) AS line"
+    )
+
+
 def raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The three raw channel feeds keyed by channel name."""
     li = lineitem(spark, sf_dir)

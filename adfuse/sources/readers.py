@@ -1,9 +1,13 @@
 """Feed readers.
 
 CSV feeds are read as header-named strings and cast *by name* to the types
-declared in the spec, so a reordered or widened header still lines up and a
-malformed cell becomes NULL (and flags its row) instead of shifting columns
-or failing the job.  No schema inference pass: that would read the data twice.
+declared in the spec, so a reordered or widened header still lines up.  No
+schema inference pass: that would read the data twice.
+
+Nothing is lost silently.  A cell that does not parse as its type (12.5 as a
+whole number, text as an amount) and a line with too few or too many cells
+flag their row in ``bad_row`` (the default), or fail the job
+(``on_bad="fail"``); ``rejected_rows`` lists them.
 """
 
 from __future__ import annotations
@@ -14,9 +18,13 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adfuse.functions.ratios import q
 from adfuse.sources.spec import FeedSpec
 
 BAD_ROW = "bad_row"
+#: Raw line of a record whose number of cells is wrong.
+RAGGED = "_ragged_line"
+ON_BAD = ("flag", "fail", "ignore")
 
 
 def _typed(raw: Column, dtype: str, date_format: str) -> Column:
@@ -25,61 +33,120 @@ def _typed(raw: Column, dtype: str, date_format: str) -> Column:
     return raw.try_cast(dtype)
 
 
+def _bad_cells(wanted: dict[str, str], date_format: str) -> dict[str, Column]:
+    """Per typed column: text was present but did not parse as its type."""
+    return {
+        c: F.col(c).isNotNull() & _typed(F.col(c), t, date_format).isNull() for c, t in wanted.items() if t != "string"
+    }
+
+
+def _wanted(df: DataFrame, spec: FeedSpec, columns: Sequence[str] | None) -> dict[str, str]:
+    wanted = {c: t for c, t in spec.source_types.items() if columns is None or c in columns}
+    missing = [c for c in wanted if c not in df.columns]
+    if missing:
+        raise ValueError(f"feed {spec.name!r}: columns {missing} not found in {df.columns}")
+    return wanted
+
+
 def type_by_name(
     df: DataFrame,
     spec: FeedSpec,
-    flag_bad_rows: bool = False,
+    on_bad: str = "flag",
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Cast the spec's raw columns by name; unknown extra columns are dropped.
 
     ``columns`` restricts the read to a subset of the spec's columns.
+    ``on_bad``: "flag" adds a boolean ``bad_row``, "fail" raises at the first
+    bad row, "ignore" leaves NULL in the place of a bad cell.
     """
-    wanted = {c: t for c, t in spec.source_types.items() if columns is None or c in columns}
-    missing = [c for c in wanted if c not in df.columns]
-    if missing:
-        raise ValueError(f"feed {spec.name!r}: columns {missing} not found in {df.columns}")
+    if on_bad not in ON_BAD:
+        raise ValueError(f"on_bad is one of {ON_BAD}, not {on_bad!r}")
+    wanted = _wanted(df, spec, columns)
     cols = [_typed(F.col(c), t, spec.date_format).alias(c) for c, t in wanted.items()]
-    if flag_bad_rows:
-        # A cell is bad when text was present but did not parse as its type.
-        bad = [
-            F.col(c).isNotNull() & _typed(F.col(c), t, spec.date_format).isNull()
-            for c, t in wanted.items()
-            if t != "string"
-        ]
-        cols.append(reduce(lambda a, b: a | b, bad, F.lit(False)).alias(BAD_ROW))
+    bad = reduce(lambda a, b: a | b, _bad_cells(wanted, spec.date_format).values(), F.lit(False))
+    if RAGGED in df.columns:
+        bad = bad | F.col(RAGGED).isNotNull()
+    if on_bad == "flag":
+        cols.append(bad.alias(BAD_ROW))
+    elif on_bad == "fail":
+        what = F.concat(F.lit(f"feed {spec.name}: bad row "), F.to_json(F.struct(*[F.col(c) for c in wanted])))
+        df = df.where(F.when(bad, F.raise_error(what)).otherwise(F.lit(True)).cast("boolean"))
     return df.select(*cols)
 
 
+def _read_text(
+    spark: SparkSession, spec: FeedSpec, path: str | list[str], header: bool = True, multi_line: bool = False
+) -> DataFrame:
+    """A CSV as text columns, with the raw line of every record of a wrong length in ``RAGGED``.
+
+    Column names come from the first file's header (one line is read), or are
+    the spec's in order for files without one.  Every other file's header is
+    checked against them, so a file with a different column order fails loudly
+    instead of silently shifting its values.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    names = spark.read.option("header", True).csv(paths).columns if header else list(spec.source_types)
+    schema = ", ".join(f"{q(c)} STRING" for c in [*names, RAGGED])
+    return (
+        spark.read.schema(schema)
+        .option("header", header)
+        .option("enforceSchema", False)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", RAGGED)
+        .option("columnPruning", False)  # else only the cells of the wanted columns would be counted
+        .option("multiLine", multi_line)
+        .option("escape", '"')
+        .csv(paths)
+    )
+
+
 def read_feed(
     spark: SparkSession,
     spec: FeedSpec,
     path: str | list[str],
     fmt: str = "csv",
-    flag_bad_rows: bool = False,
+    on_bad: str = "flag",
     columns: Sequence[str] | None = None,
+    header: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Read one channel's raw export (CSV with header, or parquet).
+    """Read one channel's raw export (CSV, with or without header, or parquet).
 
     Paths may be files, directories or globs; many files per channel are the
     normal case at scale and are split across tasks by the file source.
+    ``multi_line`` reads quoted line breaks; such a file is one task's work.
     """
-    paths = [path] if isinstance(path, str) else list(path)
     if fmt == "csv":
-        raw = (
-            spark.read.option("header", True)
-            .option("mode", "PERMISSIVE")
-            .option("inferSchema", False)
-            # Column names come from the first file's header; every other file's
-            # header is checked against them, so a file with a different column
-            # order fails loudly instead of silently shifting its values.
-            .option("enforceSchema", False)
-            .csv(paths)
-        )
-        return type_by_name(raw, spec, flag_bad_rows, columns)
+        return type_by_name(_read_text(spark, spec, path, header, multi_line), spec, on_bad, columns)
     if fmt == "parquet":
-        raw = spark.read.parquet(*paths)
+        raw = spark.read.parquet(*([path] if isinstance(path, str) else path))
         if not spec.source_types:
             return raw
-        return type_by_name(raw, spec, flag_bad_rows, columns)
+        return type_by_name(raw, spec, on_bad, columns)
     raise ValueError(f"unsupported feed format {fmt!r}")
+
+
+def rejected_rows(
+    spark: SparkSession,
+    spec: FeedSpec,
+    path: str | list[str],
+    header: bool = True,
+    multi_line: bool = False,
+) -> DataFrame:
+    """The rows of a CSV feed that are flagged, with what is wrong.
+
+    The spec's columns as far as they parse, ``wrong_cell_count`` (the line has
+    too few or too many cells), ``bad_columns`` (names of the cells that do not
+    parse, comma-joined) and ``line`` (the raw line of a wrong cell count).
+    """
+    raw = _read_text(spark, spec, path, header, multi_line)
+    wanted = _wanted(raw, spec, None)
+    bad = _bad_cells(wanted, spec.date_format)
+    named = F.concat_ws(",", *[F.when(b, F.lit(c)) for c, b in bad.items()])
+    return raw.select(
+        *[_typed(F.col(c), t, spec.date_format).alias(c) for c, t in wanted.items()],
+        F.col(RAGGED).isNotNull().alias("wrong_cell_count"),
+        named.alias("bad_columns"),
+        F.col(RAGGED).alias("line"),
+    ).where(F.col("wrong_cell_count") | (F.col("bad_columns") != ""))

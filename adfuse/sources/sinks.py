@@ -9,33 +9,53 @@ from pyspark.sql import types as T
 from adfuse.schema import FACT_SCHEMA
 
 
-def export_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
-    """Write ``df`` as header CSV with ISO dates (one file per task, in parallel).
+# How CSV is written and read, so that any text survives and other
+# tools (spreadsheets, Python's csv module) read the files.
+_QUOTING = {
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "dateFormat": "yyyy-MM-dd",
+    "header": True,
+}
+#: Stands for an empty cell without quotes while reading, so that "" stays an empty text.
+_NO_CELL = "\u0000"
 
-    The reference offers the filtered fact as a single downloadable CSV; at
-    scale we write a directory of part files rather than funnel the data
-    through one task or the driver.
+
+def export_csv(
+    df: DataFrame, path: str, mode: str = "errorifexists", rows_per_file: int = 2_000_000
+) -> str:
+    """Write ``df`` as header CSV with ISO dates (parallel files of at most ``rows_per_file`` rows).
+
+    Quotes are doubled, blanks and line breaks kept; NULL is an empty cell, an
+    empty text is ``""``.  The reference offers the filtered fact as a single
+    downloadable CSV; at scale we write a directory of part files rather than
+    funnel the data through one task or the driver.  Files are bounded because
+    a reader cannot split one that holds line breaks.
     """
     (
         df.write.mode(mode)
-        .option("header", True)
-        .option("dateFormat", "yyyy-MM-dd")
+        .options(**_QUOTING, nullValue="", emptyValue='""', maxRecordsPerFile=rows_per_file)
         .csv(path)
     )
     return path
 
 
-def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType = FACT_SCHEMA) -> DataFrame:
+def read_csv_typed(
+    spark: SparkSession, path: str, schema: T.StructType = FACT_SCHEMA, multi_line: bool = True
+) -> DataFrame:
     """Read a CSV written by ``export_csv`` back, typed by header name.
 
     The column order is known, so the text schema is given up front (no
     header-inference job) and every file's header is validated against it.
+    ``multi_line=False`` lets large files be split, for texts without line
+    breaks.
     """
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     raw = (
         spark.read.schema(text)
-        .option("header", True)
-        .option("enforceSchema", False)
+        .options(**_QUOTING, nullValue=_NO_CELL, emptyValue="", multiLine=multi_line, enforceSchema=False)
         .csv(path)
     )
     cols = []

@@ -11,6 +11,8 @@ from dataclasses import dataclass, field
 from types import MappingProxyType
 from typing import Mapping
 
+from adfuse.schema import FACT_COLUMNS
+
 
 def _frozen(m: Mapping[str, str] | None) -> Mapping[str, str]:
     return MappingProxyType(dict(m or {}))
@@ -31,7 +33,9 @@ class FeedSpec:
 
     Canonical columns not provided are defaulted by role: additive measures
     to 0, monetary value to NULL, row ratios recomputed from the canonical
-    numerator/denominator when both exist, otherwise NULL.
+    numerator/denominator when both exist, otherwise NULL.  Only columns the
+    spec does not mention are defaulted: a ``rename`` target or ``derived`` key
+    that is no fact column, or two sources for one column, raise ValueError.
     """
 
     name: str
@@ -45,6 +49,13 @@ class FeedSpec:
         object.__setattr__(self, "source_types", _frozen(self.source_types))
         object.__setattr__(self, "rename", _frozen(self.rename))
         object.__setattr__(self, "derived", _frozen(self.derived))
+        targets = [*self.rename.values(), *self.derived]
+        unknown = sorted({t for t in targets if t not in FACT_COLUMNS})
+        if unknown:
+            raise ValueError(f"feed {self.name!r}: {unknown} are not columns of the fact")
+        twice = sorted({t for t in targets if targets.count(t) > 1})
+        if twice:
+            raise ValueError(f"feed {self.name!r}: more than one source for {twice}")
 
     def source_for(self, canonical: str) -> str:
         """Raw column that feeds ``canonical`` (identity unless renamed)."""

@@ -42,3 +42,35 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never-reused directory under the checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/adfuse-{label}-{uuid.uuid4().hex}"
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def remove_scratch(spark: SparkSession, path: str) -> bool:
+    """Remove a folder made by ``scratch_path``, on whatever file system it is.
+
+    For the caller of a result that reads it, once that result is consumed.
+    Anything that is not a scratch folder is refused.
+    """
+    if not path.startswith(f"{checkpoint_root(spark).rstrip('/')}/adfuse-"):
+        raise ValueError(f"{path} is not a scratch folder")
+    fs, p = _hadoop_path(spark, path)
+    return fs.delete(p, True)
+
+
+def folders(spark: SparkSession, path: str, complete: bool = True) -> list[str]:
+    """Sub-folders of ``path``, by name; only finished writes if ``complete``."""
+    fs, p = _hadoop_path(spark, path)
+    if not fs.exists(p):
+        return []
+    found = [s.getPath() for s in fs.listStatus(p) if s.isDirectory()]
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return sorted(str(f) for f in found if not complete or fs.exists(mark(f, "_SUCCESS")))
+
+
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop_path(spark, path)
+    return fs.delete(p, True)

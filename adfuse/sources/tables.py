@@ -32,10 +32,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def read_table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The same table as a file stream (new files under the folder are picked up)."""
+    """The same table as a file stream.
+
+    ``name.parquet`` may be a folder (new files in it are picked up) or one
+    file; the pattern matches exactly this name.
+    """
     base = sf_dir.rstrip("/")
     return (
         spark.readStream.schema(TABLE_SCHEMAS[name])
         .option("basePath", base)
-        .parquet(f"{base}/{name}.parquet*")
+        .parquet(f"{base}/{{{name}.parquet}}")
     )

@@ -1,3 +1,3 @@
-from adfuse.streaming.daily import read_feed_stream, start_daily_rollup, write_daily_rollup
+from adfuse.streaming.daily import read_daily_rollup, read_feed_stream, start_daily_rollup, write_daily_rollup
 
-__all__ = ["read_feed_stream", "start_daily_rollup", "write_daily_rollup"]
+__all__ = ["read_daily_rollup", "read_feed_stream", "start_daily_rollup", "write_daily_rollup"]

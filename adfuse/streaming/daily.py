@@ -5,11 +5,12 @@ Structured Streaming.  The result has one row per (date, platform): its size
 is days x platforms, independent of data volume.  That bounds the streaming
 state, so no watermark is needed to evict it, and no row is ever dropped:
 data arriving late for an old day still lands in that day's totals.  Each
-micro-batch republishes the whole (small) table with ``foreachBatch`` ->
-overwrite, which is idempotent when a batch is replayed after a failure;
-progress lives in a checkpoint in the shared checkpoint folder, so scheduled
-``availableNow`` runs resume where they stopped.  Trailing averages are then a
-batch window over the published table.
+micro-batch publishes the whole (small) table as a folder of its own, so a
+reader (``read_daily_rollup``) always finds a complete table, also while a
+batch is being written or after one failed; a replayed batch that is already
+complete is left alone.  Progress lives in a checkpoint beside the published
+table, so scheduled ``availableNow`` runs resume where they stopped.  Trailing
+averages are then a batch window over the published table.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from adfuse.operators.conform import conform, unify
 from adfuse.operators.rollups import daily_rollup
 from adfuse.sources.readers import type_by_name
 from adfuse.sources.spec import FeedSpec
-from adfuse.sources.storage import scratch_path
+from adfuse.sources.storage import folders, remove_folder
 
 
 def read_feed_stream(
@@ -51,7 +52,23 @@ def read_feed_stream(
         raw = reader.schema(ddl).parquet(path)
     else:
         raise ValueError(f"unsupported feed format {fmt!r}")
-    return type_by_name(raw, spec)
+    return type_by_name(raw, spec, on_bad="ignore")
+
+
+#: Published versions that stay for readers which have begun.
+KEPT_VERSIONS = 3
+
+
+def _version(path: str, batch_id: int) -> str:
+    return f"{path.rstrip('/')}/version={batch_id:012d}"
+
+
+def read_daily_rollup(spark: SparkSession, out_path: str) -> DataFrame:
+    """The newest completely published daily roll-up."""
+    done = folders(spark, out_path)
+    if not done:
+        raise FileNotFoundError(f"nothing is published in {out_path} yet")
+    return spark.read.parquet(done[-1])
 
 
 def write_daily_rollup(
@@ -60,27 +77,28 @@ def write_daily_rollup(
     checkpoint: str | None = None,
     available_now: bool = True,
     processing_time: str = "1 minute",
-    publish_files: int = 8,
 ) -> StreamingQuery:
     """Start the incremental daily roll-up of a streaming fact into ``out_path``.
 
     ``available_now`` processes what has landed and stops (scheduled runs);
-    otherwise it runs continuously every ``processing_time``.  The published
-    table is days x platforms rows, so it is written by ``publish_files``
-    tasks instead of one tiny file per state partition; ``repartition`` (not
-    ``coalesce``) keeps the stateful aggregation itself at full parallelism
-    and moves only the small finished table.
+    otherwise it runs continuously every ``processing_time``.  The checkpoint
+    is by default a folder beside ``out_path``, the same in every run.  The
+    published table is rebalanced, so the number of files follows its size.
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        # The complete (date x platform) table, small by construction.
-        batch.repartition(publish_files).write.mode("overwrite").parquet(out_path)
+        session = batch.sparkSession
+        target = _version(out_path, batch_id)
+        if not any(f.endswith(target.rpartition("/")[2]) for f in folders(session, out_path)):
+            batch.hint("rebalance").write.mode("overwrite").parquet(target)
+        for old in folders(session, out_path)[:-KEPT_VERSIONS]:
+            remove_folder(session, old)
 
     writer = (
         daily_rollup(fact)
         .writeStream.outputMode("complete")
         .foreachBatch(publish)
-        .option("checkpointLocation", checkpoint or scratch_path(fact.sparkSession, "daily-stream"))
+        .option("checkpointLocation", checkpoint or f"{out_path.rstrip('/')}-checkpoint")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()
@@ -93,8 +111,7 @@ def start_daily_rollup(
     checkpoint: str | None = None,
     available_now: bool = True,
     processing_time: str = "1 minute",
-    publish_files: int = 8,
 ) -> StreamingQuery:
     """Start the incremental daily roll-up of ``sources`` = [(spec, path, fmt), ...]."""
     fact = unify(conform(read_feed_stream(spark, spec, path, fmt), spec) for spec, path, fmt in sources)
-    return write_daily_rollup(fact, out_path, checkpoint, available_now, processing_time, publish_files)
+    return write_daily_rollup(fact, out_path, checkpoint, available_now, processing_time)

@@ -9,13 +9,16 @@ import __spark_entry__ as entry
 from compare import duck
 from conftest import SF_SMALL
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+from adfuse.plans.catalog import QUERIES
+from adfuse.plans.oracle import ORACLE
+
 PLAIN = re.compile(r"^[a-z_][a-z0-9_]*$")
 
 
 def test_keys_match():
     assert QUERIES and set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.fixture(scope="module")

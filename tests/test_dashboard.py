@@ -30,7 +30,8 @@ def test_load_materialize_and_select(spark):
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         view.fact.explain("formatted")
-    assert "PartitionFilters: [isnotnull(platform" in buf.getvalue()
+    (pruned,) = [line for line in buf.getvalue().splitlines() if line.startswith("PartitionFilters")]
+    assert "(platform#" in pruned and "(fact_month#" in pruned
     assert {r.platform for r in view.platforms.collect()} == {"Google"}
     assert view.series.where(F.col("platform") != "Google").count() == 0
     assert view.series.agg(F.min("date"), F.max("date")).first()[0].year == 1996
@@ -84,3 +85,73 @@ def test_empty_selection(spark):
     assert (t.spend_tile, t.conversions_tile, t.roas_tile) == ("$0.0K", "0", "0.00×")
     assert view.best_worst.count() == 0 and view.leaders.count() == 0
     assert view.spend_share.count() == 0 and view.fact_table.count() == 0
+
+
+def _view_tables(view):
+    return {k: v for k, v in vars(view).items() if v is not None}
+
+
+def test_every_table_of_the_view_equals_its_fact_level_twin_with_nulls(spark):
+    """Measures that are NULL (a bad cell) add nothing, on either way."""
+    from adfuse.functions.ratios import with_ratios
+    from adfuse.operators import (
+        below_target,
+        best_worst,
+        daily_ctr,
+        kpi_summary,
+        kpi_tiles,
+        platform_kpis_long,
+        platform_leaders,
+        report_fact_table,
+        share_of_total,
+        stack,
+    )
+    from adfuse.operators.filters import filter_series
+    from adfuse.operators.funnel import engagement_summary, funnel_stages, video_funnel
+
+    feeds = raw_feeds(spark, SF_SMALL)
+    holes = {
+        "facebook": ("spend", "impressions"), "google": ("cost", "conversions", "conversion_value"), "tiktok": ("clicks",),
+    }
+    for name, columns in holes.items():
+        for c in columns:
+            gone = (F.dayofmonth("date") % 3 == 0) | (F.year("date") == 1996) & (F.month("date") == 2)
+            feeds[name] = feeds[name].withColumn(c, F.when(~gone, F.col(c)))
+    sel = dict(platforms=["Google", "Facebook"], date_from="1995-06-01", date_to="1998-06-30", campaigns=["Camp_2", "Camp_5"])
+    for target in (None, scratch_path(spark, "nulls")):
+        loaded = dashboard.load(feeds, CHANNELS, materialize_to=target)
+        view = dashboard.select(loaded, **sel)
+        whole = dashboard.conform_all(feeds, CHANNELS)
+        fact = filter_fact(whole, **sel)
+        series = filter_series(dashboard.series_of(whole), sel["platforms"], sel["date_from"], sel["date_to"])
+        plat, camp = platform_rollup(fact), campaign_rollup(fact)
+        kpis, funnel = kpi_summary(camp), video_funnel(feeds["tiktok"])
+        twins = {
+            "fact": fact, "series": series, "platforms": plat, "campaigns": camp,
+            "search_campaigns": camp.where("platform = 'Google'"), "kpis": kpis, "tiles": kpi_tiles(kpis),
+            "spend_share": share_of_total(plat.select("platform", "spend"), "spend", total_out="total_spend"),
+            "impression_share": share_of_total(plat.select("platform", "impressions"), "impressions", total_out="total_impressions"),
+            "platform_kpis": platform_kpis_long(plat),
+            "conversions_stacked": stack(series.select("date", "platform", "conversions"), "conversions"),
+            "ctr": daily_ctr(series), "best_worst": best_worst(camp, "cpa"),
+            "leaders": platform_leaders(with_ratios(plat, ["cpm"])), "below_target": below_target(camp, "Google"),
+            "funnel_stages": funnel_stages(funnel), "engagement": engagement_summary(funnel),
+            "search_table": report_campaign_table(camp, "Google"), "fact_table": report_fact_table(fact),
+        }
+        tables = _view_tables(view)
+        assert set(tables) == set(twins)
+        for name, df in tables.items():
+            assert df.columns == twins[name].columns, name
+            assert sorted(map(str, df.collect())) == sorted(map(str, twins[name].collect())), name
+
+
+def test_dates_prune_the_materialised_fact(spark):
+    loaded = dashboard.load(raw_feeds(spark, SF_SMALL), CHANNELS, materialize_to=scratch_path(spark, "months"))
+    view = dashboard.select(loaded, date_from="1996-03-05", date_to="1996-04-02")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        view.fact.explain("formatted")
+    assert "PartitionFilters: [isnotnull(fact_month" in buf.getvalue()
+    assert view.fact.agg(F.min("date"), F.max("date")).first()[0].isoformat() >= "1996-03-05"
+    one = dashboard.select(loaded, date_from="1996-03-05")
+    assert {r.date.isoformat() for r in one.fact.select("date").distinct().collect()} <= {"1996-03-05"}

@@ -28,7 +28,6 @@ from adfuse.plans.dashboard import series_of
 from adfuse.sources import CHANNELS, read_feed
 
 CSV_DIR = os.environ.get("ADFUSE_CSV_DIR")
-pytestmark = pytest.mark.skipif(not CSV_DIR, reason="ADFUSE_CSV_DIR not set")
 
 
 @pytest.fixture(scope="module")

@@ -6,8 +6,9 @@ import __spark_entry__ as entry
 from compare import compare, duck
 from conftest import SF_SMALL
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+from adfuse.plans.catalog import QUERIES
+from adfuse.plans.oracle import ORACLE
+
 
 
 @pytest.fixture(scope="module")

@@ -6,10 +6,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
 from conftest import SF_SMALL
 
-QUERIES = entry.queries()
+from adfuse.plans.catalog import QUERIES
+
 
 
 def plan(df) -> str:
@@ -59,3 +59,11 @@ def test_share_uses_scalar_subquery_not_single_partition_window(spark):
 def test_best_worst_is_one_aggregate_without_sort(spark):
     p = plan(QUERIES["best_worst_campaign"](spark, SF_SMALL))
     assert "min_by" in p and "Sort " not in p and "Window" not in p
+
+
+@pytest.mark.parametrize("name", ["filtered_campaign_rollup", "filtered_kpis"])
+def test_one_off_filter_reaches_the_scans(spark, name):
+    p = plan(QUERIES[name](spark, SF_SMALL))
+    pushed = [line for line in p.splitlines() if line.startswith("PushedFilters")]
+    assert len(pushed) == 2 and all("l_shipdate" in line for line in pushed)
+    assert "EqualTo(l_returnflag,A)" not in p

@@ -112,7 +112,7 @@ def test_malformed_csv_cells_flagged_and_header_matched_by_name(spark, tmp_path)
         "B,2024-13-45,zz,c2,abc,5,2.5,1,10\n"
     )
     cols = ["date", "campaign_id", "campaign_name", "impressions", "clicks", "spend", "conversions", "video_views"]
-    df = read_feed(spark, FACEBOOK, str(p), "csv", flag_bad_rows=True, columns=cols)
+    df = read_feed(spark, FACEBOOK, str(p), "csv", columns=cols)
     rows = {r.campaign_name: r for r in df.collect()}
     assert rows["A"].date == D(2024, 1, 1) and rows["A"].impressions == 100 and not rows["A"].bad_row
     assert rows["B"].date is None and rows["B"].impressions is None and rows["B"].bad_row
@@ -128,7 +128,7 @@ def test_parquet_feed_typed_by_name(spark, tmp_path):
     path = str(tmp_path / "feed")
     src.write.parquet(path)
     cols = ["date", "campaign_id", "campaign_name", "impressions", "clicks", "spend", "conversions", "video_views"]
-    df = read_feed(spark, FACEBOOK, path, "parquet", flag_bad_rows=True, columns=cols)
+    df = read_feed(spark, FACEBOOK, path, "parquet", columns=cols)
     assert dict(df.dtypes) == {
         "date": "date", "campaign_id": "string", "campaign_name": "string", "impressions": "bigint",
         "clicks": "bigint", "spend": "double", "conversions": "bigint", "video_views": "bigint", "bad_row": "boolean",
