@@ -176,60 +176,57 @@ def _chunk(count: str, by: str):
     return F.pmod(F.xxhash64(by), F.col(count)).cast("int")
 
 
-def _links(members: DataFrame, groups: DataFrame, width: int, percent: int) -> DataFrame:
+def _links(members: DataFrame, texts_of: DataFrame, width: int, percent: int) -> DataFrame:
     """Confirmed links inside the candidate groups.
 
-    ``members`` (grp, cls, n_bytes, weight, text), ``groups`` (grp, chunks,
-    center); a group of one chunk is compared as a whole.
+    ``members`` (grp, chunks, center, cls, n_bytes), ``texts_of`` (cls, text);
+    a group of one chunk is compared as a whole.  Tiles are made of ids alone;
+    texts join them last and are dealt out by tile, so the tiles of one group
+    go to many tasks.
     """
-    confirm = lambda rows: rows.groupBy("grp", "t1", "t2").applyInArrow(
-        _confirm(width, percent), "a bigint, b bigint"
-    )
-    tile = ("grp", "t1", "t2", "cls", "is_left", "is_right", "text")
-    yes, no = F.lit(True), F.lit(False)
-    rows = members.join(groups, "grp").withColumn("chunk", _chunk("chunks", "cls"))
-    whole = rows.where("chunks = 1").select(
-        "grp", F.lit(0).alias("t1"), F.lit(0).alias("t2"), "cls", yes.alias("is_left"), yes.alias("is_right"), "text"
-    )
-    star = rows.where("chunks > 1")
-    spread = star.where("cls = center").withColumn("t1", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    star = spread.select("grp", "t1", F.lit(0).alias("t2"), "cls", yes.alias("is_left"), no.alias("is_right"), "text").union(
-        star.where("cls != center").select(
-            "grp", F.col("chunk").alias("t1"), F.lit(0).alias("t2"), "cls", no.alias("is_left"), yes.alias("is_right"), "text"
+    tile = ("grp", "t1", "t2")
+
+    def confirm(tiles: DataFrame) -> DataFrame:
+        dealt = tiles.join(texts_of, "cls").repartition(*tile)
+        return checkpointed(dealt.groupBy(*tile).applyInArrow(_confirm(width, percent), "a bigint, b bigint"))
+
+    def side(rows: DataFrame, t1, t2, left, right) -> DataFrame:
+        return rows.select(
+            "grp", t1.alias("t1"), t2.alias("t2"), "cls", F.lit(left).alias("is_left"), F.lit(right).alias("is_right")
         )
+
+    rows, zero = members.withColumn("chunk", _chunk("chunks", "cls")), F.lit(0)
+    large = rows.where("chunks > 1")
+    every = F.explode(F.sequence(zero, F.col("chunks") - 1))
+    first = confirm(
+        side(rows.where("chunks = 1"), zero, zero, True, True)
+        .union(side(large.where("cls = center").withColumn("k", every), F.col("k"), zero, True, False))
+        .union(side(large.where("cls != center"), F.col("chunk"), zero, False, True))
     )
-    first = checkpointed(confirm(whole.union(star)))
-    large = groups.where("chunks > 1")
     if large.isEmpty():
         return first
     # Those not linked to their group's center, against each other and against the rest.
-    near = first.join(large, first["a"] == large["center"], "left_semi").select(F.col("b").alias("cls"))
-    apart = rows.where("chunks > 1 and cls != center").join(near, "cls", "left_anti")
-    close = rows.where("chunks > 1").join(near, "cls", "left_semi")
+    centers = large.select("center").distinct()
+    near = first.join(centers, first["a"] == centers["center"], "left_semi").select(F.col("b").alias("cls"))
+    apart = large.where("cls != center").join(near, "cls", "left_anti")
     n = checkpointed(
-        apart.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.sum("n_bytes").alias("b")).select(
-            "grp", _chunks(F.col("n"), F.col("b")).alias("apart")
-        )
+        apart.groupBy("grp").agg(_chunks(F.count(F.lit(1)), F.sum("n_bytes")).alias("apart"))
     )
     apart = apart.join(n, "grp").withColumn("c", _chunk("apart", "cls"))
-    close = close.join(n, "grp")
+    close = large.join(near, "cls", "left_semi").join(n, "grp")
     pairs = F.transform(
-        F.sequence(F.lit(0), F.col("apart") - 1),
+        F.sequence(zero, F.col("apart") - 1),
         lambda k: F.struct(F.least(k, F.col("c")).alias("t1"), F.greatest(k, F.col("c")).alias("t2")),
     )
     among = apart.withColumn("t", F.explode(pairs)).select(
-        "grp", "t.t1", "t.t2", "cls", (F.col("c") == F.col("t.t1")).alias("is_left"),
-        (F.col("c") == F.col("t.t2")).alias("is_right"), "text",
-    )
-    across = apart.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
-        "grp", F.col("c").alias("t1"), (-1 - F.col("k")).alias("t2"), "cls", yes.alias("is_left"), no.alias("is_right"), "text"
-    )
-    across = across.union(
-        close.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("apart") - 1))).select(
-            "grp", F.col("k").alias("t1"), (-1 - F.col("chunk")).alias("t2"), "cls", no.alias("is_left"), yes.alias("is_right"), "text"
-        )
+        *("grp", "t.t1", "t.t2", "cls"),
+        (F.col("c") == F.col("t.t1")).alias("is_left"),
+        (F.col("c") == F.col("t.t2")).alias("is_right"),
     )
-    return first.union(checkpointed(confirm(among.union(across).select(*tile))))
+    left = side(apart.withColumn("k", every), F.col("c"), -1 - F.col("k"), True, False)
+    again = F.explode(F.sequence(zero, F.col("apart") - 1))
+    right = side(close.withColumn("k", again), F.col("k"), -1 - F.col("chunk"), False, True)
+    return first.union(confirm(among.union(left).union(right)))
 
 
 def _chunks(n, size):
@@ -262,22 +259,21 @@ def _classified(
         .join(weights, "cls")
         .join(classes.drop("bands", "set_key", "low"), "cls")
     )
-    sized = checkpointed(
-        members.groupBy("grp").agg(
-            _chunks(F.count(F.lit(1)), F.sum("n_bytes")).alias("chunks"),
-            F.max(F.struct("weight", (-F.col("cls")).alias("minus")))["minus"].alias("minus"),
-        ).select("grp", "chunks", (-F.col("minus")).alias("center"))
+    sized = members.groupBy("grp").agg(
+        _chunks(F.count(F.lit(1)), F.sum("n_bytes")).alias("chunks"),
+        F.max(F.struct("weight", (-F.col("cls")).alias("minus")))["minus"].alias("minus"),
     )
+    members = checkpointed(members.join(sized, "grp").withColumn("center", -F.col("minus")))
     source = pick(docs, ("doc_id", "bigint"), ("text", "string")).select(
         F.col("doc_id").alias("_id"), text_hash().alias("_hash"), "text"
     )
     texts_of = frozen(
-        members.join(source, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))).select(
-            "grp", "cls", "n_bytes", "text"
-        ),
+        members.join(
+            source, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+        ).select("cls", "text"),
         "candidates",
     )
-    links = _links(texts_of, sized, width, percent)
+    links = _links(members, texts_of, width, percent)
     found = components(links).withColumnRenamed("node", "cls")
     classes = classes.select("set_key", "cls", "low").join(found, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     lowest = classes.groupBy("root").agg(F.min("low").alias("component_id"))
