@@ -26,8 +26,8 @@ from adfuse.llm.tables import fold_case, pick, table
 
 #: Words of a window.
 WIDTH = 10
-#: A benchmark of more words than this is joined, not broadcast (about 100 bytes a word on each side).
-BROADCAST_WORDS = 1_000_000
+#: A benchmark of more words than this is joined, not broadcast (some 300 bytes a word while it is built).
+BROADCAST_WORDS = 300_000
 
 
 class WindowSet:

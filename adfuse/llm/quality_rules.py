@@ -200,8 +200,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> RuleModel
     """Fit the model on labelled rows whose crc32(doc_id) mod 4 is not 2."""
     chosen = sample_labels(labels, "quality", 4, 2, sample)  # bounded, so it may be broadcast
     rows = pick(docs, ("doc_id", "bigint"), ("text", "string")).join(F.broadcast(chosen), "doc_id")
+    # Ids may repeat on either side, so the bound is set once more.
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", F.xxhash64("text")).limit(2 * sample)
     got = rows.select("doc_id", "quality", *[c.alias(k) for k, c in statistics(F.col("text")).items()]).toPandas()
-    got = got.sort_values(list(got.columns)).head(2 * sample)  # ids may repeat on either side
+    got = got.sort_values(list(got.columns))
     return fit(got[list(NAMES)].to_numpy(float), got["quality"].to_numpy(int))
 
 
