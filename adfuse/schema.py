@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The names, types and roles of the unified fact's columns.
 # Column roles drive the conform defaults:
 #   key      - copied from the feed (renamed if needed)
 #   count    - additive integer measure, BIGINT (absent -> 0)
