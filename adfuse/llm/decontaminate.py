@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from adfuse.llm.bytes_kernel import ALNUM, LOWER, texts, windows, word_hashes
 from adfuse.llm.license_scan import WORD
-from adfuse.llm.tables import fold_case, pick, table
+from adfuse.llm.tables import fold_case, pick, table, with_texts
 
 #: Words of a window.
 WIDTH = 10
@@ -217,8 +217,7 @@ def decontaminate(
     if known is None:
         return _in_blocks(docs, benchmark, remove, width, limit)
     shared = docs.sparkSession.sparkContext.broadcast(known)
-    names, schema = docs.columns, docs.schema
-    at_text = names.index("text")
+    at_text = docs.columns.index("text")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -234,18 +233,10 @@ def decontaminate(
                         left.append(text[done : int(end[a - 1]) if a else 0].tobytes())
                         done = int(end[b - 1])
                     new[k] = (b"".join(left) + text[done:].tobytes()).decode()
-            if new:
-                columns = list(batch.columns)
-                old = columns[at_text].to_pylist()
-                columns[at_text] = pa.array([new.get(k, t) for k, t in enumerate(old)], columns[at_text].type)
-                if "n_chars" in names:
-                    c = names.index("n_chars")
-                    was = columns[c].to_pylist()
-                    columns[c] = pa.array([len(new[k]) if k in new else w for k, w in enumerate(was)], columns[c].type)
-                batch = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+            batch = with_texts(batch, new)
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(clean, schema)
+    return docs.mapInArrow(clean, docs.schema)
 
 
 def _in_blocks(docs: DataFrame, benchmark: DataFrame, remove: str, width: int, limit: int) -> DataFrame:

@@ -33,9 +33,8 @@ from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 
-from adfuse.llm.tables import pick, table
+from adfuse.llm.tables import pick, table, with_texts
 
 # The kinds in their order, and their patterns.
 KINDS = ("assign", "access", "hex")
@@ -348,26 +347,18 @@ def redact(docs: DataFrame) -> DataFrame:
 
     ``n_chars``, where present, follows the new text.  Null texts stay null.
     """
-    schema = docs.schema
-    names = docs.columns
-    at = names.index("text")
+    at = docs.columns.index("text")
 
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            old = batch.column(at).to_pylist()
-            new = [t if t is None else redact_text(t) for t in old]
-            columns = list(batch.columns)
-            columns[at] = pa.array(new, columns[at].type)
-            if "n_chars" in names and T.IntegralType in type(schema["n_chars"].dataType).__mro__:
-                k = names.index("n_chars")
-                was = columns[k].to_pylist()
-                columns[k] = pa.array(
-                    [w if a is None or a == b else len(b) for w, a, b in zip(was, old, new, strict=True)],
-                    columns[k].type,
-                )
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
-
-    return docs.mapInArrow(mask, schema)
+            new = {}
+            for row, text in enumerate(batch.column(at)):
+                old = text.as_py()
+                if old is not None and (clean := redact_text(old)) != old:
+                    new[row] = clean
+            yield with_texts(batch, new)
+
+    return docs.mapInArrow(mask, docs.schema)
 
 
 def op1_secret_scan(spark, sf_dir) -> DataFrame:

@@ -22,8 +22,8 @@ from adfuse.llm.tables import checkpointed, pick, table
 
 #: The largest weight of a term, and the terms of a run: their product stays under 2**15.
 HEAVY, RUN = 15, 2048
-#: Documents with ids in the same stretch of this many numbers are put in order by one task.
-STRETCH = 256
+#: Documents with ids in the same stretch of 2**STRETCH numbers are put in order by one task.
+STRETCH = 8
 
 _LANES = 0x0001000100010001
 _PAIRS = 0x0000FFFF0000FFFF
@@ -144,11 +144,11 @@ def with_next(docs: DataFrame, stretch: int = STRETCH) -> DataFrame:
     Returns stretch, place (in it), doc_id, text, text_hash and next_id,
     next_text, next_hash; the last row is followed by the first.  Rows without
     doc_id come first; a null text counts as empty.  A window runs over the
-    rows whose ids lie in one stretch of numbers, at most ``stretch`` distinct
+    rows whose ids lie in one stretch of 2**``stretch`` numbers, at most as many distinct
     ids, and the first row of the following stretch is added to it.
     """
     rows = pick(docs, ("doc_id", "bigint"), ("text", "string")).select(
-        F.coalesce(F.floor(F.col("doc_id") / stretch), F.lit(-(1 << 62))).alias("stretch"),
+        F.coalesce(F.shiftright("doc_id", stretch), F.lit(-(1 << 62))).alias("stretch"),
         "doc_id",
         F.coalesce("text", F.lit("")).alias("text"),
     ).withColumn("text_hash", F.xxhash64("text"))

@@ -44,3 +44,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the session's shared folder (narrow tables)."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def with_texts(batch, new: dict[int, str]):
+    """An Arrow batch with the texts of some rows replaced; an integer ``n_chars`` follows them."""
+    import pyarrow as pa
+
+    if not new:
+        return batch
+    columns, names = list(batch.columns), batch.schema.names
+    for name, value in (("text", lambda t: t), ("n_chars", len)):
+        k = names.index(name) if name in names else -1
+        if k >= 0 and (name == "text" or pa.types.is_integer(columns[k].type)):
+            old = columns[k].to_pylist()
+            columns[k] = pa.array([value(new[r]) if r in new else v for r, v in enumerate(old)], columns[k].type)
+    return pa.RecordBatch.from_arrays(columns, schema=batch.schema)
