@@ -52,6 +52,16 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_spelling() -> dict[int, int]:
+    """Byte-level vocabularies spell a byte as its Latin-1 character, and those without a glyph from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: 256 + k for k, b in enumerate(rest)}
+
+
+SPELLING = byte_spelling()
+
+
 class Ids(dict):
     """Ids of the words, or parts of words, met so far, as little-endian uint32 bytes."""
 
@@ -79,19 +89,25 @@ class Encoder:
     the two and the normaliser lower-cases, so the tokenizer is asked once for
     the lower-case letters, whatever marks follow.  Only letters whose lower
     case and normal form are the same to Python and to the tokenizer (those
-    under U+0130) take this way.
+    under U+0130) take this way, straight to the tokenizer's model.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words, self.parts = Ids(self._word), Ids(self._encode)
+        self.model = self.tokenizer.model
+        self.words, self.parts = Ids(self._word), Ids(self._part)
 
     def _encode(self, text: str) -> bytes:
         (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return pack_ids(found.ids)
 
+    def _part(self, part: str) -> bytes:
+        """Ids of what the splitter leaves whole: its bytes, spelt as the vocabulary spells them."""
+        spelt = part if part.isascii() else part.encode().decode("latin-1").translate(SPELLING)
+        return pack_ids([t.id for t in self.model.tokenize(spelt)])
+
     def _word(self, word: str) -> bytes:
         letters = word.rstrip(MARKS)
         if letters.isalpha() and max(letters) < "\u0130":
