@@ -6,6 +6,8 @@ import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
+# Python workers import the package too, wherever pytest was started.
+os.environ["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, os.environ.get("PYTHONPATH")) if p)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 # Golden values of the original exports, which are not in this repository; the same
