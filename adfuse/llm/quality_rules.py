@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from adfuse.llm.tables import pick, table
 
 #: Labelled rows that the model is fitted on, at most: those with the smallest hash of their id.
-SAMPLE = 20_000
+SAMPLE = 10_000
 #: A document is accepted from this score.
 ACCEPT = 0.7
 
@@ -142,12 +142,12 @@ def grow_rules(x: np.ndarray, y: np.ndarray, names: tuple[str, ...], trees: int
 def lasso_logistic(z: np.ndarray, y: np.ndarray, penalty: float, rounds: int = 500) -> tuple[np.ndarray, float]:
     """Weights and bias by accelerated proximal gradient steps."""
     n = len(y)
-    v = np.ones(z.shape[1])
+    v = np.ones(z.shape[1], z.dtype)
     for _ in range(20):  # largest curvature
         v = z.T @ (z @ v)
         v /= np.linalg.norm(v) + 1e-12
     rate = 1 / (0.25 * (np.linalg.norm(z @ v) ** 2 / n + 1) + 1e-9)
-    w, b, t = np.zeros(z.shape[1]), 0.0, 1.0
+    w, b, t = np.zeros(z.shape[1], z.dtype), 0.0, 1.0
     ahead_w, ahead_b = w, b
     for _ in range(rounds):
         r = _sigmoid(z @ ahead_w + ahead_b) - y
@@ -155,7 +155,8 @@ def lasso_logistic(z: np.ndarray, y: np.ndarray, penalty: float, rounds: int = 5
         new_w = np.sign(new_w) * np.maximum(np.abs(new_w) - rate * penalty, 0)
         new_b = ahead_b - rate * r.mean()
         new_t = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        ahead_w, ahead_b = new_w + (t - 1) / new_t * (new_w - w), new_b + (t - 1) / new_t * (new_b - b)
+        ahead = (t - 1) / new_t
+        ahead_w, ahead_b = (new_w + ahead * (new_w - w)).astype(z.dtype), new_b + ahead * (new_b - b)
         w, b, t = new_w, new_b, new_t
     return w, b
 
@@ -172,9 +173,10 @@ def fit(x: np.ndarray, y: np.ndarray, names: tuple[str, ...] = NAMES, penalty: f
     low, high = np.quantile(x, [0.02, 0.98], axis=0)
     scale = np.clip(x, low, high).std(axis=0) / 0.4
     used = scale > 1e-9
-    z = np.hstack([holds.astype(float), np.clip(x, low, high)[:, used] / scale[used]])
-    center = z.mean(axis=0)
-    w, b = lasso_logistic(z - center, y.astype(float), penalty)
+    z = np.hstack([holds, np.clip(x, low, high)[:, used] / scale[used]]).astype(np.float32)
+    center = z.mean(axis=0, dtype=float)
+    z -= center.astype(np.float32)
+    w, b = lasso_logistic(z, y.astype(np.float32), penalty)
     b -= float(center @ w)
     linear = [
         (names[j], low[j], high[j], w[len(rules) + k] / scale[j])
@@ -200,11 +202,16 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> RuleModel
     """Fit the model on labelled rows whose crc32(doc_id) mod 4 is not 2."""
     chosen = sample_labels(labels, "quality", 4, 2, sample)  # bounded, so it may be broadcast
     rows = pick(docs, ("doc_id", "bigint"), ("text", "string")).join(F.broadcast(chosen), "doc_id")
-    # Ids may repeat on either side, so the bound is set once more.
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", F.xxhash64("text")).limit(2 * sample)
-    got = rows.select("doc_id", "quality", *[c.alias(k) for k, c in statistics(F.col("text")).items()]).toPandas()
-    got = got.sort_values(list(got.columns))
-    return fit(got[list(NAMES)].to_numpy(float), got["quality"].to_numpy(int))
+    rows = rows.select(
+        "doc_id",
+        "quality",
+        F.xxhash64("text").alias("_text"),
+        *[c.alias(k) for k, c in statistics(F.col("text")).items()],
+    )
+    # Ids may repeat on either side, so the bound is set once more, on the statistics alone.
+    got = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "_text").limit(2 * sample).toArrow()
+    x = np.stack([got[k].to_numpy() for k in NAMES], axis=1).astype(float) if len(got) else np.zeros((0, len(NAMES)))
+    return fit(x, got["quality"].to_numpy().astype(int))
 
 
 def score_quality(docs: DataFrame, model: RuleModel) -> DataFrame:
@@ -223,9 +230,12 @@ def keep_good(docs: DataFrame, labels: DataFrame, accept: float = ACCEPT) -> Dat
     model = train(docs, labels)
     if not model.fitted:
         return docs
+    # A filter over a projection would be pushed below it, with every statistic spelt out in
+    # each rule that uses it; it cannot pass a generator, so each is computed once.
+    named = F.struct(*[c.alias(k) for k, c in statistics(docs["text"].cast("string")).items()])
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),  # the caller's names cannot clash with ours
-        *[c.alias(k) for k, c in statistics(docs["text"].cast("string")).items()],
+        F.inline(F.array(named)),
     )
     return rows.where(model.score() >= accept).select("row.*")
 
