@@ -19,8 +19,9 @@ def components(edges: DataFrame) -> DataFrame:
     the larger neighbours of a node to the smallest one, small stars the
     smaller ones; a few rounds (logarithmic in the longest chain) turn every
     component into one star around its smallest node.  The minimum of a node's
-    neighbours is a partial aggregation, so a node with very many edges is no
-    bottleneck; each round ends with a reliable checkpoint.
+    neighbours is a partial aggregation, and it is written out before the edges
+    join it, so that adaptive execution may split the partition of a node with
+    very many edges.  All checkpoints are reliable ones.
     """
     a, b = edges.columns
     now = checkpointed(
@@ -31,7 +32,7 @@ def components(edges: DataFrame) -> DataFrame:
     state = _state(now)
     while True:
         both = now.union(now.select("v", "u"))
-        low = both.groupBy("u").agg(F.min("v").alias("m"))
+        low = checkpointed(both.groupBy("u").agg(F.min("v").alias("m")))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -250,18 +250,24 @@ def _classified(
         "classes",
     )
     entries = classes.select("cls", F.explode("bands").alias("band"))
-    shared = entries.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("cls").alias("lead")).where("size > 1")
+    # Tables that others join by a possibly hot key are written out first: then
+    # both sides of the join are plain exchanges, which adaptive execution can split.
+    shared = checkpointed(
+        entries.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("cls").alias("lead")).where("size > 1")
+    )
     met = checkpointed(entries.join(shared, "band").select("cls", "lead", "size"))
     groups = components(met.select("cls", "lead"))
     weights = met.groupBy("cls").agg(F.sum("size").alias("weight"))
-    members = checkpointed(
+    members = (
         groups.withColumnsRenamed({"node": "cls", "root": "grp"})
         .join(weights, "cls")
         .join(classes.drop("bands", "set_key", "low"), "cls")
     )
-    sized = members.groupBy("grp").agg(
-        _chunks(F.count(F.lit(1)), F.sum("n_bytes")).alias("chunks"),
-        F.max(F.struct("weight", (-F.col("cls")).alias("minus")))["minus"].alias("minus"),
+    sized = checkpointed(
+        members.groupBy("grp").agg(
+            _chunks(F.count(F.lit(1)), F.sum("n_bytes")).alias("chunks"),
+            F.max(F.struct("weight", (-F.col("cls")).alias("minus")))["minus"].alias("minus"),
+        )
     )
     members = checkpointed(members.join(sized, "grp").withColumn("center", -F.col("minus")))
     source = pick(docs, ("doc_id", "bigint"), ("text", "string")).select(
@@ -275,9 +281,14 @@ def _classified(
     )
     links = _links(members, texts_of, width, percent)
     found = components(links).withColumnRenamed("node", "cls")
-    classes = classes.select("set_key", "cls", "low").join(found, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    lowest = classes.groupBy("root").agg(F.min("low").alias("component_id"))
-    classes = classes.join(lowest, "root").select("set_key", "root", "component_id")
+    names = classes.select("cls", "low")
+    lowest = checkpointed(found.join(names, "cls").groupBy("root").agg(F.min("low").alias("lowest")))
+    linked = found.join(lowest, "root")
+    classes = classes.select("set_key", "cls", "low").join(linked, "cls", "left").select(
+        "set_key",
+        F.coalesce("root", "cls").alias("root"),
+        F.when(F.col("root").isNull(), F.col("low")).otherwise(F.col("lowest")).alias("component_id"),
+    )
     full = signed.where("n > 0").join(classes, "set_key").select(
         "uid", "doc_id", "text_hash", "n", "root", "component_id"
     )
