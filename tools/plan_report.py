@@ -68,6 +68,7 @@ def summarize(plan: str) -> dict[str, str]:
 
 def work(spark, group: str) -> str:
     """Jobs, stages run, stages skipped and tasks of a job group."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)  # the tracker follows the events
     st = spark.sparkContext.statusTracker()
     jobs = st.getJobIdsForGroup(group)
     ran = skipped = tasks = 0
