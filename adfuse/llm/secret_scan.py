@@ -5,9 +5,12 @@ and scanned in turn, until nothing is left to unwrap:
 
 * percent escapes and backslash-u / backslash-x escapes are decoded in place
   (the layer is the whole text with the escapes replaced);
-* each base64 token (standard or URL alphabet, also over several lines) that
-  holds text, and each one that holds a gzip, zlib, bz2, xz or zstd stream of
-  text, is a layer of its own.
+* each base64 token (standard or URL alphabet, also over several lines) is a
+  layer of its own, and so is what it holds as gzip, zlib, bz2, xz or zstd.
+
+No layer is judged before it is scanned: bytes that are no UTF-8 become lone
+surrogates, which no pattern contains, and stretches of ASCII in UTF-16 are
+layers as well.  Noise has nothing to unwrap, so it costs one scan.
 
 Every layer knows how its positions map into its parent, so a secret found any
 number of layers down is reported at the code points of the original text
@@ -60,6 +63,9 @@ TOKENS = (
 #: (its token is the span) instead of being held in memory.
 MAX_UNPACKED = 64 << 20
 
+#: ASCII in UTF-16. Every secret and every token has 16 or more ASCII characters in a row.
+WIDE = (re.compile(rb"(?:[\t\n\r -~]\0){16,}"), re.compile(rb"(?:\0[\t\n\r -~]){16,}"))
+
 Span = tuple[int, int]
 
 
@@ -129,43 +135,58 @@ def _in_place(layer: Layer, runs: re.Pattern, decode: Callable[[re.Match], list[
     return Layer("".join(pieces), to_root)
 
 
+def _as_it_was(run: re.Match, m: re.Match) -> list[Piece]:
+    at = run.start() + m.start()
+    return [(c, at + i, at + i + 1) for i, c in enumerate(m[0])]
+
+
 def _percent(run: re.Match) -> list[Piece] | None:
     marks = list(ONE_PERCENT.finditer(run[0]))
-    try:
-        text = bytes(int(x[1], 16) for x in marks).decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    out, at = [], 0
-    for c in text:
+    out, at, decoded = [], 0, False
+    for c in _as_text(bytes(int(x[1], 16) for x in marks)):
+        if "\ud800" <= c < "\ue000":  # a byte that belongs to no character
+            out += _as_it_was(run, marks[at])
+            at += 1
+            continue
         n = len(c.encode())
         out.append((c, run.start() + marks[at].start(), run.start() + marks[at + n - 1].end()))
         at += n
-    return out
+        decoded = True
+    return out if decoded else None
 
 
 def _unicode(run: re.Match) -> list[Piece] | None:
     out: list[Piece] = []
-    high = None  # a leading surrogate waits for its partner
+    high, decoded = None, False  # a leading surrogate waits for its partner
     for m in ONE_ESCAPE.finditer(run[0]):
         code, start, end = int(m[1] or m[2] or m[3], 16), run.start() + m.start(), run.start() + m.end()
         if code > 0x10FFFF:
-            return None
+            out += _as_it_was(run, m)
+            high = None
+            continue
         if high and 0xDC00 <= code < 0xE000:
             out[-1] = (chr(0x10000 + ((high - 0xD800) << 10) + code - 0xDC00), out[-1][1], end)
         else:
             out.append(("\N{REPLACEMENT CHARACTER}" if 0xD800 <= code < 0xE000 else chr(code), start, end))
-        high = code if 0xD800 <= code < 0xDC00 else None
-    return out
+        high, decoded = code if 0xD800 <= code < 0xDC00 else None, True
+    return out if decoded else None
 
 
-def _as_text(data: bytes) -> str | None:
-    """Decoded bytes that read as text; random bytes do not."""
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    odd = sum(1 for c in text if not (c.isprintable() or c in "\t\r\n"))
-    return text if text and odd == 0 else None
+def _as_text(data: bytes) -> str:
+    """The bytes as UTF-8; each byte that is none becomes one lone surrogate, so positions can be mapped back."""
+    return data.decode("utf-8", "surrogateescape")
+
+
+def _wide_runs(data: bytes) -> list[Span]:
+    """Where ``data`` is ASCII in UTF-16 of either byte order, at any offset; runs inside another run are left out."""
+    if b"\0" not in data:
+        return []
+    runs = sorted((m.span() for p in WIDE for m in p.finditer(data)), key=lambda r: (r[0], -r[1]))
+    out: list[Span] = []
+    for r in runs:
+        if not out or r[1] > out[-1][1]:
+            out.append(r)
+    return out
 
 
 def _inflate(data: bytes) -> bytes | None:
@@ -212,6 +233,19 @@ def _base64(token: str) -> tuple[str, bytes] | None:
         return None
 
 
+def _readings(data: bytes) -> Iterator[tuple[str, Callable[[int, int], Span]]]:
+    """``data`` as text, in UTF-8 and UTF-16, each with the map of its positions to bytes."""
+    text = _as_text(data)
+    size = lambda t: len(t.encode("utf-8", "surrogateescape"))
+    if text.isascii():
+        yield text, lambda s, e: (s, e)
+    else:
+        yield text, lambda s, e: (size(text[:s]), size(text[:e]))
+    for low, high in _wide_runs(data):
+        wide = data[low:high].replace(b"\0", b"").decode("ascii")
+        yield wide, lambda s, e, low=low: (low + 2 * s, low + 2 * e)
+
+
 def _base64_layers(layer: Layer) -> Iterator[Layer | Hit]:
     for pattern in TOKENS:
         for m in pattern.finditer(layer.text):
@@ -221,10 +255,8 @@ def _base64_layers(layer: Layer) -> Iterator[Layer | Hit]:
                 continue
             joined, data = got
             whole = layer.to_root(m.start(), m.end())
-            text = _as_text(data)
-            if text is not None:
-                yield Layer(text, _base64_map(layer, m.start(), token, text))
-                continue
+            for text, to_bytes in _readings(data):
+                yield Layer(text, _base64_map(layer, m.start(), token, to_bytes))
             seen: set[bytes] = set()
             try:
                 while (inner := _inflate(data)) is not None:
@@ -232,23 +264,21 @@ def _base64_layers(layer: Layer) -> Iterator[Layer | Hit]:
                     if mark in seen:
                         break
                     seen.add(mark)
-                    text = _as_text(inner)
-                    if text is not None:
+                    for text, _ in _readings(inner):
                         yield Layer(text, lambda s, e, whole=whole: whole)
-                        break
                     data = inner
             except OverflowError:
                 yield Hit(whole[0], len(KINDS), whole[1])
 
 
-def _base64_map(layer: Layer, start: int, token: str, text: str) -> Callable[[int, int], Span]:
+def _base64_map(
+    layer: Layer, start: int, token: str, to_bytes: Callable[[int, int], Span]
+) -> Callable[[int, int], Span]:
     """Positions in the decoded text to the token's characters (four carry three bytes)."""
     at = [i for i, c in enumerate(token) if c not in "\r\n="] if "\n" in token else None
-    plain = text.isascii()
 
     def to_root(s: int, e: int) -> Span:
-        b0 = s if plain else len(text[:s].encode())
-        b1 = e if plain else b0 + len(text[s:e].encode())
+        b0, b1 = to_bytes(s, e)
         c0, c1 = b0 * 4 // 3, -(-b1 * 4 // 3)
         if at is not None:
             c0, c1 = at[c0], at[min(c1, len(at)) - 1] + 1

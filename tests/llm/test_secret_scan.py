@@ -72,6 +72,41 @@ def test_layers_are_unwrapped_to_the_original_place(layer):
     assert hits and all(first <= h.start < h.end <= last for h in hits)
 
 
+@pytest.mark.parametrize("encoded", [b64, lambda d: b64(gzip.compress(d)), lambda d: b64(zlib.compress(gzip.compress(d)))])
+@pytest.mark.parametrize(
+    "data",
+    [*(f"see{c}{SECRET}{c}end".encode() for c in "\xa0\ufeff\u2028\u200b\xad\u3000\f\x1b\0")]
+    + [b"caf\xe9 " + SECRET.encode() + b" \xff\xfe", b"\0" * 512 + SECRET.encode() + b"\0" * 900]
+    + [f"é see {SECRET} end".encode(kind) for kind in ("utf-16-le", "utf-16-be", "utf-16")]
+    + [b"x" + f"see {SECRET}".encode("utf-16-le"), b"a\0b" + SECRET.encode("utf-16-be")]
+    + [b"\xe9 " + b64(b"\xe9 " + SECRET.encode()).encode()],
+)
+def test_odd_bytes_hide_nothing(data, encoded):
+    token = encoded(data)
+    found = S.secret_hits(f"x {token} y")[1]
+    assert any(h.rank == 0 and 2 <= h.start < h.end <= 2 + len(token) for h in found)
+    assert S.secret_hits(S.redact_text(f"x {token} y"))[1] == []
+
+
+def test_positions_after_odd_bytes():
+    for data in (b"\xe9\xff\xc3\xa9 " + SECRET.encode(), "é— ".encode("utf-16-le") + SECRET.encode("utf-16-le")):
+        start = data.index(b"p")
+        (hit,) = S.secret_hits("é " + b64(data))[1]
+        assert (hit.start, hit.end) == (2 + start * 4 // 3, 2 + -(-len(data) * 4 // 3))
+
+
+def test_invalid_escapes_hide_nothing():
+    run = "".join(f"%{ord(c):02x}" for c in SECRET)
+    for before, after in (("%FF", ""), ("", "%FF"), ("%25ab", "%E9"), ("%C3", "%C3%A9")):
+        (hit,) = S.secret_hits(f"a {before}{run}{after} b")[1]
+        assert (hit.start, hit.end) == (2 + len(before), 2 + len(before) + len(run))
+    run = "".join(f"\\u{ord(c):04x}" for c in SECRET)
+    for before, after in (("\\u{110000}", ""), ("", "\\u{ffffff}"), ("\\ud800\\u{110000}", "\\u{110000}")):
+        (hit,) = S.secret_hits(f"a {before}{run}{after} b")[1]
+        assert (hit.start, hit.end) == (2 + len(before), 2 + len(before) + len(run))
+    assert S.secret_hits("%FF%FE \\u{110000}")[1] == []
+
+
 def test_positions_inside_a_layer():
     inner = "nothing here " + SECRET + " or here"
     token = b64(inner.encode())
