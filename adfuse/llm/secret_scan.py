@@ -24,7 +24,6 @@ nothing is shuffled, and a lost executor costs only its own rows.
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
@@ -54,9 +53,9 @@ PERCENT = re.compile(r"(?:%(?:25)*[0-9A-Fa-f]{2})+")
 ONE_PERCENT = re.compile(r"%(?:25)*([0-9A-Fa-f]{2})")
 ESCAPE = re.compile(r"(?:\\(?:u005[cC])*(?:u[0-9A-Fa-f]{4}|u\{[0-9A-Fa-f]{1,6}\}|x[0-9A-Fa-f]{2}))+")
 ONE_ESCAPE = re.compile(r"\\(?:u005[cC])*(?:u([0-9A-Fa-f]{4})|u\{([0-9A-Fa-f]{1,6})\}|x([0-9A-Fa-f]{2}))")
-TOKENS = (
-    re.compile(r"[A-Za-z0-9+/]{16,}(?:\r?\n[A-Za-z0-9+/]{16,})*={0,2}"),
-    re.compile(r"[A-Za-z0-9_-]{16,}={0,2}"),
+# Lines of 16 or more characters, and a last one of any length.
+TOKENS = tuple(
+    re.compile(rf"{c}{{16,}}(?:\r?\n{c}{{16,}})*(?:\r?\n{c}{{1,15}})?={{0,2}}") for c in ("[A-Za-z0-9+/]", "[A-Za-z0-9_-]")
 )
 
 #: A stream that unpacks to more bytes than this is reported as kind "bomb"
@@ -221,16 +220,26 @@ def _inflate(data: bytes) -> bytes | None:
     return out
 
 
-def _base64(token: str) -> tuple[str, bytes] | None:
-    """The token without line breaks, and its bytes."""
-    joined = token.replace("\r", "").replace("\n", "").rstrip("=")
-    if len(joined) % 4 == 1:
-        return None
-    std = joined.replace("-", "+").replace("_", "/")
-    try:
-        return joined, base64.b64decode(std + "=" * (-len(std) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return None
+def _base64(token: str) -> Iterator[tuple[list[int] | None, bytes]]:
+    """The bytes of the token, and its characters' places if there are line breaks.
+
+    Lines can be tokens of their own, or the last one a word that follows.  So
+    the token is read from its start, and from the first line that starts at
+    each other residue of four characters; wrapped lines of 4 k have one
+    reading.  A single character that is left over carries no byte.
+    """
+    at = [i for i, c in enumerate(token) if c not in "\r\n="] if "\n" in token else None
+    joined = token.replace("\r", "").replace("\n", "").rstrip("=").replace("-", "+").replace("_", "/")
+    starts, size = {0: 0}, 0
+    for line in token.split("\n")[:-1]:
+        size += len(line.rstrip("\r"))
+        starts.setdefault(size % 4, size)
+    for start in starts.values():
+        part = joined[start:]
+        if len(part) % 4 == 1:
+            part = part[:-1]
+        if part:
+            yield at and at[start:], base64.b64decode(part + "=" * (-len(part) % 4), validate=True)
 
 
 def _readings(data: bytes) -> Iterator[tuple[str, Callable[[int, int], Span]]]:
@@ -247,35 +256,39 @@ def _readings(data: bytes) -> Iterator[tuple[str, Callable[[int, int], Span]]]:
 
 
 def _base64_layers(layer: Layer) -> Iterator[Layer | Hit]:
+    done: set[Span] = set()  # many tokens are of both alphabets
     for pattern in TOKENS:
         for m in pattern.finditer(layer.text):
-            token = m[0]
-            got = _base64(token)
-            if got is None:
+            if m.span() in done:
                 continue
-            joined, data = got
+            done.add(m.span())
             whole = layer.to_root(m.start(), m.end())
-            for text, to_bytes in _readings(data):
-                yield Layer(text, _base64_map(layer, m.start(), token, to_bytes))
-            seen: set[bytes] = set()
-            try:
-                while (inner := _inflate(data)) is not None:
-                    mark = hashlib.sha256(inner).digest()
-                    if mark in seen:
-                        break
-                    seen.add(mark)
-                    for text, _ in _readings(inner):
-                        yield Layer(text, lambda s, e, whole=whole: whole)
-                    data = inner
-            except OverflowError:
-                yield Hit(whole[0], len(KINDS), whole[1])
+            for at, data in _base64(m[0]):
+                for text, to_bytes in _readings(data):
+                    yield Layer(text, _base64_map(layer, m.start(), at, to_bytes))
+                yield from _unpacked(data, whole)
+
+
+def _unpacked(data: bytes, whole: Span) -> Iterator[Layer | Hit]:
+    """What ``data`` holds as a compressed stream, and what that holds in turn."""
+    seen: set[bytes] = set()
+    try:
+        while (inner := _inflate(data)) is not None:
+            mark = hashlib.sha256(inner).digest()
+            if mark in seen:
+                break
+            seen.add(mark)
+            for text, _ in _readings(inner):
+                yield Layer(text, lambda s, e: whole)
+            data = inner
+    except OverflowError:
+        yield Hit(whole[0], len(KINDS), whole[1])
 
 
 def _base64_map(
-    layer: Layer, start: int, token: str, to_bytes: Callable[[int, int], Span]
+    layer: Layer, start: int, at: list[int] | None, to_bytes: Callable[[int, int], Span]
 ) -> Callable[[int, int], Span]:
     """Positions in the decoded text to the token's characters (four carry three bytes)."""
-    at = [i for i, c in enumerate(token) if c not in "\r\n="] if "\n" in token else None
 
     def to_root(s: int, e: int) -> Span:
         b0, b1 = to_bytes(s, e)

@@ -107,6 +107,37 @@ def test_invalid_escapes_hide_nothing():
     assert S.secret_hits("%FF%FE \\u{110000}")[1] == []
 
 
+def wrapped(token, width=76, end="\n"):
+    return end.join(token[k : k + width] for k in range(0, len(token), width))
+
+
+@pytest.mark.parametrize("encode", [base64.b64encode, base64.urlsafe_b64encode])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_last_line_of_any_length(encode, end):
+    lengths = set()
+    for n in range(1, 58):
+        secret = "token=" + "".join(chr(97 + k * 7 % 26) for k in range(n + 20))
+        data = b"\xfb\xff??>> " + b"." * ((57 * 3 + n) - 7 - len(secret)) + secret.encode()
+        for token in (wrapped(encode(data).decode(), end=end), wrapped(encode(data).decode().rstrip("="), end=end)):
+            lengths.add(len(token.split("\n")[-1]))
+            text = f"é\n{token}\n"
+            hits = [h for h in S.secret_hits(text)[1] if h.rank == 0]
+            assert [h.end for h in hits] == [2 + len(token.rstrip("="))] and hits[0].start >= 2
+            assert S.secret_hits(S.redact_text(text))[1] == []
+    assert lengths == {k for k in range(1, 77) if k % 4 != 1}  # one character carries no byte
+
+
+def test_lines_after_a_token():
+    token = b64(b"nothing at all to see here, " + SECRET.encode() + b"!!")
+    assert len(token) % 4 == 0
+    for after in ("w", "wo", "wor", "word", "longerwordsofsixteenandmore", "x" * 17):
+        hits = S.secret_hits(f"{token}\n{after} z")[1]
+        assert [h for h in hits if h.rank == 0 and h.end <= len(token)], after
+    for n in range(16, 24):  # lines that are tokens of their own
+        text = "A" * n + "\n" + b64(SECRET.encode()).rstrip("=") + "\n" + "B" * n + "\n" + b64(SECRET.encode())
+        assert [h.rank for h in S.secret_hits(text)[1]].count(0) >= 2, n
+
+
 def test_positions_inside_a_layer():
     inner = "nothing here " + SECRET + " or here"
     token = b64(inner.encode())
