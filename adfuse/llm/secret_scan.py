@@ -58,9 +58,11 @@ TOKENS = tuple(
     re.compile(rf"{c}{{16,}}(?:\r?\n{c}{{16,}})*(?:\r?\n{c}{{1,15}})?={{0,2}}") for c in ("[A-Za-z0-9+/]", "[A-Za-z0-9_-]")
 )
 
-#: A stream that unpacks to more bytes than this is reported as kind "bomb"
-#: (its token is the span) instead of being held in memory.
+#: A stream that unpacks to more bytes than this is reported as kind "bomb" (its
+#: token is the span) and scanned in blocks of this size that overlap by half.
 MAX_UNPACKED = 64 << 20
+#: Bytes of a piece of a stream, and of what zstd is fed at once (its output cannot be bounded).
+PIECE, FED = 1 << 16, 256
 
 #: ASCII in UTF-16. Every secret and every token has 16 or more ASCII characters in a row.
 WIDE = (re.compile(rb"(?:[\t\n\r -~]\0){16,}"), re.compile(rb"(?:\0[\t\n\r -~]){16,}"))
@@ -81,6 +83,7 @@ class Hit(NamedTuple):
 class Layer(NamedTuple):
     text: str
     to_root: Callable[[int, int], Span]
+    block: bool = False  # of a stream that is reported as "bomb"
 
 
 def base_hits(text: str) -> Iterator[Hit]:
@@ -188,36 +191,86 @@ def _wide_runs(data: bytes) -> list[Span]:
     return out
 
 
-def _inflate(data: bytes) -> bytes | None:
-    """The content of one compressed stream; None if it is none; OverflowError beyond MAX_UNPACKED."""
-    if data[:2] == b"\x1f\x8b":
-        opened = zlib.decompressobj(31)
-    elif len(data) > 2 and data[0] & 0x0F == 8 and (data[0] * 256 + data[1]) % 31 == 0:
-        opened = zlib.decompressobj(15)
-    elif data[:3] == b"BZh":
-        opened = bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\x00":
-        opened = lzma.LZMADecompressor()
-    elif data[:4] == b"\x28\xb5\x2f\xfd":
+def _opened(head: bytes) -> tuple | None:
+    """A decompressor for the stream that begins so, and what it raises; None if it is none."""
+    if head[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31), zlib.error
+    if len(head) > 2 and head[0] & 0x0F == 8 and (head[0] * 256 + head[1]) % 31 == 0:
+        return zlib.decompressobj(15), zlib.error
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor(), (OSError, EOFError)
+    if head[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor(), (lzma.LZMAError, EOFError)
+    if head[:4] == b"\x28\xb5\x2f\xfd":
         import zstandard
 
+        return zstandard.ZstdDecompressor().decompressobj(), zstandard.ZstdError
+    return None
+
+
+def _cut(data: bytes) -> Iterator[bytes]:
+    return (data[k : k + PIECE] for k in range(0, len(data), PIECE))
+
+
+def _inflate(source: Iterator[bytes | None]) -> Iterator[bytes | None]:
+    """The content, in pieces, of all compressed streams in ``source``; a None ends a stream, on both sides."""
+    ended = False
+
+    def part() -> Iterator[bytes]:
+        nonlocal ended
+        for piece in source:
+            if piece is None:
+                return
+            yield piece
+        ended = True
+
+    while not ended:
+        one = part()
+        yield from _streams(one)
+        for _ in one:  # what is no stream
+            pass
+        yield None
+
+
+def _streams(source: Iterator[bytes]) -> Iterator[bytes | None]:
+    """The content of the streams that follow one another from the start; up to an error, if there is one."""
+    rest = b""
+    while True:
+        while len(rest) < 6 and (more := next(source, b"")):
+            rest = (rest + more).lstrip(b"\0")  # streams may be padded; none begins with NUL
+        if (found := _opened(rest)) is None:
+            return
+        opened, errors = found
+        zstd = rest[:4] == b"\x28\xb5\x2f\xfd"
         try:
-            with zstandard.ZstdDecompressor().stream_reader(data) as r:
-                out = r.read(MAX_UNPACKED + 1)
-        except zstandard.ZstdError:
-            return None
-        if len(out) > MAX_UNPACKED:
-            raise OverflowError
-        return out
-    else:
-        return None
-    try:
-        out = opened.decompress(data, MAX_UNPACKED + 1)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError):
-        return None
-    if len(out) > MAX_UNPACKED:
-        raise OverflowError
-    return out
+            while not opened.eof:
+                if not rest and getattr(opened, "needs_input", True) and not (rest := next(source, b"")):
+                    yield from _cut(getattr(opened, "flush", bytes)())  # cut short: what there is of it
+                    return
+                if zstd:
+                    now, rest = rest[:FED], rest[FED:]
+                    out = opened.decompress(now)
+                else:
+                    out = opened.decompress(rest, PIECE)
+                    rest = getattr(opened, "unconsumed_tail", b"")
+                yield from _cut(out)
+        except errors:
+            return
+        yield None
+        rest = (opened.unused_data + rest).lstrip(b"\0")
+
+
+def _blocks(pieces: Iterator[bytes | None], size: int) -> Iterator[tuple[bytes, bool]]:
+    """The pieces as one block, or, beyond ``size`` bytes, as blocks of it that overlap by half; and whether there are more."""
+    held, more = bytearray(), False
+    for piece in pieces:
+        held += piece or b""
+        while len(held) > size:
+            more = True
+            yield bytes(held[:size]), more
+            del held[: max(1, size // 2)]
+    if held:
+        yield bytes(held), more
 
 
 def _base64(token: str) -> Iterator[tuple[list[int] | None, bytes]]:
@@ -270,19 +323,31 @@ def _base64_layers(layer: Layer) -> Iterator[Layer | Hit]:
 
 
 def _unpacked(data: bytes, whole: Span) -> Iterator[Layer | Hit]:
-    """What ``data`` holds as a compressed stream, and what that holds in turn."""
+    """What ``data`` holds as compressed streams, and what that holds in turn.
+
+    No level is held whole beyond MAX_UNPACKED bytes; for the next level the
+    ones before are unpacked again.
+    """
     seen: set[bytes] = set()
-    try:
-        while (inner := _inflate(data)) is not None:
-            mark = hashlib.sha256(inner).digest()
-            if mark in seen:
-                break
-            seen.add(mark)
-            for text, _ in _readings(inner):
-                yield Layer(text, lambda s, e: whole)
-            data = inner
-    except OverflowError:
-        yield Hit(whole[0], len(KINDS), whole[1])
+    depth = 1
+    while True:
+        level: Iterator[bytes | None] = _cut(data)
+        for _ in range(depth):
+            level = _inflate(level)
+        content, last = hashlib.sha256(), b""
+        for block, more in _blocks(level, MAX_UNPACKED):
+            mark = hashlib.sha256(block).digest()
+            content.update(mark)
+            if more:
+                yield Hit(whole[0], len(KINDS), whole[1])
+            if mark != last:  # a long repetition is read once
+                for text, _ in _readings(block):
+                    yield Layer(text, lambda s, e: whole, more)
+            last = mark
+        if not last or content.digest() in seen:
+            return
+        seen.add(content.digest())
+        depth += 1
 
 
 def _base64_map(
@@ -300,39 +365,43 @@ def _base64_map(
     return to_root
 
 
+def _children(layer: Layer) -> Iterator[Layer | Hit]:
+    if "%" in layer.text and (child := _in_place(layer, PERCENT, _percent)):
+        yield child
+    if "\\" in layer.text and (child := _in_place(layer, ESCAPE, _unicode)):
+        yield child
+    yield from _base64_layers(layer)
+
+
 def secret_hits(text: str) -> tuple[list[Hit], list[Hit]]:
     """(hits of the text as it stands, hits of all layers), both in report order."""
     base = sorted(base_hits(text))
     found = set(base)
-    work = [Layer(text, lambda s, e: (s, e))]
+    work = [_children(Layer(text, lambda s, e: (s, e)))]  # blocks of a large stream exist one at a time
     seen = {(hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest(), 0, len(text))}
     while work:
-        layer = work.pop()
-        children: list[Layer | Hit | None] = []
-        if "%" in layer.text:
-            children.append(_in_place(layer, PERCENT, _percent))
-        if "\\" in layer.text:
-            children.append(_in_place(layer, ESCAPE, _unicode))
-        children += _base64_layers(layer)
-        for child in children:
-            if child is None:
-                continue
-            if isinstance(child, Hit):
-                found.add(child)
-                continue
-            if not child.text:
-                continue
-            mark = (
-                hashlib.sha256(child.text.encode("utf-8", "surrogatepass")).digest(),
-                *child.to_root(0, len(child.text)),
-            )
-            if mark in seen:
-                continue
-            seen.add(mark)
-            for h in base_hits(child.text):
-                start, end = child.to_root(h.start, h.end)
-                found.add(Hit(start, h.rank, end))
-            work.append(child)
+        child = next(work[-1], None)
+        if child is None:
+            work.pop()
+            continue
+        if isinstance(child, Hit):
+            found.add(child)
+            continue
+        if not child.text:
+            continue
+        mark = (
+            hashlib.sha256(child.text.encode("utf-8", "surrogatepass")).digest(),
+            *child.to_root(0, len(child.text)),
+        )
+        if mark in seen:
+            continue
+        seen.add(mark)
+        for h in base_hits(child.text):
+            if child.block and h.end - h.start == len(child.text):
+                continue  # a run longer than a block: "bomb" has the same span
+            start, end = child.to_root(h.start, h.end)
+            found.add(Hit(start, h.rank, end))
+        work.append(_children(child))
     return base, sorted(found)
 
 

@@ -2,6 +2,7 @@ import base64
 import bz2
 import gzip
 import hashlib
+import lzma
 import re
 import urllib.parse
 import zlib
@@ -159,6 +160,36 @@ def test_cycles_and_bombs_end(monkeypatch):
     assert (start, rank, end) == (2, len(S.KINDS), 2 + len(bomb))
 
 
+def zst(data: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdCompressor().compress(data)
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zst])
+def test_compressed_streams_are_read_to_the_end(pack, monkeypatch):
+    def kinds(data):
+        token = b64(data)
+        found = S.secret_hits(f"x {token} y")[1]
+        assert all((h.start, h.end) == (2, 2 + len(token)) for h in found)
+        assert S.secret_hits(S.redact_text(f"x {token} y"))[1] == []
+        return [h.rank for h in found]
+
+    secret = SECRET.encode()
+    assert kinds(pack(b"first") + pack(b"second") + pack(secret)) == [0]
+    assert kinds(pack(b"first") + b"\0" * 8 + gzip.compress(secret)) == [0]
+    assert kinds(gzip.compress(b"first") + gzip.compress(pack(b"inner") + pack(secret))) == [0]
+    assert kinds(pack(secret) + b"no stream") == [0]
+    noise = "".join(hashlib.sha256(b"%d" % k).hexdigest()[:9] + " " for k in range(20000)).encode()
+    assert kinds(pack(noise + secret)) == [0]
+    monkeypatch.setattr(S, "MAX_UNPACKED", 1000)
+    for at in (0, 480, 985, 1000, 1495, 9000, len(noise)):  # also across the bounds of blocks
+        assert kinds(pack(noise[:at] + b" " + secret + b" " + noise[at:])) == [0, len(S.KINDS)]
+    assert kinds(pack(noise[:5000] + b" " + b64(gzip.compress(secret)).encode() + b" " + noise)) == [0, len(S.KINDS)]
+    assert kinds(pack(gzip.compress(noise[:9000] + secret))) == [0, len(S.KINDS)]
+    assert kinds(pack(b"a" * 1000)) == [2] and kinds(pack(b"a" * 1001)) == [len(S.KINDS)]
+
+
 def test_random_words_are_no_layers():
     assert S.secret_hits("Thstorti Enbescherverauheit0 04dbebab91ab85687d33eeaaf9ac699e1188f962")[1] == [
         S.Hit(29, 2, 69)
