@@ -10,8 +10,9 @@ of the template's k-grams that it covers; of runs of the same license family
 that start within ``NEAR`` words, only the best covered stand (version 2 and 3
 of one notice differ in a single word).
 
-The template table is code, not data: a few hundred k-grams whatever the
-size of the corpus, so broadcasting it is bounded.  Texts are never shuffled;
+The template table is code, not data: phrases, notices and whole license texts,
+some thirty thousand k-grams whatever the size of the corpus, so broadcasting it
+is bounded.  Covered k-grams are counted as bits, ``WORD_BITS`` to a row.  Texts are never shuffled;
 only matches and one row per document are.
 """
 
@@ -23,6 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from adfuse.llm.license_texts import WHOLE
 from adfuse.llm.tables import fold_case, pick, table
 
 #: Words of a k-gram; the shortest phrase has as many.
@@ -33,6 +35,8 @@ BAND = 4
 NEAR = 64
 #: Share of a template's k-grams that a merged run must cover.
 COVER = 0.6
+#: Template k-grams whose votes share one bigint.
+WORD_BITS = 64
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -56,7 +60,7 @@ class Template:
 
 # Labels whose notices share most of their words.
 FAMILIES = {
-    "gpl-2": "gnu", "gpl-3": "gnu", "lgpl": "gnu", "agpl-3": "gnu",
+    "gpl-1": "gnu", "gpl-2": "gnu", "gpl-3": "gnu", "lgpl": "gnu", "agpl-3": "gnu",
     "cc-by": "cc", "cc-by-sa": "cc", "cc-by-nc": "cc",
 }
 
@@ -99,17 +103,45 @@ TEMPLATES = (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
         "granted, provided that the above copyright notice and this permission notice appear in all copies.",
     ),
-)
+    *(
+        Template(
+            label,
+            f"under the terms of the GNU {name}General Public License as published by the Free Software Foundation, "
+            f"either version {version}, or (at your option) any later version.",
+        )
+        for label, name, version in (
+            ("gpl-1", "", "1"), ("gpl-2", "", "2 of the License"), ("gpl-3", "", "3 of the License"),
+            ("agpl-3", "Affero ", "3 of the License"), ("lgpl", "Library ", "2 of the License"),
+            ("lgpl", "Lesser ", "2.1 of the License"), ("lgpl", "Lesser ", "3 of the License"),
+        )
+    ),
+    *(
+        Template(label, f"under the terms of the GNU {name}General Public License version {version} as published by the Free Software Foundation")
+        for label, name, version in (
+            ("gpl-2", "", "2"), ("gpl-3", "", "3"), ("agpl-3", "Affero ", "3"), ("lgpl", "Lesser ", "2.1"), ("lgpl", "Lesser ", "3"),
+        )
+    ),
+    # Headings go on to a year of the copyright, so a mention in another license is not one.
+    Template("gpl-1", "GNU GENERAL PUBLIC LICENSE Version 1, February 1989 Copyright (C) 1989"),
+    Template("gpl-2", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1989"),
+    Template("gpl-3", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007"),
+    Template("lgpl", "GNU LIBRARY GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1991"),
+    Template("lgpl", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999 Copyright (C) 1991"),
+    Template("lgpl", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007"),
+    Template("agpl-3", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007 Copyright (C) 2007"),
+    *(Template(label, words) for label, words in WHOLE),
+)
 
 
 def template_grams(spark: SparkSession, templates: tuple[Template, ...] = TEMPLATES, k: int = K) -> DataFrame:
     """(tid, label, family, exact, grams, at, hash): one row per template k-gram."""
     rows = []
     for tid, t in enumerate(templates):
-        n = len(t.words) - k + 1
-        if not 1 <= n <= 63:  # the covered k-grams are kept as bits of a bigint
-            raise ValueError(f"template {t.text!r} has {n} {k}-grams; 1 to 63 are possible")
-        rows += [(tid, t.label, t.family, t.exact, n, at, *t.words[at : at + k]) for at in range(n)]
+        words = t.words
+        n = len(words) - k + 1
+        if n < 1:
+            raise ValueError(f"template {t.text!r} has no {k}-gram")
+        rows += [(tid, t.label, t.family, t.exact, n, at, *words[at : at + k]) for at in range(n)]
     words = [f"w{i}" for i in range(k)]
     kinds = ", ".join(f"{w} string" for w in words)
     return spark.createDataFrame(rows, f"tid int, label string, family string, exact boolean, grams int, at int, {kinds}").select(
@@ -157,8 +189,10 @@ def scan_licenses(
             (F.col("p") - 1 - F.col("at")).alias("diagonal"),
         )
     )
-    votes = hits.groupBy("row", "tid", "label", "family", "exact", "grams", "diagonal").agg(
-        F.coalesce(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("at"))), F.lit(0)).alias("seen"),
+    hits = hits.withColumn("part", F.expr(f"at div {WORD_BITS}"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("at") % WORD_BITS)
+    votes = hits.groupBy("row", "tid", "label", "family", "exact", "grams", "diagonal", "part").agg(
+        F.coalesce(F.bit_or(bit), F.lit(0)).alias("seen"),
         F.min("at").alias("low"),
         F.max("at").alias("high"),
         F.max("doc").alias("doc"),
@@ -166,15 +200,23 @@ def scan_licenses(
     # Neighbouring diagonals of inexact templates form a run; an exact one needs a full diagonal.
     by_template = Window.partitionBy("row", "tid").orderBy("diagonal")
     gap = F.col("diagonal") - F.lag("diagonal").over(by_template)
-    runs = votes.withColumn("new", F.when(F.col("exact") | gap.isNull() | (gap > band), 1).otherwise(0)).withColumn(
-        "run", F.sum("new").over(by_template)
+    apart = gap > F.when(F.col("exact"), 0).otherwise(band)  # parts of one diagonal stay together
+    runs = votes.withColumn("new", F.when(gap.isNull() | apart, 1).otherwise(0)).withColumn(
+        "run", F.sum("new").over(by_template)  # up to and with all rows of the diagonal
     )
-    merged = runs.groupBy("row", "tid", "label", "family", "exact", "grams", "run").agg(
-        (F.bit_count(F.bit_or("seen")) / F.col("grams")).alias("cover"),
+    run = ["row", "tid", "label", "family", "exact", "grams", "run"]
+    parts = runs.groupBy(*run, "part").agg(
+        F.bit_count(F.bit_or("seen")).alias("covered"),
         F.min(F.col("diagonal") + F.col("low")).alias("first"),
         F.max(F.col("diagonal") + F.col("high") + k - 1).alias("last"),
         F.max("doc").alias("doc"),
     )
+    merged = parts.groupBy(*run).agg(
+        (F.sum("covered") / F.col("grams")).alias("cover"),
+        F.min("first").alias("first"),
+        F.max("last").alias("last"),
+        F.max("doc").alias("doc"),
+    )
     found = F.col("tid").isNotNull() & (F.col("cover") >= F.when(F.col("exact"), 1.0).otherwise(cover))
     base = F.col("exact") & found
     rivals = Window.partitionBy("row", "family", "exact").orderBy("first").rangeBetween(-NEAR, NEAR)
