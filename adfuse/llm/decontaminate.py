@@ -13,16 +13,16 @@ themselves, with the same result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adfuse.llm.bytes_kernel import ALNUM, LOWER, texts, windows, word_hashes
 from adfuse.llm.license_scan import WORD
-from adfuse.llm.tables import fold_case, pick, table, with_texts
+from adfuse.llm.tables import fold_case, frozen, pick, table, with_texts
 
 #: Words of a window.
 WIDTH = 10
@@ -150,33 +150,45 @@ def find_contamination(
     return pick(docs, ("doc_id", "bigint"), ("text", "string")).mapInArrow(scan, SCAN)
 
 
-def _find_by_join(docs: DataFrame, benchmark: DataFrame, width: int) -> DataFrame:
-    """The same rows by joining windows as text; both sides are shuffled."""
-    gram = lambda n: lambda i: F.array_join(F.slice("w", i + 1, n), " ")
+def _gram(n) -> Callable:
+    return lambda i: F.array_join(F.slice("w", i + 1, n), " ")
+
+
+def _known(benchmark: DataFrame, width: int) -> DataFrame:
+    """(item_id, n, gram): the windows of the items as text."""
     items = pick(benchmark, ("item_id", "bigint"), ("text", "string")).select("item_id", _words(F.col("text")).alias("w"))
     n = F.least(F.size("w"), F.lit(width))
-    known = items.where(F.size("w") > 0).select(
+    return items.where(F.size("w") > 0).select(
         "item_id",
         n.alias("n"),
-        F.explode(F.transform(F.sequence(F.lit(0), F.size("w") - n), gram(n))).alias("gram"),
+        F.explode(F.transform(F.sequence(F.lit(0), F.size("w") - n), _gram(n))).alias("gram"),
     )
-    known = known.groupBy("n", "gram").agg(F.collect_set("item_id").alias("items"))
+
+
+def _entries(known: DataFrame) -> list[Column]:
+    """Arrays of (n, p, gram): the windows of a document's words ``w``, for each width of ``known``."""
     widths = sorted(r[0] for r in known.select("n").distinct().collect())  # at most `width` rows
-    words = pick(docs, ("doc_id", "bigint"), ("text", "string")).select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", _words(F.col("text")).alias("w")
-    )
     none = F.array().cast("array<struct<n:int,p:int,gram:string>>")
     entry = lambda k: F.when(
         F.size("w") >= k,
         F.transform(
             F.sequence(F.lit(0), F.size("w") - k),
-            lambda i: F.struct(F.lit(k).alias("n"), i.alias("p"), gram(F.lit(k))(i).alias("gram")),
+            lambda i: F.struct(F.lit(k).alias("n"), i.alias("p"), _gram(F.lit(k))(i).alias("gram")),
         ),
     ).otherwise(none)
+    return [none, *map(entry, widths)]
+
+
+def _find_by_join(docs: DataFrame, benchmark: DataFrame, width: int) -> DataFrame:
+    """The same rows by joining windows as text; both sides are shuffled."""
+    known = _known(benchmark, width).groupBy("n", "gram").agg(F.collect_set("item_id").alias("items"))
+    words = pick(docs, ("doc_id", "bigint"), ("text", "string")).select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", _words(F.col("text")).alias("w")
+    )
     first = F.array(F.struct(F.lit(0).alias("n"), F.lit(-1).alias("p"), F.lit("").alias("gram")))
     places = words.select(
         "row", "doc_id", F.size("w").cast("bigint").alias("n_words"),
-        F.explode(F.concat(first, *[entry(k) for k in widths])).alias("e"),
+        F.explode(F.concat(first, *_entries(known))).alias("e"),
     ).select("row", "doc_id", "n_words", "e.*")
     hits = places.join(known, ["n", "gram"], "left").where("items is not null or p = -1")
     covered = hits.select(
@@ -208,14 +220,14 @@ def decontaminate(
     ``remove="documents"`` drops every document with a hit.  ``"spans"``
     keeps it and cuts the hit words out of ``text``, each with the separators
     before it (``n_chars``, where present, follows).  Clean rows are passed on
-    unchanged.  A benchmark beyond ``limit`` words is handled in blocks of items,
-    one pass for each block.
+    unchanged.  A benchmark beyond ``limit`` words is joined, with the same
+    result; then ``docs`` are written out once, with a number for each row.
     """
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
     known = small_windows(benchmark, width, limit)
     if known is None:
-        return _in_blocks(docs, benchmark, remove, width, limit)
+        return _clean_by_join(docs, benchmark, remove, width)
     shared = docs.sparkSession.sparkContext.broadcast(known)
     at_text = docs.columns.index("text")
 
@@ -228,27 +240,50 @@ def decontaminate(
                 _, places, _, start, end = shared.value.scan(text)
                 keep.append(not places or remove == "spans")
                 if places and remove == "spans":
-                    left, done = [], 0
-                    for a, b in merged(places):
-                        left.append(text[done : int(end[a - 1]) if a else 0].tobytes())
-                        done = int(end[b - 1])
-                    new[k] = (b"".join(left) + text[done:].tobytes()).decode()
+                    new[k] = _without(text, places, end)
             batch = with_texts(batch, new)
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(clean, docs.schema)
 
 
-def _in_blocks(docs: DataFrame, benchmark: DataFrame, remove: str, width: int, limit: int) -> DataFrame:
-    words = F.size(_words(F.col("text")))
-    total = benchmark.agg(F.sum(words)).first()[0]
-    blocks = 2 * (total // limit + 1)
-    for k in range(blocks):
-        part = benchmark.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k)
-        # An item longer than a block is its own limit.
-        most = max(limit, part.agg(F.max(words)).first()[0] or 0, part.agg(F.sum(words)).first()[0] or 0)
-        docs = decontaminate(docs, part, remove, width, most)
-    return docs
+def _without(text: np.ndarray, places: list[tuple[int, int]], end: np.ndarray) -> str:
+    """The text without the words of the windows and the separators before them."""
+    left, done = [], 0
+    for a, b in merged(places):
+        left.append(text[done : int(end[a - 1]) if a else 0].tobytes())
+        done = int(end[b - 1])
+    return (b"".join(left) + text[done:].tobytes()).decode()
+
+
+#: Columns that the rows carry through the join.
+ROW, PLACES = "_decontaminate_row", "_decontaminate_places"
+
+
+def _clean_by_join(docs: DataFrame, benchmark: DataFrame, remove: str, width: int) -> DataFrame:
+    """The hit windows by a shuffled join with the distinct windows; rows go, or are cut, once."""
+    numbered = frozen(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    known = _known(benchmark, width).select("n", "gram").distinct()
+    words = numbered.select(ROW, _words(F.col("text").cast("string")).alias("w"))
+    places = words.select(ROW, F.explode(F.concat(*_entries(known))).alias("e")).select(ROW, "e.*")
+    hits = places.join(known, ["n", "gram"], "left_semi")
+    columns = [f"`{c}`" for c in docs.columns]
+    if remove == "documents":
+        return numbered.join(hits.select(ROW).distinct(), ROW, "left_anti").select(*columns)
+    ranges = hits.groupBy(ROW).agg(F.sort_array(F.collect_list(F.struct("p", "n"))).alias(PLACES))
+    at_text = docs.columns.index("text")
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, at = texts(batch.column(at_text))
+            new = {}
+            for k, found in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+                if found:
+                    text = raw[at[k] : at[k + 1]]
+                    new[k] = _without(text, [(x["p"], x["n"]) for x in found], word_hashes(text, ALNUM)[2])
+            yield with_texts(batch.select(range(batch.num_columns - 1)), new)
+
+    return numbered.join(ranges, ROW, "left").select(*columns, PLACES).mapInArrow(clean, docs.schema)
 
 
 def op8_decontaminate(spark, sf_dir) -> DataFrame:

@@ -82,6 +82,22 @@ def test_removal(spark, limit):
     assert left[30] == "before after" and left[31].startswith("Alpha") and left[33].startswith("a) and short")
 
 
+@pytest.mark.parametrize("remove", ["documents", "spans"])
+def test_a_large_benchmark_gives_the_same(spark, remove):
+    """Few but long words, and a hot item: more bytes than the limit allows, far fewer words."""
+    rows, items = cases()
+    items = items + [(50 + k, "語" * 400 + str(k)) for k in range(4)] + [(60, "copied item text")] * 50
+    rows = rows + [(40, "a " + "語" * 400 + "2 b"), (40, "語" * 400), (41, "Copied-item text and copied item text. Copied"), (None, "copied item text")]
+    docs, bench = frame(spark, rows), frame(spark, items, kinds=ITEMS)
+    assert D.small_windows(bench, D.WIDTH, 40) is None
+    want = as_rows(D.decontaminate(docs, bench, remove).select("doc_id", "text"))
+    out = D.decontaminate(docs, bench, remove, limit=40)
+    assert out.columns == docs.columns and as_rows(out.select("doc_id", "text")) == want
+    few = frame(spark, [(k, "語" * 400 + str(k)) for k in range(9)], kinds=ITEMS)  # 9 words, 10,800 bytes
+    got = as_rows(D.decontaminate(docs, few, remove, limit=90).select("doc_id", "text"))
+    assert got == as_rows(D.decontaminate(docs, few, remove).select("doc_id", "text"))
+
+
 def test_collisions_are_confirmed(spark, monkeypatch):
     """With every window in one bucket of equal hashes, only equal words hit."""
     import numpy as np
