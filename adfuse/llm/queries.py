@@ -13,6 +13,7 @@ from adfuse.llm.secret_scan import op1_secret_scan
 from adfuse.llm.sharding import op10_byte_shards
 from adfuse.llm.simhash import op4_simhash
 from adfuse.llm.toxicity import op9_toxicity
+from adfuse.llm.url_filter import op13_url_filter
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_toxicity": op9_toxicity,
     "op10_byte_shards": op10_byte_shards,
+    "op13_url_filter": op13_url_filter,
 }
 
 ORACLE = {k: v for k, v in oracle.SQL.items() if k in QUERIES}
