@@ -164,3 +164,83 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, CASE WHEN root IS NULL THEN doc_id
        doc_id IS NOT DISTINCT FROM CASE WHEN root IS NULL THEN doc_id ELSE low END AS kept
 FROM docs LEFT JOIN member USING (r) LEFT JOIN lowest USING (root)
 """
+
+SQL["op11_repair"] = r"""
+WITH RECURSIVE """ + _CRC.strip() + r""",
+  raw AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+    FROM conversations
+  ),
+  keys AS (
+    SELECT k, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, length(k) + 1), lambda i: CAST(ord(k[i]) AS BIGINT))),
+             lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1]))) % 20 AS fault
+    FROM (SELECT DISTINCT k FROM raw), crc
+  ),
+  damaged AS (
+    SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+           CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+           unnest(CASE WHEN fault = 3 THEN [0, 1] ELSE [0] END) AS copy
+    FROM raw JOIN keys USING (k) WHERE fault <> 0
+  ),
+  placed AS (
+    SELECT *, coalesce(conv_id, CAST('-9223372036854775808' AS BIGINT)) AS c,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+           regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS body
+    FROM damaged
+  ),
+  marked AS (
+    SELECT *, CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'o' END AS r,
+           CASE WHEN body = '' THEN 'b' WHEN i > min(i) OVER (PARTITION BY c, role, text) THEN 'd' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault
+    FROM placed
+  ),
+  ins(q, k, p) AS (VALUES (0,0,0),(1,0,1),(2,0,2),(3,0,3),(0,1,2),(1,1,2),(2,1,3),(3,1,2),(0,2,3),(1,2,3)),
+  moves(p, r, letter, cost, q2) AS (
+    VALUES (0,'s','K',0,1),(0,'u','K',0,2),(1,'u','K',0,2),(3,'u','K',0,2),(2,'a','K',0,3),
+           (0,'*','R',3,2),(1,'*','R',3,2),(2,'*','R',3,3),(3,'*','R',3,2),
+           (0,'*','D',4,0),(1,'*','D',4,1),(2,'*','D',4,2),(3,'*','D',4,3)
+  ),
+  steps AS (
+    SELECT ins.q, m.r, m.letter, repeat('I', k) || m.letter AS letters, 3 * k + m.cost AS cost, m.q2 FROM ins JOIN moves m ON ins.p = m.p
+  ),
+  best(c, i, q, cost, audit) AS (
+    SELECT DISTINCT c, CAST(0 AS BIGINT), 0, 0, '' FROM placed
+    UNION ALL
+    SELECT c, i, q2, way.cost, way.audit FROM (
+      SELECT b.c, b.i + 1 AS i, s.q2,
+             min({'cost': b.cost + s.cost + CASE WHEN m.fault = 't' AND s.letter <> 'D' THEN 3 ELSE 0 END, 'audit': b.audit || s.letters}) AS way
+      FROM best b JOIN marked m ON m.c = b.c AND m.i = b.i + 1
+        JOIN steps s ON s.q = b.q AND s.r IN (m.r, '*') AND (s.letter = 'D' OR m.fault IN ('', 't'))
+      GROUP BY b.c, b.i, s.q2)
+  ),
+  ends(q, more, cost) AS (VALUES (0, '', 0), (1, 'II', 6), (2, 'I', 3), (3, '', 0)),
+  chosen AS (
+    SELECT c, min({'cost': b.cost + e.cost, 'audit': b.audit || e.more}) AS way
+    FROM best b JOIN ends e USING (q) JOIN (SELECT c, max(i) AS i FROM placed GROUP BY c) USING (c, i) GROUP BY c
+  ),
+  letters AS (SELECT c, way.audit AS audit, unnest(range(1, length(way.audit) + 1)) AS j FROM chosen),
+  spelt AS (
+    SELECT c, j, audit[j] AS e,
+           length(replace(audit[1:j], 'I', '')) AS i, length(replace(audit[1:j], 'D', '')) - 1 AS place,
+           length(replace(audit, 'D', '')) AS total
+    FROM letters
+  ),
+  lines AS (
+    SELECT s.c, s.place, CASE WHEN e = 'K' THEN m.role WHEN (place + total) % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' ||
+           CASE WHEN e = 'I' THEN '' ELSE m.text END AS line
+    FROM spelt s LEFT JOIN marked m ON m.c = s.c AND m.i = s.i WHERE e <> 'D'
+  ),
+  hashes AS (SELECT c, sha256(string_agg(line, chr(10) ORDER BY place)) AS h FROM lines GROUP BY c),
+  counts AS (
+    SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+           count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM (SELECT *, lag(r) OVER (PARTITION BY c ORDER BY i) || r AS pair FROM marked) GROUP BY c
+  )
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(way.cost, 0) AS BIGINT) AS cost,
+       coalesce(way.audit, '') AS audit, coalesce(h, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce(conv_id, CAST('-9223372036854775808' AS BIGINT)) AS c FROM raw) a
+  LEFT JOIN counts USING (c) LEFT JOIN chosen USING (c) LEFT JOIN hashes USING (c)
+"""

@@ -9,6 +9,7 @@ from adfuse.llm.license_scan import op2_license_scan
 from adfuse.llm.near_dedup import op5_near_dedup
 from adfuse.llm.packing import op3_pack
 from adfuse.llm.quality_rules import op7_quality
+from adfuse.llm.repair import op11_repair
 from adfuse.llm.secret_scan import op1_secret_scan
 from adfuse.llm.sharding import op10_byte_shards
 from adfuse.llm.simhash import op4_simhash
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_toxicity": op9_toxicity,
     "op10_byte_shards": op10_byte_shards,
+    "op11_repair": op11_repair,
     "op13_url_filter": op13_url_filter,
 }
 
