@@ -244,3 +244,34 @@ SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank
 FROM (SELECT DISTINCT conv_id, coalesce(conv_id, CAST('-9223372036854775808' AS BIGINT)) AS c FROM raw) a
   LEFT JOIN counts USING (c) LEFT JOIN chosen USING (c) LEFT JOIN hashes USING (c)
 """
+
+SQL["op12_collocations"] = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+  ),
+  words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+  total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+  places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+  f AS (
+    SELECT lang, k, array_to_string(w[i:i+k-1], ' ') AS phrase, count(*) AS f
+    FROM places, range(1, 5) AS x(k) WHERE i + k - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 30
+  ),
+  many AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+  cuts AS (
+    SELECT m.lang, m.phrase, a, c, l.f AS l, r.f AS r, CAST(CAST(2000000 AS HUGEINT) * a // (CAST(l.f AS HUGEINT) + r.f) AS BIGINT) AS score
+    FROM (SELECT *, unnest(range(1, k)) AS c FROM many) m
+      JOIN f l ON l.lang = m.lang AND l.phrase = array_to_string(m.w[1:c], ' ')
+      JOIN f r ON r.lang = m.lang AND r.phrase = array_to_string(m.w[c+1:], ' ')
+  ),
+  weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+  inner_phrases AS (
+    SELECT lang, a, array_to_string(w[i:i+n-1], ' ') AS phrase
+    FROM (SELECT *, unnest(range(1, k)) AS i FROM many), range(2, 4) AS x(n) WHERE n < k AND i + n - 1 <= k
+  ),
+  longer AS (SELECT lang, phrase, max(a) AS most FROM inner_phrases GROUP BY ALL),
+  ranked AS (
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+    FROM weakest LEFT JOIN longer USING (lang, phrase) WHERE most IS NULL OR 100 * most < 80 * a
+  )
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""

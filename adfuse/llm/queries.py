@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from adfuse.llm import oracle
 from adfuse.llm.chat import op6_chat_format
+from adfuse.llm.collocations import op12_collocations
 from adfuse.llm.decontaminate import op8_decontaminate
 from adfuse.llm.license_scan import op2_license_scan
 from adfuse.llm.near_dedup import op5_near_dedup
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_byte_shards": op10_byte_shards,
     "op11_repair": op11_repair,
+    "op12_collocations": op12_collocations,
     "op13_url_filter": op13_url_filter,
 }
 
