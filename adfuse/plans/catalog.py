@@ -55,6 +55,7 @@ from adfuse.operators.rollups import (
 )
 from adfuse.operators.windows import global_row_number, share_of_total, stack
 from adfuse.plans import dashboard
+from adfuse.plans.cube import Export, read_cube, refresh_cube
 from adfuse.plans.dashboard import series_of
 from adfuse.sources.channels import CHANNELS, FACEBOOK, GOOGLE, TIKTOK, WEB
 from adfuse.sources.event_feed import web_feed
@@ -68,10 +69,11 @@ from adfuse.sources.lineitem_feeds import (
     social_feed,
     video_feed,
 )
-from adfuse.sources.readers import read_feed, rejected_rows
+from adfuse.sources.readers import checked, feed_quality, read_feed, rejected_rows
 from adfuse.sources.sinks import export_csv, read_csv_typed
-from adfuse.sources.storage import scratch_path
+from adfuse.sources.storage import remove_folder, scratch_path
 from adfuse.sources.tables import read_table_stream
+from adfuse.streaming.by_file import read_rollup, start_rollup_by_file
 from adfuse.streaming.daily import read_daily_rollup, write_daily_rollup
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -141,6 +143,33 @@ def q_rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected_rows(spark, GOOGLE, path, header=False).drop("line")
 
 
+def _moved_exports(spark: SparkSession, sf_dir: str, channel: str) -> str:
+    """A channel's feed as three CSV exports whose columns stand in different orders."""
+    li, root = lineitem(spark, sf_dir), scratch_path(spark, f"moved-{channel}")
+    for k in range(3):
+        feed = channel_feed(li.where(f"l_orderkey % 3 = {k}"), channel)
+        turn = len(feed.columns) * k // 3
+        export_csv(feed.select(*feed.columns[turn:], *feed.columns[:turn]), f"{root}/export-{k}")
+    return root
+
+
+def q_scan_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One feed from files with three column orders: a scan for each header, united by name."""
+    return read_feed(spark, GOOGLE, _moved_exports(spark, sf_dir, "google"), "csv", mixed_headers=True)
+
+
+def q_feed_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and cells that the totals miss, by feed; counted in the pass that computes the totals."""
+    faulty = scratch_path(spark, "faulty-totals")
+    faulty_search_lines(lineitem(spark, sf_dir)).write.text(faulty)
+    feeds, counts = {}, {}
+    for c in CHANNELS:
+        path = faulty if c == "google" else export_csv(channel_feed(lineitem(spark, sf_dir), c), scratch_path(spark, c))
+        feeds[c], counts[c] = checked(spark, CHANNELS[c], path, keep_bad=False, header=c != "google")
+    platform_rollup(conform_all(feeds, CHANNELS)).write.parquet(scratch_path(spark, "totals"))
+    return feed_quality(spark, counts)
+
+
 def q_conform_social(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(social_feed(lineitem(spark, sf_dir)), FACEBOOK)
 
@@ -203,6 +232,38 @@ def q_daily_rollup_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_daily_rollup(spark, f"{root}/out")
 
 
+def q_daily_rollup_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily roll-up maintained from landing CSV files whose headers differ (two streaming runs)."""
+    sources = [(CHANNELS[c], _moved_exports(spark, sf_dir, c), "csv") for c in CHANNELS]
+    out = scratch_path(spark, "daily-by-file")
+    for _ in range(2):  # the second run finds nothing new
+        start_rollup_by_file(spark, sources, out, max_files_per_trigger=20).awaitTermination()
+    return read_rollup(spark, out)[0]
+
+
+def q_refreshed_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The campaign-day table after files were added, replaced and deleted, from the changed files only."""
+    li, root = lineitem(spark, sf_dir), scratch_path(spark, "refreshed")
+    exports = [Export(CHANNELS[c], f"{root}/exports/{c}", "parquet") for c in CHANNELS]
+
+    def write(rows: str, batch: str, clicks: str = "clicks") -> None:
+        for c in CHANNELS:
+            feed = channel_feed(li.where(rows), c).withColumn("clicks", F.expr(clicks))
+            feed.write.parquet(f"{root}/exports/{c}/{batch}")
+
+    write("l_orderkey % 2 = 0", "even")
+    write("l_orderkey % 4 = 1", "first-count", "clicks + 1")
+    write("l_orderkey % 8 = 1", "sent-twice")
+    refresh_cube(spark, exports, f"{root}/cube")
+    for c in CHANNELS:
+        remove_folder(spark, f"{root}/exports/{c}/first-count")
+        remove_folder(spark, f"{root}/exports/{c}/sent-twice")
+    write("l_orderkey % 4 = 1", "corrected")
+    write("l_orderkey % 4 = 3", "late")
+    refresh_cube(spark, exports, f"{root}/cube")
+    return read_cube(spark, f"{root}/cube")
+
+
 def q_platform_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return platform_rollup(fact(spark, sf_dir))
 
@@ -272,6 +333,18 @@ def q_materialized_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.select(loaded, SEL_PLATFORMS, SEL_FROM, SEL_TO, SEL_CAMPAIGNS, SEARCH_PLATFORM).campaigns
 
 
+def q_cached_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The selection from tables that an earlier call cached; no feed is read for it."""
+    root, inputs = scratch_path(spark, "cache"), [f"{sf_dir.rstrip('/')}/lineitem.parquet"]
+    dashboard.load_cached(spark, lambda: raw_feeds(spark, sf_dir), CHANNELS, inputs, root)
+
+    def no_feeds():
+        raise AssertionError("the cached tables were not found again")
+
+    loaded = dashboard.load_cached(spark, no_feeds, CHANNELS, inputs, root)
+    return dashboard.select(loaded, SEL_PLATFORMS, SEL_FROM, SEL_TO, SEL_CAMPAIGNS, SEARCH_PLATFORM).campaigns
+
+
 def q_empty_selection_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """KPI row of a selection without rows: zeros, and no pooled ROAS."""
     none = filter_fact(fact(spark, sf_dir), date_from="2200-01-01", date_to="2200-12-31")

@@ -13,8 +13,9 @@ days x campaigns); only the row-level table reads the fact.  The cube and the
 one-row funnel are always written once as parquet (to ``materialize_to``, or a
 scratch folder of the session), so each table of the view reads just its
 columns and dates.  With ``materialize_to`` the fact is written as well,
-partitioned by platform and month and sorted by date inside: lineage is cut,
-executor loss costs no recomputation, and platform and date filters prune.
+partitioned by platform and month and clustered by campaign inside: lineage is cut,
+executor loss costs no recomputation, platform and date filters prune, and a
+campaign filter skips row groups.  ``load_cached`` keeps these tables for later calls.
 A single selection needs none of this: filter the fact itself and the
 predicates reach the feeds.  Nothing here collects: each attribute is a DataFrame for the caller's action.
 """
@@ -22,9 +23,9 @@ predicates reach the feeds.  Nothing here collects: each attribute is a DataFram
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Mapping, Sequence
+from typing import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adfuse.functions.ratios import with_ratios
@@ -47,7 +48,9 @@ from adfuse.operators.rollups import (
     platform_rollup,
 )
 from adfuse.operators.windows import rolling_mean, share_of_total, stack
-from adfuse.sources.sinks import materialize
+from adfuse.sources.cache import TableCache
+from adfuse.sources.files import spec_text
+from adfuse.sources.sinks import Stored, store
 from adfuse.sources.spec import FeedSpec
 from adfuse.sources.storage import scratch_path
 
@@ -76,22 +79,65 @@ def series_of(fact: DataFrame, window: int = 7, frame: str = "rows") -> DataFram
     return rolling_mean(daily_rollup(fact), "spend", window, frame, out="spend_7d_avg")
 
 
+#: Version of what ``load_cached`` stores.
+STORED = "1"
+
+
+def _store(
+    feeds: Mapping[str, DataFrame], specs: Mapping[str, FeedSpec], video_channel: str, root: str, with_fact: bool
+) -> tuple[DataFrame, dict[str, Stored]]:
+    """The (stored) fact, and the stored tables by name."""
+    fact, tables = conform_all(dict(feeds), dict(specs)), {}
+    if with_fact:
+        tables["fact"] = store(
+            fact.withColumn(MONTH, _month("date")),
+            f"{root}/fact",
+            partition_by=["platform", MONTH],
+            cluster_by=["campaign_name", "date"],
+            bloom=["campaign_name"],
+        )
+        fact = tables["fact"].read(fact.sparkSession)
+    tables["cube"] = store(campaign_day_rollup(fact), f"{root}/cube")
+    if video_channel in feeds:
+        tables["funnel"] = store(video_funnel(feeds[video_channel]), f"{root}/funnel")
+    return fact, tables
+
+
 def load(
     feeds: Mapping[str, DataFrame],
     specs: Mapping[str, FeedSpec],
     video_channel: str = "tiktok",
     materialize_to: str | None = None,
 ) -> Loaded:
-    fact = conform_all(dict(feeds), dict(specs))
-    root = (materialize_to or scratch_path(fact.sparkSession, "dashboard")).rstrip("/")
-    if materialize_to:
-        dealt = fact.withColumn(MONTH, _month("date")).repartition("platform", MONTH).sortWithinPartitions("date")
-        fact = materialize(dealt, f"{root}/fact", partition_by=["platform", MONTH])
-    cube = materialize(campaign_day_rollup(fact), f"{root}/cube")
-    funnel = None
-    if video_channel in feeds:
-        funnel = materialize(video_funnel(feeds[video_channel]), f"{root}/funnel")
-    return Loaded(fact=fact, cube=cube, series=series_of(cube), funnel=funnel)
+    spark = next(iter(feeds.values())).sparkSession
+    root = (materialize_to or scratch_path(spark, "dashboard")).rstrip("/")
+    fact, stored = _store(feeds, specs, video_channel, root, with_fact=bool(materialize_to))
+    tables = {name: t.read(spark) for name, t in stored.items()}
+    return Loaded(fact=fact, cube=tables["cube"], series=series_of(tables["cube"]), funnel=tables.get("funnel"))
+
+
+def load_cached(
+    spark: SparkSession,
+    feeds: Callable[[], Mapping[str, DataFrame]],
+    specs: Mapping[str, FeedSpec],
+    inputs: Sequence[str],
+    cache_root: str,
+    video_channel: str = "tiktok",
+) -> Loaded:
+    """``load`` that later calls, also of other sessions, find again.
+
+    ``inputs`` are the paths that the feeds read.  As long as their files and
+    the specs stay the same, a call reads the stored tables and neither calls
+    ``feeds`` nor touches an input file; after a change it builds anew.
+    """
+
+    def build(folder: str) -> dict[str, Stored]:
+        return _store(feeds(), specs, video_channel, folder, with_fact=True)[1]
+
+    what = [STORED, video_channel, *(spec_text(specs[name]) for name in sorted(specs))]
+    tables = TableCache(spark, cache_root).tables(inputs, what, build)
+    cube = tables["cube"]
+    return Loaded(fact=tables["fact"], cube=cube, series=series_of(cube), funnel=tables.get("funnel"))
 
 
 def _rows(fact: DataFrame, date_from: DateLike, date_to: DateLike) -> DataFrame:

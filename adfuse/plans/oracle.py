@@ -207,6 +207,17 @@ ORACLE: dict[str, str] = {
         "CASE kind WHEN 2 THEN 'conversions' WHEN 3 THEN 'cost' WHEN 4 THEN 'date' ELSE '' END AS bad_columns "
         "FROM g_raw WHERE kind <= 4"
     ),
+    "scan_mixed_headers": _q("SELECT * EXCLUDE (kind), FALSE AS bad_row FROM g_raw"),
+    "feed_quality": _q(
+        "SELECT 'google' AS feed, COUNT(*) AS rows_read, COUNT(*) FILTER (kind > 4) AS rows_kept, "
+        "COUNT(*) FILTER (kind <= 4) AS rows_flagged, COUNT(*) FILTER (kind <= 1) AS wrong_cell_count, "
+        "COUNT(*) FILTER (kind BETWEEN 2 AND 4) AS bad_cells, "
+        "(SELECT COALESCE(STRING_AGG(c || ':' || n, ',' ORDER BY c), '') FROM (SELECT "
+        "CASE kind WHEN 2 THEN 'conversions' WHEN 3 THEN 'cost' ELSE 'date' END AS c, COUNT(*) AS n "
+        "FROM g_raw WHERE kind BETWEEN 2 AND 4 GROUP BY kind) AS b) AS bad_columns FROM g_raw "
+        "UNION ALL SELECT 'facebook', COUNT(*), COUNT(*), 0, 0, 0, '' FROM fb_raw "
+        "UNION ALL SELECT 'tiktok', COUNT(*), COUNT(*), 0, 0, 0, '' FROM tt_raw"
+    ),
     "conform_social": _q("SELECT * FROM fb"),
     "conform_search": _q("SELECT * FROM g"),
     "conform_video": _q("SELECT * FROM tt"),
@@ -231,6 +242,7 @@ ORACLE: dict[str, str] = {
     # roll-ups
     "daily_rollup": _q("SELECT * FROM daily"),
     "daily_rollup_incremental": _q("SELECT * FROM daily"),
+    "daily_rollup_by_file": _q("SELECT * FROM daily"),
     "platform_rollup": _q("SELECT * FROM plat_r"),
     "campaign_rollup": _q("SELECT * FROM camp_r"),
     "platform_cpm": _q(
@@ -434,3 +446,7 @@ ORACLE: dict[str, str] = {
     ),
     "export_roundtrip": _q("SELECT * FROM fact"),
 }
+
+# The same results by way of cached and of refreshed tables.
+ORACLE["cached_selection"] = ORACLE["materialized_selection"]
+ORACLE["refreshed_cube"] = ORACLE["campaign_day_rollup"]

@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from adfuse.functions.ratios import q
 from adfuse.operators.conform import conform, unify
 from adfuse.operators.rollups import daily_rollup
-from adfuse.sources.readers import type_by_name
+from adfuse.sources.readers import RAGGED, type_by_name
 from adfuse.sources.spec import FeedSpec
 from adfuse.sources.storage import folders, remove_folder
 
@@ -34,25 +34,36 @@ def read_feed_stream(
     path: str,
     fmt: str = "csv",
     max_files_per_trigger: int | None = None,
+    on_bad: str = "flag",
 ) -> DataFrame:
     """Streaming read of a channel's export folder.
 
     Streaming CSV applies the schema by position, so the spec's column order
     must match the files' header; ``enforceSchema=false`` makes a mismatching
-    header fail loudly instead of shifting columns.
+    header fail loudly instead of shifting columns (``streaming.by_file`` takes
+    such files).  ``on_bad`` as in the batch reader: a cell that does not parse
+    and a line with too few or too many cells flag their row in ``bad_row``.
     """
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
-        ddl = ", ".join(f"{q(c)} STRING" for c in spec.source_types)
-        raw = reader.schema(ddl).option("header", True).option("enforceSchema", False).csv(path)
+        ddl = ", ".join(f"{q(c)} STRING" for c in [*spec.source_types, RAGGED])
+        raw = (
+            reader.schema(ddl)
+            .option("header", True)
+            .option("enforceSchema", False)
+            .option("columnNameOfCorruptRecord", RAGGED)
+            .option("columnPruning", False)
+            .option("escape", '"')
+            .csv(path)
+        )
     elif fmt == "parquet":
         ddl = ", ".join(f"{q(c)} {t}" for c, t in spec.source_types.items())
         raw = reader.schema(ddl).parquet(path)
     else:
         raise ValueError(f"unsupported feed format {fmt!r}")
-    return type_by_name(raw, spec, on_bad="ignore")
+    return type_by_name(raw, spec, on_bad)
 
 
 #: Published versions that stay for readers which have begun.
