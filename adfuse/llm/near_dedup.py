@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from adfuse.llm.bytes_kernel import NONSPACE, mix, texts, windows, word_hashes
 from adfuse.llm.graph import components
 from adfuse.llm.tables import checkpointed, frozen, pick, table
+from adfuse.sources.storage import remove_scratch
 
 #: Rows of a band, and bands.
 ROWS, BANDS = 5, 50
@@ -234,10 +235,10 @@ def _chunks(n, size):
 
 
 def _classified(
-    docs: DataFrame, width: int, percent: int, rows: int, bands: int
+    docs: DataFrame, width: int, percent: int, rows: int, bands: int, made: list[str] | None = None
 ) -> DataFrame:
-    """(uid, doc_id, text_hash, n, root, component_id) of every row."""
-    signed = frozen(_sign(docs, width, rows, bands), "signed")
+    """(uid, doc_id, text_hash, n, root, component_id) of every row; reads the tables in ``made``."""
+    signed = frozen(_sign(docs, width, rows, bands), "signed", made)
     classes = frozen(
         signed.where("n > 0")
         .groupBy("set_key")
@@ -248,6 +249,7 @@ def _classified(
         )
         .select("set_key", "cls", "low", "first.doc_id", "first.text_hash", "first.n_bytes", "first.bands"),
         "classes",
+        made,
     )
     entries = classes.select("cls", F.explode("bands").alias("band"))
     # Tables that others join by a possibly hot key are written out first: then
@@ -278,6 +280,7 @@ def _classified(
             source, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
         ).select("cls", "text"),
         "candidates",
+        made,
     )
     links = _links(members, texts_of, width, percent)
     found = components(links).withColumnRenamed("node", "cls")
@@ -325,7 +328,10 @@ def deduplicate(
 
     Rows without any word are all kept.
     """
-    of = checkpointed(_classified(docs, width, percent, rows, bands))
+    made: list[str] = []
+    of = frozen(_classified(docs, width, percent, rows, bands, made), "classified")
+    for path in made:  # nothing reads them any more
+        remove_scratch(docs.sparkSession, path)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid", "text_hash")
     best = of.where("n > 0").groupBy("root").agg(F.min(order).alias("b"))
     copies = of.where("n > 0").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies"))

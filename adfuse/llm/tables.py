@@ -28,16 +28,23 @@ def fold_case(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())
 
 
-def frozen(df: DataFrame, label: str) -> DataFrame:
+def table_at(df: DataFrame, path: str) -> DataFrame:
+    """The rows of ``df`` as they were written to ``path``."""
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def frozen(df: DataFrame, label: str, made: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage, so a lost executor costs a re-read and not a
-    recomputation, and several consumers see the same rows.
+    recomputation, and several consumers see the same rows.  ``made`` collects
+    the paths, for a caller that can remove them.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
+    path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if made is not None:
+        made.append(path)
+    return table_at(df, path)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
