@@ -1,8 +1,10 @@
 """128-bit SimHash fingerprints, in DataFrame operations only.
 
-Every occurrence of a term (a word between blanks) votes with its weight on
-each bit of its hash; a bit of the fingerprint is set if more than half of the
-weight voted for it.  The votes are counted by whole-stage code: sixteen bits
+Every occurrence of a term votes with its weight on each bit of its hash; a bit
+of the fingerprint is set if more than half of the weight voted for it.  Terms
+are the words between white space, of any kind; a word of more than ``LONG``
+characters, as texts without blanks are made of, is its overlapping runs of
+``GRAM`` characters instead.  The votes are counted by whole-stage code: sixteen bits
 apart, four counters share one bigint, so 32 plain sums count 128 bits.
 
 Counters hold 15 bits, so terms are counted in runs of ``RUN`` and the runs
@@ -25,6 +27,12 @@ HEAVY, RUN = 15, 2048
 #: Documents with ids in the same stretch of 2**STRETCH numbers are put in order by one task.
 STRETCH = 8
 
+#: The longest word that is a term, and the characters of the terms of a longer one.
+LONG, GRAM = 24, 4
+
+#: Fixed value: white space between words.
+SPACE = "\t\n\x0b\x0c\r \u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
 _LANES = 0x0001000100010001
 _PAIRS = 0x0000FFFF0000FFFF
 _SUMS = [(h, j) for h in (1, 2) for j in range(16)]
@@ -35,20 +43,37 @@ def weight(term: str) -> str:
     return f"least({HEAVY}, greatest(1, 2 * char_length({term}) - 5))"
 
 
+def terms(text: Column) -> Column:
+    """The terms of a text, in order; a text without words is one empty term."""
+    words = F.split(F.regexp_replace(text, f"^[{SPACE}]+|[{SPACE}]+$", ""), f"[{SPACE}]+", -1)
+
+    def grams(w: Column) -> Column:
+        def runs(chars: Column) -> Column:
+            return F.transform(
+                F.sequence(F.lit(0), F.size(chars) - GRAM), lambda i: F.concat(*[F.get(chars, i + k) for k in range(GRAM)])
+            )
+
+        return F.get(F.transform(F.array(F.split(w, "", -1)), runs), F.lit(0))  # the characters are split once
+
+    long = lambda w: F.char_length(w) > LONG
+    cut = F.flatten(F.transform(words, lambda w: F.when(long(w), grams(w)).otherwise(F.array(w))))
+    return F.when(F.exists(words, long), cut).otherwise(words)
+
+
 def votes(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     """``keys`` with the weight that voted for each bit, for the rows' ``text``.
 
     The keys name a row.  If the rows are already partitioned by some of the
     keys, nothing is shuffled.
     """
-    terms = rows.select(*keys, F.posexplode(F.split(text, " ", -1)).alias("_pos", "_term")).select(
+    each = rows.select(*keys, F.posexplode(terms(F.col(text))).alias("_pos", "_term")).select(
         *keys,
         F.expr(f"_pos div {RUN}").alias("_run"),
         F.expr("xxhash64(_term)").alias("_h1"),
         F.expr("xxhash64(_term, 1)").alias("_h2"),
         F.expr(f"cast({weight('_term')} as bigint)").alias("_w"),
     )
-    runs = terms.groupBy(*keys, "_run").agg(
+    runs = each.groupBy(*keys, "_run").agg(
         *[F.expr(f"sum((shiftrightunsigned(_h{h}, {j}) & {_LANES}L) * _w)").alias(f"_s{h}_{j}") for h, j in _SUMS],
         F.sum("_w").alias("_w"),
     )

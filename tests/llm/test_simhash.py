@@ -1,6 +1,7 @@
 import hashlib
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -11,9 +12,19 @@ from pyspark.sql import functions as F
 xxhash = pytest.importorskip("xxhash")
 
 
+SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(chr(c) for c in range(0x2000, 0x200B))
+
+
+def terms(text):
+    out = []
+    for word in re.split(f"[{SPACES}]+", text.strip(SPACES)):
+        out += [word] if len(word) <= 24 else [word[i : i + 4] for i in range(len(word) - 3)]
+    return out
+
+
 def brute(text):
     votes, total = np.zeros(128), 0
-    for term in text.split(" "):
+    for term in terms(text):
         h = xxhash.xxh64_intdigest(term.encode(), 42)
         h = (h, xxhash.xxh64_intdigest((1).to_bytes(4, "little"), h))
         w = min(S.HEAVY, max(1, 2 * len(term) - 5))
@@ -74,6 +85,25 @@ def test_one_row_follows_itself_and_none_is_fine(spark):
     assert S.edit_likeness(empty(spark)).count() == 0
 
 
+def test_texts_of_any_separator_and_script_keep_their_likeness(spark):
+    r = random.Random(8)
+    latin = ["".join(r.choices("abcdefghiklmnoprstu", k=r.randint(2, 9))) for _ in range(3000)]
+    cjk = [chr(r.randrange(0x4E00, 0x5E00)) for _ in range(900)]
+    texts, shapes = {}, ["blanks", "lines", "tabs", "wide blanks", "cjk", "one long word"]
+    for k in range(40):
+        words = r.choices(latin, k=300)
+        for n, text in enumerate(
+            [" ".join(words), "\n".join(words), "\t".join(words), "\u3000".join(words), "".join(r.choices(cjk, k=800)), "".join(words)]
+        ):
+            texts[1000 * n + k] = text
+    rows = S.edit_likeness(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")).collect()
+    for n, shape in enumerate(shapes):
+        part = [x for x in rows if x.doc_id // 1000 == n and x.doc_id % 1000 < 39]  # the last one borrows from another shape
+        near, apart = (np.mean([x[c] for x in part]) for c in ("near_edited", "near_next"))
+        assert near > 0.6 and apart < near - 0.3, (shape, near, apart)
+        assert all(x.fingerprint == brute(texts[x.doc_id]) for x in part[:3])
+
+
 def test_long_runs_of_votes(spark):
     text = "loweischaft " * 9000
     (row,) = S.fingerprints(spark.createDataFrame([(1, text)], "k int, t string"), ["k"], "t").select(
