@@ -8,7 +8,9 @@ ones.  Votes are counted by (document, template, diagonal), diagonals no more
 than ``BAND`` apart are merged, and each merged run is verified by the share
 of the template's k-grams that it covers; of runs of the same license family
 that start within ``NEAR`` words, only the best covered stand (version 2 and 3
-of one notice differ in a single word).
+of one notice differ in a single word), and a run inside a longer one yields to
+it, whatever its license: a whole text that quotes another license's notice is
+not under that license.
 
 The template table is code, not data: phrases, notices and whole license texts,
 some thirty thousand k-grams whatever the size of the corpus, so broadcasting it
@@ -221,6 +223,12 @@ def scan_licenses(
     base = F.col("exact") & found
     rivals = Window.partitionBy("row", "family", "exact").orderBy("first").rangeBetween(-NEAR, NEAR)
     merged = merged.withColumn("stands", found & (F.col("exact") | (F.col("cover") >= F.max("cover").over(rivals))))
+    # A run that begins earlier and ends no earlier, or begins there and ends later, holds this one.
+    end = F.when(F.col("stands") & ~F.col("exact"), F.col("last"))
+    earlier = F.max(end).over(Window.partitionBy("row").orderBy("first").rangeBetween(Window.unboundedPreceding, -1))
+    there = F.max(end).over(Window.partitionBy("row", "first"))
+    inside = F.coalesce((earlier >= F.col("last")) | (there > F.col("last")), F.lit(False))
+    merged = merged.withColumn("inside", inside).withColumn("stands", F.col("stands") & (F.col("exact") | ~F.col("inside")))
     stands = F.col("stands")
     per_row = merged.groupBy("row").agg(
         F.max("doc").alias("doc"),

@@ -78,14 +78,19 @@ WITH docs AS (
     FROM marked
   ),
   merged AS (
-    SELECT r, tid, label, family, exact, run, min(p) AS first, count(DISTINCT q) / n AS cover
+    SELECT r, tid, label, family, exact, run, min(p) AS first, max(p) + 2 AS last, count(DISTINCT q) / n AS cover
     FROM hits JOIN runs USING (r, tid, d) GROUP BY r, tid, label, family, exact, run, n
   ),
   best AS (
     SELECT *, max(cover) OVER (PARTITION BY r, family, exact ORDER BY first RANGE BETWEEN {NEAR} PRECEDING AND {NEAR} FOLLOWING) AS most
     FROM merged
   ),
-  found AS (SELECT * FROM best WHERE CASE WHEN exact THEN cover >= 1.0 ELSE cover >= {COVER} AND cover >= most END),
+  verified AS (SELECT * FROM best WHERE CASE WHEN exact THEN cover >= 1.0 ELSE cover >= {COVER} AND cover >= most END),
+  found AS (
+    SELECT * FROM verified v WHERE exact OR NOT EXISTS (
+      SELECT 1 FROM verified h WHERE h.r = v.r AND NOT h.exact AND h.first <= v.first AND h.last >= v.last
+        AND (h.first < v.first OR h.last > v.last))
+  ),
   scored AS (
     SELECT r, count(*) FILTER (exact) AS n_base, min(first) FILTER (exact) AS first_word, max(first) FILTER (exact) AS last_word,
            string_agg(DISTINCT label, ',' ORDER BY label) FILTER (exact) AS base_labels,
