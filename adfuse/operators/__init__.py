@@ -1,4 +1,4 @@
-from adfuse.operators.conform import conform, conform_all, unify
+from adfuse.operators.conform import conform, conform_all, conform_tagged, unify
 from adfuse.operators.filters import filter_fact, filter_series, flag_target
 from adfuse.operators.funnel import engagement_summary, funnel_stages, video_funnel
 from adfuse.operators.insights import (

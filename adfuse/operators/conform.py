@@ -9,11 +9,13 @@ which keeps plan construction cheap for wide specs.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adfuse.functions.ratios import RATIOS, q
@@ -51,7 +53,12 @@ def _date_expr(df: DataFrame, raw: str, date_format: str) -> str:
 
 
 def conform_exprs(df: DataFrame, spec: FeedSpec) -> list[str]:
-    """SQL text of the conform projection, one expression per fact column.
+    """SQL text of the conform projection, one aliased expression per fact column."""
+    return [f"{expr} AS {q(name)}" for name, expr in _columns(df, spec).items()]
+
+
+def _columns(df: DataFrame, spec: FeedSpec) -> dict[str, str]:
+    """SQL text of each fact column.
 
     Resolution per canonical column, in order: ``spec.derived`` expression,
     raw column (renamed or same name), role default.  Ratios not supplied by
@@ -80,7 +87,7 @@ def conform_exprs(df: DataFrame, spec: FeedSpec) -> list[str]:
         else:
             base[name] = f"CAST(NULL AS {dtype.simpleString()})"
 
-    out = []
+    out = {}
     for name in FACT_COLUMNS:
         expr = base[name]
         if expr is None:
@@ -89,7 +96,7 @@ def conform_exprs(df: DataFrame, spec: FeedSpec) -> list[str]:
                 expr = r.sql(base[r.numerator], base[r.denominator])
             else:
                 expr = "CAST(NULL AS DOUBLE)"
-        out.append(f"{expr} AS {q(name)}")
+        out[name] = expr
     return out
 
 
@@ -101,6 +108,37 @@ def conform(df: DataFrame, spec: FeedSpec) -> DataFrame:
         raise ValueError(f"feed {spec.name!r} does not fit its spec: {e}") from e
 
 
+def conform_tagged(
+    df: DataFrame, tag: str, specs: Mapping[str, FeedSpec], platforms: Sequence[str] | None = None
+) -> DataFrame:
+    """Conform channels that share one table, in one scan and one projection.
+
+    ``specs`` has the spec of each value of the column ``tag``; rows with any
+    other value are no channel's and are left out.  A spec sees only the
+    columns that it declares (all but ``tag`` if it declares none), so another
+    channel's column of a canonical name is not taken for its own.  Fact
+    columns that all channels express alike are that expression (so filters on
+    them reach the scan), the others choose by tag.  ``platforms`` keeps only
+    these platforms (none if empty): the choice becomes a filter on ``tag``,
+    which the scan can use, while one on the computed ``platform`` would not
+    get there.
+    """
+    chosen = {v: s for v, s in specs.items() if platforms is None or s.platform in platforms}
+    texts = {}
+    for value, spec in (chosen or specs).items():
+        own = [c for c in df.columns if (c in spec.source_types if spec.source_types else c != tag)]
+        texts[value] = _columns(df.select(*[df[q(c)] for c in own]), spec)
+    out = []
+    for name in FACT_COLUMNS:
+        kinds = {value: t[name] for value, t in texts.items()}
+        if len(set(kinds.values())) == 1:
+            expr = next(iter(kinds.values()))
+        else:
+            expr = f"CASE {q(tag)} " + " ".join(f"WHEN {_text(v)} THEN {e}" for v, e in kinds.items()) + " END"
+        out.append(f"{expr} AS {q(name)}")
+    return df.where(F.col(q(tag)).isin(list(chosen)) if chosen else F.lit(False)).selectExpr(*out)
+
+
 def unify(conformed: Iterable[DataFrame]) -> DataFrame:
     """Union conformed feeds by column name (duplicates kept, no shuffle).
 

@@ -13,22 +13,25 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adfuse.functions.exact import exact_mean_sql, exact_sum_sql
 from adfuse.functions.ratios import RATIOS, q, safe_div
-from adfuse.schema import CAMPAIGN_MEASURES, DAILY_MEASURES, PLATFORM_MEASURES
+from adfuse.schema import CAMPAIGN_MEASURES, DAILY_MEASURES, FACT_ROLES, PLATFORM_MEASURES
 
 
-def _sum0_sql(c: str) -> str:
+def _sum0_sql(c: str, exact: bool = False) -> str:
     # An all-NULL group sums to 0 (e.g. conv_value of channels without it).
+    if exact and FACT_ROLES.get(c) in ("money", "value"):
+        return f"coalesce({exact_sum_sql(q(c))}, 0D)"
     return f"coalesce(sum({q(c)}), 0)"
 
 
-def _sum0(c: str) -> Column:
-    return F.expr(f"{_sum0_sql(c)} AS {q(c)}")
+def _sum0(c: str, exact: bool = False) -> Column:
+    return F.expr(f"{_sum0_sql(c, exact)} AS {q(c)}")
 
 
-def _ratio_of_sums(name: str) -> Column:
+def _ratio_of_sums(name: str, exact: bool = False) -> Column:
     r = RATIOS[name]
-    return F.expr(f"{r.sql(_sum0_sql(r.numerator), _sum0_sql(r.denominator))} AS {q(name)}")
+    return F.expr(f"{r.sql(_sum0_sql(r.numerator, exact), _sum0_sql(r.denominator, exact))} AS {q(name)}")
 
 
 def daily_rollup(fact: DataFrame, measures: Sequence[str] = DAILY_MEASURES) -> DataFrame:
@@ -44,20 +47,26 @@ def rollup(
     keys: Sequence[str],
     measures: Sequence[str],
     ratios: Sequence[str] = (),
+    exact: bool = False,
 ) -> DataFrame:
     """Sum ``measures`` by ``keys`` and add ratio-of-sums ``ratios``, in one
-    aggregate (each ``sum`` is computed once however often it is referenced)."""
-    return fact.groupBy(*keys).agg(*[_sum0(m) for m in measures], *[_ratio_of_sums(r) for r in ratios])
+    aggregate (each ``sum`` is computed once however often it is referenced).
 
+    ``exact`` sums amounts of money without rounding in between
+    (``functions.exact``), so the last digits do not depend on how the rows are
+    partitioned; it costs about as much again as the plain sums."""
+    sums = [_sum0(m, exact) for m in measures]
+    return fact.groupBy(*keys).agg(*sums, *[_ratio_of_sums(r, exact) for r in ratios])
 
-def campaign_day_rollup(fact: DataFrame) -> DataFrame:
+
+def campaign_day_rollup(fact: DataFrame, exact: bool = False) -> DataFrame:
     """(date, platform, campaign_name) sums of every additive measure.
 
     Every filter dimension and every roll-up of the dashboard can be answered
     from this table (sums of sums), and its size is days x campaigns rather
     than fact rows: aggregate the fact once, derive the rest from it.
     """
-    return rollup(fact, ["date", "platform", "campaign_name"], PLATFORM_MEASURES)
+    return rollup(fact, ["date", "platform", "campaign_name"], PLATFORM_MEASURES, exact=exact)
 
 
 def platform_rollup(fact: DataFrame) -> DataFrame:
@@ -65,9 +74,9 @@ def platform_rollup(fact: DataFrame) -> DataFrame:
     return rollup(fact, ["platform"], PLATFORM_MEASURES, ["ctr", "cpc", "cpa"])
 
 
-def campaign_rollup(fact: DataFrame) -> DataFrame:
+def campaign_rollup(fact: DataFrame, exact: bool = False) -> DataFrame:
     """One row per (platform, campaign_name): 5 sums plus ctr, cpa, roas."""
-    return rollup(fact, ["platform", "campaign_name"], CAMPAIGN_MEASURES, ["ctr", "cpa", "roas"])
+    return rollup(fact, ["platform", "campaign_name"], CAMPAIGN_MEASURES, ["ctr", "cpa", "roas"], exact)
 
 
 def platform_cpm(fact: DataFrame) -> DataFrame:
@@ -81,7 +90,7 @@ def daily_ctr(series: DataFrame) -> DataFrame:
 
 
 _PORTFOLIO_SUMS = [
-    "sum(spend) AS _s",
+    f"{exact_sum_sql('spend')} AS _s",
     "sum(conversions) AS _v",
     "sum(impressions) AS _i",
     "sum(clicks) AS _c",
@@ -116,14 +125,16 @@ def kpi_summary(camp: DataFrame, platform: str = "Google") -> DataFrame:
 
     ``camp`` is the campaign roll-up (one row per platform x campaign with its
     ``roas``): the totals are sums of campaign sums and the ROAS mean is the
-    mean over that platform's campaigns, so the fact is read once.
+    mean over that platform's campaigns, so the fact is read once.  All sums
+    are exact: they do not depend on the order of the campaigns.
     """
-    own = lambda c: F.when(F.col("platform") == F.lit(platform), F.col(c))
-    agg = camp.agg(
+    own = ["roas", "conv_value", "spend"]
+    mine = camp.select("*", *[F.when(F.col("platform") == F.lit(platform), F.col(c)).alias(f"_own_{c}") for c in own])
+    agg = mine.agg(
         *[F.expr(e) for e in _PORTFOLIO_SUMS],
-        F.avg(own("roas")).alias("_m"),
-        F.sum(own("conv_value")).alias("_pv"),
-        F.sum(own("spend")).alias("_ps"),
+        F.expr(f"{exact_mean_sql('_own_roas')} AS _m"),
+        F.expr(f"{exact_sum_sql('_own_conv_value')} AS _pv"),
+        F.expr(f"{exact_sum_sql('_own_spend')} AS _ps"),
     )
     return agg.select(
         *_portfolio_cols(),
@@ -141,14 +152,14 @@ def mean_campaign_roas(fact: DataFrame, platform: str = "Google") -> DataFrame:
     pooled_roas         sum(conv_value) / sum(spend) over the same rows
 
     Both come from one pass: the pooled sums are sums of the per-campaign sums.
-    The last digits of a mean of doubles depend on the order of summation;
-    whoever compares two results rounds them.
+    All sums are exact, so the result has the same bits in whatever order the
+    rows come.
     """
     rows = fact.where(F.col("platform") == F.lit(platform))
-    per_campaign = rollup(rows, ["campaign_name"], ["spend", "conv_value"], ["roas"])
+    per_campaign = rollup(rows, ["campaign_name"], ["spend", "conv_value"], ["roas"], exact=True)
     return per_campaign.agg(
-        F.coalesce(F.avg("roas"), F.lit(0.0)).alias("mean_campaign_roas"),
-        safe_div(F.sum("conv_value"), F.sum("spend")).alias("pooled_roas"),
+        F.expr(f"coalesce({exact_mean_sql('roas')}, 0D) AS mean_campaign_roas"),
+        F.expr(f"try_divide({exact_sum_sql('conv_value')}, {exact_sum_sql('spend')}) AS pooled_roas"),
     )
 
 

@@ -1,8 +1,8 @@
 """Registered queries: one per operator of the inventory, over the test tables.
 
 Each query takes ``(spark, sf_dir)`` and returns a DataFrame built from the
-three channel feeds carved out of ``lineitem`` (see
-``adfuse.sources.lineitem_feeds``).  Every query runs over the whole table.
+three channels carved out of ``lineitem`` (see
+``adfuse.sources.lineitem_feeds``), as one tagged table or as separate feeds.  Every query runs over the whole table.
 Most are lazy; those that write something first (CSV round trips, the
 materialised dashboard, the streaming run, global positions) run jobs while
 they are built.
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adfuse.functions.ratios import with_ratios
-from adfuse.operators.conform import conform, conform_all
+from adfuse.operators.conform import conform, conform_all, conform_tagged
 from adfuse.operators.filters import filter_fact, filter_series, flag_target
 from adfuse.operators.funnel import engagement_summary, funnel_stages, video_funnel
 from adfuse.operators.insights import (
@@ -60,8 +60,10 @@ from adfuse.plans.dashboard import series_of
 from adfuse.sources.channels import CHANNELS, FACEBOOK, GOOGLE, TIKTOK, WEB
 from adfuse.sources.event_feed import web_feed
 from adfuse.sources.lineitem_feeds import (
+    CHANNEL,
     FLAG_OF_FEED,
     channel_feed,
+    channel_table,
     faulty_search_lines,
     lineitem,
     raw_feeds,
@@ -69,6 +71,7 @@ from adfuse.sources.lineitem_feeds import (
     social_feed,
     video_feed,
 )
+from adfuse.sources.ordered import export_ordered_csv, store_pages
 from adfuse.sources.readers import checked, feed_quality, read_feed, rejected_rows
 from adfuse.sources.sinks import export_csv, read_csv_typed
 from adfuse.sources.storage import remove_folder, scratch_path
@@ -84,15 +87,17 @@ SEL_FROM, SEL_TO = "1996-01-01", "1996-12-31"
 SEL_CAMPAIGNS = ["Camp_1", "Camp_3"]
 SEARCH_PLATFORM = "Google"
 TOP_N = 5
+PAGE, PAGE_SIZE = 3, 250
 #: Names that a CSV has to quote, by campaign; one of them is empty and one NULL.
 ODD_NAMES = r"""CASE campaign_id WHEN 'c1' THEN 'a "quoted" name' WHEN 'c2' THEN ' blanks, and commas '
   WHEN 'c3' THEN concat('two', chr(10), 'lines') WHEN 'c4' THEN '' WHEN 'c5' THEN NULL
   WHEN 'c6' THEN concat('"', chr(92), '"') ELSE campaign_name END"""
 
 
-def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The unified fact over the three derived channel feeds."""
-    return conform_all(raw_feeds(spark, sf_dir), CHANNELS)
+def fact(spark: SparkSession, sf_dir: str, platforms: list[str] | None = None) -> DataFrame:
+    """The unified fact of the channels that lie in lineitem, in one scan; a choice of platforms reaches it."""
+    specs = {flag: CHANNELS[c] for c, flag in FLAG_OF_FEED.items()}
+    return conform_tagged(channel_table(lineitem(spark, sf_dir)), CHANNEL, specs, platforms)
 
 
 def series(spark: SparkSession, sf_dir: str, frame: str = "rows") -> DataFrame:
@@ -193,12 +198,14 @@ def q_platform_rollup_with_web(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_unified_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact(spark, sf_dir).groupBy("platform").agg(F.count(F.lit(1)).alias("n_rows"))
+    """Rows by platform of the union of three separate feeds."""
+    whole = conform_all(raw_feeds(spark, sf_dir), CHANNELS)
+    return whole.groupBy("platform").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 # --- filters --------------------------------------------------------------------
 def q_filter_platforms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filter_fact(fact(spark, sf_dir), platforms=SEL_PLATFORMS)
+    return filter_fact(fact(spark, sf_dir, SEL_PLATFORMS), platforms=SEL_PLATFORMS)
 
 
 def q_filter_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,7 +217,7 @@ def q_filter_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_filter_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filter_fact(fact(spark, sf_dir), SEL_PLATFORMS, SEL_FROM, SEL_TO, SEL_CAMPAIGNS)
+    return filter_fact(fact(spark, sf_dir, SEL_PLATFORMS), SEL_PLATFORMS, SEL_FROM, SEL_TO, SEL_CAMPAIGNS)
 
 
 def q_filter_series(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -284,18 +291,13 @@ def q_portfolio_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portfolio_kpis(fact(spark, sf_dir))
 
 
-def _comparable(kpis: DataFrame) -> DataFrame:
-    """Nine places of the mean of doubles, whose last digits depend on the order of summation."""
-    return kpis.withColumn("mean_campaign_roas", F.round("mean_campaign_roas", 9))
-
-
 def q_kpi_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Totals and the ROAS mean come from one campaign roll-up in one aggregate.
-    return kpi_tiles(_comparable(kpi_summary(camp(spark, sf_dir), SEARCH_PLATFORM)))
+    return kpi_tiles(kpi_summary(campaign_rollup(fact(spark, sf_dir), exact=True), SEARCH_PLATFORM))
 
 
 def q_mean_campaign_roas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _comparable(mean_campaign_roas(fact(spark, sf_dir), SEARCH_PLATFORM))
+    return mean_campaign_roas(fact(spark, sf_dir, [SEARCH_PLATFORM]), SEARCH_PLATFORM)
 
 
 def q_date_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,7 +310,7 @@ def q_campaign_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _selected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filter_fact(fact(spark, sf_dir), SEL_PLATFORMS, SEL_FROM, SEL_TO, SEL_CAMPAIGNS)
+    return filter_fact(fact(spark, sf_dir, SEL_PLATFORMS), SEL_PLATFORMS, SEL_FROM, SEL_TO, SEL_CAMPAIGNS)
 
 
 def q_filtered_campaign_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -318,7 +320,7 @@ def q_filtered_campaign_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_filtered_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """KPI row (totals, ratios, search-channel ROAS) of the filtered selection."""
-    return _comparable(kpi_summary(campaign_rollup(_selected(spark, sf_dir)), SEARCH_PLATFORM))
+    return kpi_summary(campaign_rollup(_selected(spark, sf_dir), exact=True), SEARCH_PLATFORM)
 
 
 def q_campaign_day_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -348,7 +350,7 @@ def q_cached_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_empty_selection_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """KPI row of a selection without rows: zeros, and no pooled ROAS."""
     none = filter_fact(fact(spark, sf_dir), date_from="2200-01-01", date_to="2200-12-31")
-    return _comparable(kpi_summary(campaign_rollup(none), SEARCH_PLATFORM))
+    return kpi_summary(campaign_rollup(none, exact=True), SEARCH_PLATFORM)
 
 
 # --- windows / shares / funnel ----------------------------------------------------
@@ -419,8 +421,7 @@ def q_best_campaign_per_platform(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _search_campaigns(spark: SparkSession, sf_dir: str):
-    c = camp(spark, sf_dir)
-    return c.where(F.col("platform") == SEARCH_PLATFORM)
+    return campaign_rollup(fact(spark, sf_dir, [SEARCH_PLATFORM]))
 
 
 def q_roas_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -484,6 +485,20 @@ def q_export_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_typed(spark, path)
 
 
+def q_ordered_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unified fact as one CSV in ordered parts, read back from the parts behind its header."""
+    path = scratch_path(spark, "ordered-export")
+    parts = export_ordered_csv(fact(spark, sf_dir), path, ["date", "platform", "campaign_name"])
+    header = [r["path"] for r in parts.where("place > 0").collect()]
+    return read_csv_typed(spark, header, header=False)
+
+
+def q_fact_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fourth page of the raw table, from the one or two parts that hold it."""
+    paged = store_pages(fact(spark, sf_dir), scratch_path(spark, "pages"), ["date", "platform", "campaign_name"])
+    return paged.page(spark, PAGE, PAGE_SIZE)
+
+
 def q_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the unified fact as CSV and read it back typed by header."""
     path = export_csv(fact(spark, sf_dir), scratch_path(spark, "export"))

@@ -97,7 +97,7 @@ def _store(
             bloom=["campaign_name"],
         )
         fact = tables["fact"].read(fact.sparkSession)
-    tables["cube"] = store(campaign_day_rollup(fact), f"{root}/cube")
+    tables["cube"] = store(campaign_day_rollup(fact, exact=True), f"{root}/cube")
     if video_channel in feeds:
         tables["funnel"] = store(video_funnel(feeds[video_channel]), f"{root}/funnel")
     return fact, tables
@@ -197,7 +197,7 @@ def select(
     cube = filter_fact(loaded.cube, platforms, date_from, date_to, campaigns)
     series = filter_series(loaded.series, platforms, date_from, date_to)
     plat = platform_rollup(cube)
-    camp = campaign_rollup(cube)
+    camp = campaign_rollup(cube, exact=True)
     summary = kpi_summary(camp, search_platform)
     return View(
         fact=fact,

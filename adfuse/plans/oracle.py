@@ -18,6 +18,17 @@ _COMMON = f"""CAST(l_shipdate AS DATE) AS date,
 
 NULL_D = "CAST(NULL AS DOUBLE)"
 
+
+def exact_mean(x: str) -> str:
+    """Mean of doubles, summed as whole numbers of 2**-20 and of 2**-80."""
+    scaled = f"(({x}) * 1048576)"
+    high = f"SUM(CAST(FLOOR({scaled}) AS HUGEINT))"
+    low = f"SUM(CAST(FLOOR(({scaled} - FLOOR({scaled})) * 1152921504606846976) AS HUGEINT))"
+    unit = "CAST(1152921504606846976 AS HUGEINT)"
+    return (
+        f"((CAST({high} + {low} // {unit} AS DOUBLE) / 1048576 + CAST({low} % {unit} AS DOUBLE) / pow(2, 80)) / COUNT({x}))"
+    )
+
 BASE = f"""
 fb_raw AS (
   SELECT {_COMMON}, {_CENTS} AS spend, l_suppkey % 10 AS conversions, {_QTY} * 100 AS video_views,
@@ -141,7 +152,7 @@ g_camp AS (
   FROM fact WHERE platform = 'Google' GROUP BY campaign_name
 ),
 roas_kpi AS (
-  SELECT ROUND(COALESCE(AVG(conv_value / NULLIF(spend, 0)), 0), 9) AS mean_campaign_roas,
+  SELECT COALESCE({exact_mean("conv_value / NULLIF(spend, 0)")}, 0) AS mean_campaign_roas,
          SUM(conv_value) / NULLIF(SUM(spend), 0) AS pooled_roas
   FROM g_camp
 )"""
@@ -168,6 +179,8 @@ CAMP_COLS = "platform, campaign_name, impressions, clicks, spend, conversions, c
 PCT = "CAST(100 AS DOUBLE)"
 
 
+GOOGLE_ROAS = "CASE WHEN platform = 'Google' THEN conv_value / NULLIF(spend, 0) END"
+
 FILTERED = f""",
 fcamp AS (
   SELECT platform, campaign_name,
@@ -268,8 +281,8 @@ ORACLE: dict[str, str] = {
         "COALESCE(SUM(spend) / NULLIF(SUM(conversions), 0), 0) AS portfolio_cpa, "
         f"COALESCE(SUM(clicks) / NULLIF(SUM(impressions), 0) * {PCT}, 0) AS portfolio_ctr_pct, "
         "COALESCE(SUM(spend) / NULLIF(SUM(clicks), 0), 0) AS portfolio_cpc, "
-        "ROUND(COALESCE(AVG(CASE WHEN platform = 'Google' THEN conv_value / NULLIF(spend, 0) END), 0), 9) "
-        "AS mean_campaign_roas, SUM(CASE WHEN platform = 'Google' THEN conv_value END) / "
+        f"COALESCE({exact_mean(GOOGLE_ROAS)}, 0) AS mean_campaign_roas, "
+        "SUM(CASE WHEN platform = 'Google' THEN conv_value END) / "
         "NULLIF(SUM(CASE WHEN platform = 'Google' THEN spend END), 0) AS pooled_roas FROM fcamp",
         FILTERED,
     ),
@@ -450,3 +463,10 @@ ORACLE: dict[str, str] = {
 # The same results by way of cached and of refreshed tables.
 ORACLE["cached_selection"] = ORACLE["materialized_selection"]
 ORACLE["refreshed_cube"] = ORACLE["campaign_day_rollup"]
+ORACLE["ordered_export"] = ORACLE["unified_fact"]
+ORACLE["fact_page"] = _q(
+    "SELECT * FROM fact ORDER BY date NULLS FIRST, platform NULLS FIRST, campaign_name NULLS FIRST, "
+    "campaign_id NULLS FIRST, impressions NULLS FIRST, clicks NULLS FIRST, spend NULLS FIRST, conversions NULLS FIRST, "
+    "video_views NULLS FIRST, ctr NULLS FIRST, cpc NULLS FIRST, cpa NULLS FIRST, roas NULLS FIRST, "
+    "social_eng NULLS FIRST, vid_compl_rate NULLS FIRST, conv_value NULLS FIRST LIMIT 250 OFFSET 750"
+)

@@ -82,6 +82,19 @@ def channel_feed(li: DataFrame, channel: str) -> DataFrame:
     return li.where(f"l_returnflag = '{FLAG_OF_FEED[channel]}'").selectExpr(*FEED_COLUMNS[channel])
 
 
+#: Column of ``channel_table`` that tells the channels apart.
+CHANNEL = "channel"
+
+
+def channel_table(li: DataFrame) -> DataFrame:
+    """All three channels as one wide raw table: every raw column of any of them, and the channel's tag.
+
+    A raw column of the same name has the same definition in every feed.
+    """
+    columns = dict.fromkeys(c for feed in FEED_COLUMNS.values() for c in feed)
+    return li.selectExpr(f"l_returnflag AS {CHANNEL}", *columns)
+
+
 def social_feed(li: DataFrame) -> DataFrame:
     """Facebook-shaped: spend, video_views."""
     return channel_feed(li, "facebook")

@@ -16,7 +16,7 @@ from adfuse.schema import FACT_SCHEMA
 
 # How CSV is written and read, so that any text survives and other
 # tools (spreadsheets, Python's csv module) read the files.
-_QUOTING = {
+CSV_OPTIONS = {
     "quote": '"',
     "escape": '"',
     "ignoreLeadingWhiteSpace": False,
@@ -41,14 +41,14 @@ def export_csv(
     """
     (
         df.write.mode(mode)
-        .options(**_QUOTING, nullValue="", emptyValue='""', maxRecordsPerFile=rows_per_file)
+        .options(**CSV_OPTIONS, nullValue="", emptyValue='""', maxRecordsPerFile=rows_per_file)
         .csv(path)
     )
     return path
 
 
 def read_csv_typed(
-    spark: SparkSession, path: str, schema: T.StructType = FACT_SCHEMA, multi_line: bool = True
+    spark: SparkSession, path: str, schema: T.StructType = FACT_SCHEMA, multi_line: bool = True, header: bool = True
 ) -> DataFrame:
     """Read a CSV written by ``export_csv`` back, typed by header name.
 
@@ -60,7 +60,8 @@ def read_csv_typed(
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     raw = (
         spark.read.schema(text)
-        .options(**_QUOTING, nullValue=_NO_CELL, emptyValue="", multiLine=multi_line, enforceSchema=False)
+        .options(**{**CSV_OPTIONS, "header": header}, nullValue=_NO_CELL, emptyValue="", multiLine=multi_line)
+        .option("enforceSchema", False)
         .csv(path)
     )
     cols = []

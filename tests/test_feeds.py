@@ -5,6 +5,7 @@ import dataclasses
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adfuse.operators import conform, conform_all, kpi_summary, platform_rollup
@@ -204,6 +205,50 @@ def test_three_exports_by_hand(spark, exports):
     assert (t.spend_tile, t.conversions_tile, t.roas_tile, t.total_conversions) == ("$0.4K", "24", "5.00×", 24)
 
 
+def test_insights_and_orders_by_hand(spark, exports):
+    from adfuse.functions.ratios import with_ratios
+    from adfuse.operators import (
+        below_target, best_per_group, best_worst, campaign_names, campaign_rollup, daily_rollup, global_row_number, leader,
+        platform_leaders, rank_campaigns, share_of_total, stack, top_campaigns,
+    )
+    from adfuse.operators.insights import ROAS_TARGET
+
+    fact = conform_all(exports, CHANNELS)
+    camp, plat = campaign_rollup(fact), platform_rollup(fact)
+    cpa = {r.campaign_name: r.cpa for r in camp.collect()}
+    assert cpa == {"Brand_One": 20.0, "Search_One": 10.0, "Search, Two": 30.0, "Clip_One": 10.0}
+    # I1, I3: two campaigns cost 10 a conversion; the first platform by name wins.
+    assert {r.kind: (r.platform, r.campaign_name) for r in best_worst(camp).collect()} == {
+        "best": ("Google", "Search_One"), "worst": ("Google", "Search, Two"),
+    }
+    assert {r.platform: r.campaign_name for r in best_per_group(camp).collect()} == {
+        "Facebook": "Brand_One", "Google": "Search_One", "TikTok": "Clip_One",
+    }
+    # I4, I6
+    r = leader(camp, "roas").first()
+    assert (r.campaign_name, r.roas) == ("Search_One", 8.0)
+    assert leader(camp, "conversions").first().campaign_name == "Brand_One"
+    # I5
+    (r,) = below_target(camp, "Google").collect()
+    assert (r.campaign_name, r.roas, r.spend, r.gap_to_target) == ("Search, Two", 2.0, 150.0, ROAS_TARGET - 2.0)
+    # I7: ten conversions each on two platforms; 40 for 10,000 impressions.
+    found = {r.leader: (r.platform, r.value) for r in platform_leaders(with_ratios(plat, ["cpm"])).collect()}
+    assert found == {"most_conversions": ("Facebook", 10.0), "lowest_cpm": ("TikTok", 4.0)}
+    # Orders
+    names = [r.campaign_name for r in rank_campaigns(camp).orderBy("cpa_rank").collect()]
+    assert names == ["Search_One", "Clip_One", "Brand_One", "Search, Two"]
+    assert [r.campaign_name for r in top_campaigns(camp, n=2).orderBy("rank").collect()] == names[:2]
+    by_name = global_row_number(campaign_names(fact), [F.col("campaign_name").asc_nulls_last()], "n").orderBy("n")
+    assert [r.campaign_name for r in by_name.collect()] == ["Brand_One", "Clip_One", "Search, Two", "Search_One"]
+    google = camp.where("platform = 'Google'")
+    ranked = global_row_number(google, [F.col("roas").desc_nulls_last()], "n").orderBy("n")
+    assert [r.roas for r in ranked.collect()] == [8.0, 2.0]
+    share = share_of_total(plat.select("platform", "spend"), "spend", total_out="all")
+    assert {r.platform: (r.spend / r["all"], r["all"]) for r in share.collect()}["TikTok"] == (40 / 440, 440.0)
+    top = stack(daily_rollup(fact).select("date", "platform", "conversions"), "conversions").where("date = '2024-03-01'")
+    assert max(v for row in top.collect() for v in row if isinstance(v, int)) == 10 + 5 + 4
+
+
 # --- files ------------------------------------------------------------------------------
 def test_stream_reads_exactly_its_table(spark, tmp_path):
     from conftest import SF_SMALL

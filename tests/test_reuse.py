@@ -322,3 +322,35 @@ def test_channels_and_fixture_feeds_still_cache(spark, tmp_path):
     two = dashboard.load_cached(spark, lambda: 1 / 0, CHANNELS, inputs, f"{tmp_path}/cache")
     assert GOOGLE.platform in {r.platform for r in two.cube.select("platform").distinct().collect()}
     assert one.fact.count() == two.fact.count() and two.funnel.count() == 1
+
+
+# --- ordered parts --------------------------------------------------------------------
+def test_pages_concatenate_to_the_ordered_table_and_open_few_parts(spark, tmp_path):
+    from adfuse.sources.ordered import store_pages
+
+    rows_ = [(k % 7 or None, f"n{k % 50}", float(k)) for k in range(1000)] + [(3, "same", 1.0)] * 100
+    df = spark.createDataFrame(rows_, "a int, b string, c double")
+    paged = store_pages(df, f"{tmp_path}/p", ["a", "b"], parts=8)
+    want = [tuple(r) for r in df.orderBy("a", "b", "c").collect()]
+    assert paged.rows(spark) == len(want)
+    got = []
+    for k in range(12):
+        page = paged.page(spark, k, 95)
+        assert len({f.split("/")[-2] for f in page.inputFiles()}) <= 3
+        got += [tuple(r) for r in page.collect()]
+    assert got == want
+    assert paged.page(spark, 99, 95).collect() == [] == store_pages(df.limit(0), f"{tmp_path}/e", ["a"]).page(spark, 0, 5).collect()
+
+
+def test_parts_of_the_ordered_csv_are_one_file(spark, tmp_path):
+    from adfuse.sources.ordered import export_ordered_csv
+
+    names = ["plain", 'a "q"', "x, y", "two\nlines", "", None, " lead"]
+    df = spark.createDataFrame([(k % 13, names[k % 7], k / 4) for k in range(500)], "a int, `b, c` string, d double").repartition(5)
+    parts = export_ordered_csv(df, f"{tmp_path}/a b", ["a"], parts=6).orderBy("place").collect()
+    assert len(parts) == 7 and [p.offset for p in parts] == [sum(x.length for x in parts[:k]) for k in range(7)]
+    data = b"".join(open(p.path.removeprefix("file:"), "rb").read() for p in parts)
+    assert len(data) == parts[-1].offset + parts[-1].length
+    read = list(csv.reader(data.decode().splitlines(keepends=True)))
+    assert read[0] == ["a", "b, c", "d"]
+    assert read[1:] == [[str(r[0]), r[1] or "", str(r[2])] for r in df.orderBy("a", "`b, c`", "d").collect()]
