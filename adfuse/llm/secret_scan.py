@@ -5,8 +5,11 @@ and scanned in turn, until nothing is left to unwrap:
 
 * percent escapes and backslash-u / backslash-x escapes are decoded in place
   (the layer is the whole text with the escapes replaced);
-* each base64 token (standard or URL alphabet, also over several lines) is a
-  layer of its own, and so is what it holds as gzip, zlib, bz2, xz or zstd.
+* each base64 token (standard or URL alphabet, also over several lines that are
+  indented, quoted or broken by an escape) is a layer of its own for each of the
+  four places where its first group of characters can begin, since letters in
+  front of it may belong to the alphabet; and so is what it holds as gzip, zlib,
+  bz2, xz or zstd.
 
 No layer is judged before it is scanned: bytes that are no UTF-8 become lone
 surrogates, which no pattern contains, and stretches of ASCII in UTF-16 are
@@ -30,9 +33,10 @@ import lzma
 import re
 import zlib
 from bisect import bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -51,12 +55,22 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 # differ only in characters that no pattern contains.
 PERCENT = re.compile(r"(?:%(?:25)*[0-9A-Fa-f]{2})+")
 ONE_PERCENT = re.compile(r"%(?:25)*([0-9A-Fa-f]{2})")
-ESCAPE = re.compile(r"(?:\\(?:u005[cC])*(?:u[0-9A-Fa-f]{4}|u\{[0-9A-Fa-f]{1,6}\}|x[0-9A-Fa-f]{2}))+")
-ONE_ESCAPE = re.compile(r"\\(?:u005[cC])*(?:u([0-9A-Fa-f]{4})|u\{([0-9A-Fa-f]{1,6})\}|x([0-9A-Fa-f]{2}))")
-# Lines of 16 or more characters, and a last one of any length.
+_ONE = r"(?:\\(?:u005[cC])*(?:u([0-9A-Fa-f]{4})|u\{([0-9A-Fa-f]{1,6})\}|U([0-9A-Fa-f]{8})|x([0-9A-Fa-f]{2}))|%u([0-9A-Fa-f]{4}))"
+ONE_ESCAPE = re.compile(_ONE)
+ESCAPE = re.compile(f"(?:{re.sub(r'[(](?![?])', '(?:', _ONE)})+")
+# A line break inside a token: quotes and signs that join lines around it, an indent, marks of quoted mail or comments.
+# The break itself may be written as an escape.
+BREAK = r"""(?:["']?[ \t]*[+,\\]?[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t]*(?:[>|#*][ \t]*|\+[ \t]+)*["']?)"""
+LINE_BREAK = re.compile(BREAK)
+# At least 16 characters in one line, or lines of 4 or more; the last one is of any length.
 TOKENS = tuple(
-    re.compile(rf"{c}{{16,}}(?:\r?\n{c}{{16,}})*(?:\r?\n{c}{{1,15}})?={{0,2}}") for c in ("[A-Za-z0-9+/]", "[A-Za-z0-9_-]")
+    re.compile(
+        rf"(?:{c}{{16,}}+|(?<!{c}){c}{{4,15}}+{BREAK}{c}{{4,}}+)(?:{BREAK}{c}{{4,}}+)*+(?:{BREAK}{c}{{1,3}}+)?={{0,2}}"
+    )
+    for c in ("[A-Za-z0-9+/]", "[A-Za-z0-9_-]")
 )
+#: Every secret, token and escape that can hide one has 16 printable ASCII characters in a row.
+PLAIN = re.compile(rb"[\t\n\r -~]{16}")
 
 #: A stream that unpacks to more bytes than this is reported as kind "bomb" (its
 #: token is the span) and scanned in blocks of this size that overlap by half.
@@ -161,7 +175,7 @@ def _unicode(run: re.Match) -> list[Piece] | None:
     out: list[Piece] = []
     high, decoded = None, False  # a leading surrogate waits for its partner
     for m in ONE_ESCAPE.finditer(run[0]):
-        code, start, end = int(m[1] or m[2] or m[3], 16), run.start() + m.start(), run.start() + m.end()
+        code, start, end = int(next(filter(None, m.groups())), 16), run.start() + m.start(), run.start() + m.end()
         if code > 0x10FFFF:
             out += _as_it_was(run, m)
             high = None
@@ -273,41 +287,54 @@ def _blocks(pieces: Iterator[bytes | None], size: int) -> Iterator[tuple[bytes,
         yield bytes(held), more
 
 
-def _base64(token: str) -> Iterator[tuple[list[int] | None, bytes]]:
-    """The bytes of the token, and its characters' places if there are line breaks.
+def _base64(token: str) -> Iterator[tuple[Sequence[int], bytes]]:
+    """The bytes of the token, and its characters' places, read from each of its first four characters.
 
-    Lines can be tokens of their own, or the last one a word that follows.  So
-    the token is read from its start, and from the first line that starts at
-    each other residue of four characters; wrapped lines of 4 k have one
-    reading.  A single character that is left over carries no byte.
+    What stands in front of a token may belong to its alphabet, and lines can
+    be tokens of their own, or the last one a word that follows: each has a
+    reading in which its groups of four are whole.  A single character that is
+    left over carries no byte.
     """
-    at = [i for i, c in enumerate(token) if c not in "\r\n="] if "\n" in token else None
-    joined = token.replace("\r", "").replace("\n", "").rstrip("=").replace("-", "+").replace("_", "/")
-    starts, size = {0: 0}, 0
-    for line in token.split("\n")[:-1]:
-        size += len(line.rstrip("\r"))
-        starts.setdefault(size % 4, size)
-    for start in starts.values():
-        part = joined[start:]
-        if len(part) % 4 == 1:
-            part = part[:-1]
-        if part:
-            yield at and at[start:], base64.b64decode(part + "=" * (-len(part) % 4), validate=True)
+    joined = token.rstrip("=")
+    at: Sequence[int] = range(len(joined))
+    if breaks := list(LINE_BREAK.finditer(joined)):
+        ends = [0, *(x for m in breaks for x in m.span()), len(joined)]
+        lines = list(zip(ends[::2], ends[1::2], strict=True))
+        at = [i for a, b in lines for i in range(a, b)]
+        joined = "".join(joined[a:b] for a, b in lines)
+    joined = joined.replace("-", "+").replace("_", "/")
+    for start in range(min(4, len(joined))):
+        size = len(joined) - start
+        size -= size % 4 == 1
+        if size > 0:
+            yield at[start:], base64.b64decode(joined[start : start + size] + "=" * (-size % 4), validate=True)
 
 
 def _readings(data: bytes) -> Iterator[tuple[str, Callable[[int, int], Span]]]:
     """``data`` as text, in UTF-8 and UTF-16, each with the map of its positions to bytes."""
-    text = _as_text(data)
-    size = lambda t: len(t.encode("utf-8", "surrogateescape"))
-    if text.isascii():
-        yield text, lambda s, e: (s, e)
-    else:
-        yield text, lambda s, e: (size(text[:s]), size(text[:e]))
+    if PLAIN.search(data):
+        text = _as_text(data)
+        yield text, (lambda s, e: (s, e)) if text.isascii() else _byte_places(text)
     for low, high in _wide_runs(data):
         wide = data[low:high].replace(b"\0", b"").decode("ascii")
         yield wide, lambda s, e, low=low: (low + 2 * s, low + 2 * e)
 
 
+def _byte_places(text: str) -> Callable[[int, int], Span]:
+    """Positions in a text to those in its bytes, from one pass over it (when first asked)."""
+    places: list[np.ndarray] = []
+
+    def to_bytes(s: int, e: int) -> Span:
+        if not places:
+            code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+            size = 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)
+            size[(code >= 0xDC80) & (code < 0xDD00)] = 1  # a byte that is no UTF-8
+            places.append(np.concatenate(([0], np.cumsum(size))))
+        return int(places[0][s]), int(places[0][e])
+
+    return to_bytes
+
+
 def _base64_layers(layer: Layer) -> Iterator[Layer | Hit]:
     done: set[Span] = set()  # many tokens are of both alphabets
     for pattern in TOKENS:
@@ -351,16 +378,14 @@ def _unpacked(data: bytes, whole: Span) -> Iterator[Layer | Hit]:
 
 
 def _base64_map(
-    layer: Layer, start: int, at: list[int] | None, to_bytes: Callable[[int, int], Span]
+    layer: Layer, start: int, at: Sequence[int], to_bytes: Callable[[int, int], Span]
 ) -> Callable[[int, int], Span]:
     """Positions in the decoded text to the token's characters (four carry three bytes)."""
 
     def to_root(s: int, e: int) -> Span:
         b0, b1 = to_bytes(s, e)
         c0, c1 = b0 * 4 // 3, -(-b1 * 4 // 3)
-        if at is not None:
-            c0, c1 = at[c0], at[min(c1, len(at)) - 1] + 1
-        return layer.to_root(start + c0, start + c1)
+        return layer.to_root(start + at[c0], start + at[min(c1, len(at)) - 1] + 1)
 
     return to_root
 
@@ -368,7 +393,7 @@ def _base64_map(
 def _children(layer: Layer) -> Iterator[Layer | Hit]:
     if "%" in layer.text and (child := _in_place(layer, PERCENT, _percent)):
         yield child
-    if "\\" in layer.text and (child := _in_place(layer, ESCAPE, _unicode)):
+    if ("\\" in layer.text or "%u" in layer.text) and (child := _in_place(layer, ESCAPE, _unicode)):
         yield child
     yield from _base64_layers(layer)
 

@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import lzma
 import re
+import time
 import urllib.parse
 import zlib
 
@@ -219,3 +220,64 @@ def test_redact(spark):
         assert S.secret_hits(got[k][0])[1] == [] and got[k][1] == len(got[k][0]) and S.MASK in got[k][0]
     assert as_rows(S.redact(out).select("doc_id", "text")) == as_rows(out.select("doc_id", "text"))
     assert S.redact(empty(spark)).count() == 0
+
+
+HIDDEN = "password: hunter2-hunter2-hunter2"
+
+
+def encoded(text, url=False):
+    return (base64.urlsafe_b64encode if url else base64.b64encode)(text.encode()).decode().rstrip("=")
+
+
+def undecodable(text):
+    """No token of four or more characters that is left decodes to a part of the secret."""
+    for run in re.findall(r"[A-Za-z0-9+/_-]{4,}", text):
+        for start in range(4):
+            part = run[start:].replace("-", "+").replace("_", "/")
+            part = part[: len(part) - (len(part) % 4 == 1)]
+            data = base64.b64decode(part + "=" * (-len(part) % 4))
+            if any(HIDDEN[i : i + 5].encode() in data for i in range(len(HIDDEN) - 4)):
+                return False
+    return True
+
+
+@pytest.mark.parametrize("url", [False, True])
+@pytest.mark.parametrize("size", range(9))
+def test_letters_in_front_of_a_token(size, url):
+    token = encoded(HIDDEN + "?>~", url)
+    for prefix in ("Ab9xyz01"[:size], ("x-id_a_" if url else "path/a+/")[: max(0, size - 1)] + "/-"[url] * (size > 0)):
+        text = f"see {prefix}{token}."
+        (hit,) = S.secret_hits(text)[1]
+        assert text[hit.start : hit.end] == token[: hit.end - hit.start] and hit.end - hit.start >= 44
+        assert undecodable(S.redact_text(text))
+
+
+@pytest.mark.parametrize("width", [4, 5, 8, 15, 16, 20, 64])
+@pytest.mark.parametrize("gap", ["\n    ", "\n> ", "\n> > ", "\\n", "\\r\\n", "\r\n\t", '"\n + "', "',\n  '", "\n# ", " \\\n  "])
+def test_broken_lines_are_one_token(gap, width):
+    token = encoded(HIDDEN)
+    lines = [token[k : k + width] for k in range(0, len(token), width)]
+    text = "key: |" + gap + gap.join(lines) + "\n\nend of it"
+    (hit,) = S.secret_hits(text)[1]
+    assert text[hit.start : hit.end] == gap.join(lines)
+    assert undecodable(S.redact_text(text))
+
+
+def test_more_unicode_escapes():
+    text = r"%u0070%u0061ssword=abcdefghijklmnop \U00000070assword: 123456789012345 \U99999999 %uD83D"
+    found = [text[h.start : h.end] for h in S.secret_hits(text)[1]]
+    assert found == [r"%u0070%u0061ssword=abcdefghijklmnop", r"\U00000070assword: 123456789012345"]
+
+
+def test_many_hits_in_a_wide_layer_take_linear_time():
+    layer = "é" + "token=abcdefghijkl " * 20_000
+    text = base64.b64encode(layer.encode()).decode()
+    began = time.process_time()
+    assert len(S.secret_hits(text)[1]) == 20_000
+    assert time.process_time() - began < 5
+
+
+def test_prose_and_lists_hide_nothing():
+    words = [w * 2 for w in "zwischen unterhaltung forschung entwicklung verantwortung".split()]
+    for gap in ("\n", "\n  ", " ", "\n> "):
+        assert S.secret_hits(gap.join(words * 50))[1] == []
