@@ -41,7 +41,7 @@ BLOCK_TOKENS = 2_000_000
 #: The id that ends a document.
 END = 1
 #: Tokenised words, and parts of words, kept by a Python worker (about 200 bytes each); then it starts afresh.
-CACHED_WORDS = 800_000
+CACHED_WORDS = 250_000
 #: Marks that are neither letters nor digits to the splitter; an apostrophe may begin a contraction.
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
