@@ -36,6 +36,6 @@ from adfuse.operators.rollups import (
     portfolio_kpis,
     rollup,
 )
-from adfuse.operators.windows import global_row_number, rolling_mean, share_of_total, stack, top_n
+from adfuse.operators.windows import global_row_number, refresh_rolling_mean, rolling_mean, share_of_total, stack, top_n
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -50,6 +50,54 @@ def rolling_mean(
     return series.withColumn(out, F.avg(value).over(w))
 
 
+def refresh_rolling_mean(
+    previous: DataFrame,
+    series: DataFrame,
+    changed: DataFrame,
+    value: str,
+    n: int = 7,
+    frame: str = "rows",
+    partition_by: Sequence[str] = ("platform",),
+    order_by: str = "date",
+    out: str | None = None,
+) -> DataFrame:
+    """``rolling_mean(series, ...)`` from an earlier result and the days that changed since.
+
+    ``previous`` is the earlier result, ``series`` the rows as they are now and
+    ``changed`` the (partition, day) keys that are new, differ or are gone; its
+    columns are ``partition_by`` and ``order_by``, none of them NULL.  A changed
+    day touches itself and the n-1 rows (or days) after it, nothing else: only
+    these rows are computed, from a window over them and the n-1 before, and
+    all others are taken over.  The result equals the batch window bit for bit,
+    whatever the order in which late days arrive.
+    """
+    out, keys = out or f"{value}_{n}d_avg", [*partition_by, order_by]
+    day = F.col(order_by)
+    late = changed.select(*keys).distinct()
+    bounds = late.groupBy(*partition_by).agg(F.min(order_by).alias("_low"), F.max(order_by).alias("_high"))
+    near = series.join(bounds, list(partition_by))
+    if frame == "rows":
+        up, down = (Window.partitionBy(*partition_by).orderBy(o) for o in (day.asc(), day.desc()))
+        part = lambda rows, w: rows.withColumn("_k", F.row_number().over(w)).where(F.col("_k") < n).drop("_k")
+        before, after = part(near.where(day < F.col("_low")), down), part(near.where(day > F.col("_high")), up)
+        near = near.where(day.between(F.col("_low"), F.col("_high"))).unionByName(before).unionByName(after)
+    else:
+        near = near.where(day.between(F.date_sub("_low", n - 1), F.date_add("_high", n - 1)))
+    near = rolling_mean(near.drop("_low", "_high"), value, n, frame, partition_by, order_by, out)
+    # The rows in order, changed days among them; a day that is gone is no row, but touches those after it.
+    marks = near.select(*keys, F.lit(1).alias("_row"), F.lit(0).alias("_late")).unionByName(
+        late.select(*keys, F.lit(0).alias("_row"), F.lit(1).alias("_late"))
+    )
+    marks = marks.groupBy(*keys).agg(F.max("_row").alias("_row"), F.max("_late").alias("_late"))
+    run = Window.partitionBy(*partition_by).orderBy(order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    place = F.sum("_row").over(run) if frame == "rows" else F.unix_date(day)
+    last = F.max(F.when(F.col("_late") == 1, F.col("_place"))).over(run)
+    marks = marks.withColumn("_place", place).withColumn("_since", F.col("_place") - last)
+    touched = marks.where((F.col("_since") < n) & (F.col("_row") == 1)).select(*keys)
+    new = near.join(touched, keys, "left_semi").select(*previous.columns)
+    return previous.join(touched.unionByName(late).distinct(), keys, "left_anti").unionByName(new)
+
+
 def share_of_total(
     df: DataFrame, value: str, out: str | None = None, total_out: str | None = None
 ) -> DataFrame:

@@ -53,7 +53,13 @@ from adfuse.operators.rollups import (
     platform_rollup,
     portfolio_kpis,
 )
-from adfuse.operators.windows import global_row_number, share_of_total, stack
+from adfuse.operators.windows import (
+    global_row_number,
+    refresh_rolling_mean,
+    rolling_mean,
+    share_of_total,
+    stack,
+)
 from adfuse.plans import dashboard
 from adfuse.plans.cube import Export, read_cube, refresh_cube
 from adfuse.plans.dashboard import series_of
@@ -73,7 +79,7 @@ from adfuse.sources.lineitem_feeds import (
 )
 from adfuse.sources.ordered import export_ordered_csv, store_pages
 from adfuse.sources.readers import checked, feed_quality, read_feed, rejected_rows
-from adfuse.sources.sinks import export_csv, read_csv_typed
+from adfuse.sources.sinks import export_csv, materialize, read_csv_typed
 from adfuse.sources.storage import remove_folder, scratch_path
 from adfuse.sources.tables import read_table_stream
 from adfuse.streaming.by_file import read_rollup, start_rollup_by_file
@@ -368,6 +374,16 @@ def q_spend_rolling_7_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series(spark, sf_dir, "days")
 
 
+def q_spend_rolling_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trailing mean after days came late and others were corrected, from an earlier result."""
+    whole = materialize(daily_rollup(fact(spark, sf_dir)), scratch_path(spark, "daily"))
+    late, first = F.dayofmonth("date") == 3, F.dayofmonth("date") == 17
+    early = whole.where(~late).withColumn("spend", F.when(first, F.col("spend") + 1).otherwise(F.col("spend")))
+    before = materialize(rolling_mean(early, "spend", 7, "rows", out="spend_7d_avg"), scratch_path(spark, "series"))
+    changed = whole.where(late | first).select("platform", "date")
+    return refresh_rolling_mean(before, whole, changed, "spend", 7, "rows", out="spend_7d_avg")
+
+
 def q_spend_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     plat = platform_rollup(fact(spark, sf_dir)).select("platform", "spend")
     return share_of_total(plat, "spend", total_out="total_spend")

@@ -463,6 +463,7 @@ ORACLE: dict[str, str] = {
 # The same results by way of cached and of refreshed tables.
 ORACLE["cached_selection"] = ORACLE["materialized_selection"]
 ORACLE["refreshed_cube"] = ORACLE["campaign_day_rollup"]
+ORACLE["spend_rolling_refreshed"] = ORACLE["spend_rolling_7"]
 ORACLE["ordered_export"] = ORACLE["unified_fact"]
 ORACLE["fact_page"] = _q(
     "SELECT * FROM fact ORDER BY date NULLS FIRST, platform NULLS FIRST, campaign_name NULLS FIRST, "
