@@ -125,6 +125,15 @@ def test_kpi_tiles_of_sums_above_the_limit_of_a_value(spark, large_spend):
     assert (k.total_spend, k.pooled_roas, k.mean_campaign_roas) == (4e13, (12e13 + 6) / 4e13, ((6e13 + 2) / 2e13 + (6e13 + 4) / 2e13) / 2)
 
 
+def test_campaign_roas_of_sums_above_the_limit_of_a_value(spark, large_spend):
+    folder, con = large_spend
+    ok, msg = compare(QUERIES["mean_campaign_roas"](spark, folder), con, ORACLE["mean_campaign_roas"], exact=True)
+    assert ok, msg
+    rows = [("Google", "dear", 2e13, 5e13), ("Google", "cheap", 0.5, 2e13), ("Google", "free", 0.0, 9.0), ("Radio", "dear", 1e13, 1e13)]
+    r = mean_campaign_roas(spark.createDataFrame(rows, "platform string, campaign_name string, spend double, conv_value double")).first()
+    assert tuple(r) == ((2.5 + 4e13) / 2, (7e13 + 9) / (2e13 + 0.5))
+
+
 RADIO = FeedSpec(
     name="radio", platform="Radio", source_types={"date": "date", "campaign_name": "string", "listeners": "bigint", "fee": "double"},
     rename={"listeners": "impressions", "fee": "spend"},
